@@ -37,3 +37,262 @@ SELECT o_orderkey AS order_id,
 FROM latest
 WHERE o_totalprice > 0 AND o_totalprice <= 400000
 """
+
+
+def _std_city(e: str) -> str:
+    """City standardisation in DuckDB; '||' keeps SQL NULL propagation."""
+    t = f"trim({e})"
+    return (f"CASE WHEN upper({t}) IN ('BANGALORE', 'BENGALURU') THEN 'Bangalore' "
+            f"WHEN upper({t}) IN ('NEW DELHI', 'DELHI') THEN 'Delhi' "
+            f"WHEN upper({t}) = 'BOMBAY' THEN 'Mumbai' "
+            f"ELSE upper(substr({t}, 1, 1)) || lower(substr({t}, 2)) END")
+
+
+def _desc(*cols: str) -> str:
+    return ", ".join(f"{c} DESC NULLS LAST" for c in cols)
+
+
+ORACLE_SQL["win_dedup_latest_lineitem"] = f"""
+SELECT * FROM lineitem
+WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+QUALIFY row_number() OVER (
+  PARTITION BY l_orderkey, l_linenumber
+  ORDER BY {_desc('l_shipdate', 'l_partkey', 'l_suppkey', 'l_quantity', 'l_extendedprice',
+                  'l_discount', 'l_tax', 'l_returnflag', 'l_linestatus')}) = 1
+"""
+
+ORACLE_SQL["win_dedup_authoritative_documents"] = f"""
+WITH d AS (SELECT md5(text) AS text_hash, doc_id, lang, source, n_chars FROM documents)
+SELECT * FROM d
+QUALIFY row_number() OVER (
+  PARTITION BY text_hash
+  ORDER BY n_chars DESC NULLS LAST, doc_id ASC NULLS LAST, {_desc('lang', 'source')}) = 1
+"""
+
+ORACLE_SQL["md1_part_attributes"] = f"""
+WITH best AS (
+  SELECT * FROM part WHERE p_partkey IS NOT NULL
+  QUALIFY row_number() OVER (
+    PARTITION BY p_partkey
+    ORDER BY {_desc('p_retailprice', 'p_size', 'p_name', 'p_brand', 'p_type')}) = 1
+)
+SELECT p_partkey AS part_id,
+       trim(p_name) AS part_name,
+       {_std_city('p_type')} AS part_type,
+       trim(string_split(p_name, ' ')[1]) AS name_primary,
+       (upper(coalesce(p_name, '')) LIKE '%BOLT%' OR upper(coalesce(p_name, '')) LIKE '%RING%'
+        OR upper(coalesce(p_name, '')) LIKE '%ROD%') AS is_fastener,
+       CASE WHEN CAST(p_size AS DOUBLE) = 0 OR p_size IS NULL THEN NULL
+            ELSE p_retailprice / CAST(p_size AS DOUBLE) END AS price_per_size,
+       CAST(ceil(p_size / 13) AS INTEGER) AS size_band,
+       CASE CAST(ceil(p_size / 13) AS INTEGER) WHEN 1 THEN 'BUDGET' WHEN 2 THEN 'AFFORDABLE'
+            WHEN 3 THEN 'PREMIUM' WHEN 4 THEN 'LUXURY' ELSE NULL END AS size_tier,
+       CASE WHEN p_retailprice / 200.0 BETWEEN 0 AND 5 THEN CAST(p_retailprice / 200.0 AS DOUBLE) END
+         AS price_score
+FROM best
+"""
+
+ORACLE_SQL["md2_tiering_scd1"] = f"""
+WITH best AS (
+  SELECT * FROM supplier WHERE s_suppkey IS NOT NULL
+  QUALIFY row_number() OVER (
+    PARTITION BY s_suppkey ORDER BY {_desc('s_acctbal', 's_nationkey', 's_name')}) = 1
+), scored AS (
+  SELECT s_suppkey AS supplier_id,
+         CASE WHEN s_acctbal / 2000.0 BETWEEN 0 AND 5 THEN CAST(s_acctbal / 2000.0 AS DOUBLE) END AS score,
+         s_name AS supplier_name
+  FROM best
+)
+SELECT supplier_id, score, supplier_name,
+       CASE WHEN score >= 4.5 THEN 'EXCELLENT' WHEN score >= 4.0 THEN 'GOOD'
+            WHEN score >= 3.5 THEN 'AVERAGE' WHEN score >= 3.0 THEN 'BELOW_AVERAGE'
+            WHEN score IS NOT NULL THEN 'POOR' ELSE NULL END AS score_tier,
+       DATE '2020-01-01' AS valid_from,
+       CAST(NULL AS DATE) AS valid_to,
+       true AS is_current
+FROM scored
+"""
+
+ORACLE_SQL["md4_weather_classify"] = f"""
+WITH r AS (
+  SELECT l_returnflag AS city, CAST(l_shipdate AS DATE) AS weather_date,
+         l_quantity AS temperature_max, l_tax * 100.0 AS temperature_min,
+         l_discount * 200.0 AS precipitation_sum, l_orderkey AS fetch_seq, l_linenumber AS reading_no
+  FROM lineitem
+), latest AS (
+  SELECT * FROM r WHERE city IS NOT NULL AND weather_date IS NOT NULL
+  QUALIFY row_number() OVER (
+    PARTITION BY city, weather_date
+    ORDER BY {_desc('fetch_seq', 'temperature_max', 'temperature_min', 'precipitation_sum', 'reading_no')}) = 1
+), c AS (
+  SELECT *, CASE WHEN precipitation_sum > 15 THEN 'heavy_rain'
+                 WHEN precipitation_sum > 2.5 THEN 'light_rain'
+                 WHEN temperature_max > 40 THEN 'extreme_heat'
+                 WHEN temperature_max > 35 THEN 'hot'
+                 ELSE 'normal' END AS weather_category
+  FROM latest
+)
+SELECT {_std_city('city')} AS city, weather_date, temperature_max, temperature_min, precipitation_sum,
+       coalesce(precipitation_sum > 2.5, false) AS is_rainy,
+       weather_category,
+       temperature_max - temperature_min AS temperature_range,
+       coalesce(month(weather_date) IN (6, 7, 8, 9, 10), false) AS monsoon_month,
+       coalesce(weather_category IN ('heavy_rain', 'extreme_heat'), false) AS is_extreme_weather,
+       CASE WHEN month(weather_date) IN (12, 1, 2) THEN 'WINTER'
+            WHEN month(weather_date) IN (3, 4, 5) THEN 'SPRING'
+            WHEN month(weather_date) IN (6, 7, 8, 9) THEN 'MONSOON'
+            WHEN month(weather_date) IN (10, 11) THEN 'POST_MONSOON' END AS season,
+       fetch_seq
+FROM c
+"""
+
+ORACLE_SQL["md5_label_knockout"] = f"""
+WITH o AS (
+  SELECT CAST(o_orderdate AS DATE) AS match_date, o_custkey, o_orderstatus, o_orderpriority, o_orderkey
+  FROM orders
+), latest AS (
+  SELECT * FROM o WHERE match_date IS NOT NULL
+  QUALIFY row_number() OVER (
+    PARTITION BY match_date, o_custkey, o_orderstatus, o_orderpriority
+    ORDER BY o_orderkey DESC NULLS LAST) = 1
+)
+SELECT l.match_date, l.o_orderkey,
+       {_std_city('c.c_mktsegment')} AS venue,
+       c.c_name || ' vs ' || c.c_mktsegment AS match_label,
+       lower(trim(l.o_orderpriority)) AS match_type,
+       coalesce(lower(trim(l.o_orderpriority)) IN ('1-urgent', '2-high', '3-medium'), false) AS is_knockout
+FROM latest l LEFT JOIN customer c ON l.o_custkey = c.c_custkey
+"""
+
+ORACLE_SQL["md6_calendar_parts"] = """
+WITH o AS (
+  SELECT CAST(o_orderdate AS DATE) AS festival_date, o_orderpriority AS festival_name,
+         o_orderstatus AS festival_type, o_orderkey AS ingest_seq
+  FROM orders
+), latest AS (
+  SELECT * FROM o WHERE festival_date IS NOT NULL AND festival_name IS NOT NULL
+  QUALIFY row_number() OVER (
+    PARTITION BY festival_date, festival_name
+    ORDER BY ingest_seq DESC NULLS LAST, festival_type DESC NULLS LAST) = 1
+)
+SELECT festival_date, festival_name,
+       upper(trim(festival_type)) AS festival_type,
+       upper(trim(festival_type)) = 'F' AS is_major,
+       CAST(year(festival_date) AS INTEGER) AS festival_year,
+       CAST(month(festival_date) AS INTEGER) AS festival_month,
+       ingest_seq
+FROM latest
+"""
+
+ORACLE_SQL["jn_coverage_gap"] = """
+SELECT CAST(o.o_orderdate AS DATE) AS order_date, COUNT(*) AS orders_without_lines
+FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+WHERE l.l_orderkey IS NULL
+GROUP BY 1
+HAVING COUNT(*) > 0
+ORDER BY 2 DESC
+"""
+
+ORACLE_SQL["jn_coverage_gap_two_key"] = """
+WITH ev AS (SELECT user_id, CAST(ts AS DATE) AS event_date, event_type FROM events)
+SELECT p.user_id, p.event_date, COUNT(*) AS purchases_without_view
+FROM ev p
+LEFT JOIN (SELECT * FROM ev WHERE event_type = 'view') v
+  ON p.user_id = v.user_id AND p.event_date = v.event_date
+WHERE p.event_type = 'purchase' AND v.user_id IS NULL
+GROUP BY 1, 2
+HAVING COUNT(*) > 0
+ORDER BY 3 DESC
+"""
+
+ORACLE_SQL["jn_exists_flag"] = """
+SELECT o.o_orderkey, o.o_orderstatus,
+       EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey) AS has_lines
+FROM orders o
+"""
+
+ORACLE_SQL["jn_exists_flag_filtered"] = """
+SELECT o.o_orderkey, CAST(o.o_orderdate AS DATE) AS order_date,
+       EXISTS (SELECT 1 FROM lineitem l
+               WHERE l.l_orderkey = o.o_orderkey AND l.l_returnflag = 'R') AS has_returned_line,
+       EXISTS (SELECT 1 FROM lineitem l
+               WHERE l.l_orderkey = o.o_orderkey
+                 AND CAST(l.l_shipdate AS DATE) = CAST(o.o_orderdate AS DATE)) AS shipped_same_day
+FROM orders o
+"""
+
+_BATCHES = """
+WITH li AS (SELECT *, CAST(l_shipdate AS DATE) AS ship_date FROM lineitem),
+batch AS (SELECT * FROM li WHERE l_shipdate >= TIMESTAMP '1998-01-01'),
+existing AS (
+  SELECT * FROM li
+  WHERE l_shipdate < TIMESTAMP '1999-01-01' AND ship_date IN (SELECT ship_date FROM batch)
+),
+new_rows AS (
+  SELECT * FROM batch b
+  WHERE NOT EXISTS (SELECT 1 FROM existing e
+                    WHERE e.l_orderkey = b.l_orderkey AND e.l_linenumber = b.l_linenumber)
+)
+"""
+
+ORACLE_SQL["jn_append_new_only"] = _BATCHES + "SELECT * FROM new_rows"
+
+ORACLE_SQL["agg_append_counts"] = _BATCHES + """
+SELECT (SELECT COUNT(*) FROM batch) AS rows_in_batch,
+       (SELECT COUNT(*) FROM new_rows) AS rows_processed,
+       (SELECT COUNT(*) FROM batch) - (SELECT COUNT(*) FROM new_rows) AS rows_rejected
+"""
+
+ORACLE_SQL["jn_lookup_default"] = """
+SELECT c.c_custkey,
+       CAST(coalesce(CASE lower(c.c_mktsegment)
+                       WHEN 'building' THEN 2.2 WHEN 'automobile' THEN 2.0 WHEN 'machinery' THEN 1.8
+                       WHEN 'furniture' THEN 1.4 WHEN 'others' THEN 1.0 END, 1.0) AS DOUBLE)
+         AS segment_multiplier,
+       CASE c.c_nationkey WHEN 0 THEN 'Nation zero' WHEN 1 THEN 'Nation one'
+            WHEN 2 THEN 'Nation two' WHEN 3 THEN 'Nation three' END AS nation_label,
+       CASE WHEN n.n_name = 'NATION_1' THEN 'NATION_ONE' WHEN n.n_name = 'NATION_2' THEN 'NATION_TWO'
+            ELSE n.n_name END AS nation_name
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+"""
+
+_DEMAND = """
+WITH ents AS (
+  SELECT c.c_custkey, n.n_name AS city, c.c_mktsegment AS segment
+  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+), days AS (
+  SELECT CAST(d AS DATE) AS order_date
+  FROM unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY)) t(d)
+), rain AS (
+  SELECT CAST(ts AS DATE) AS weather_date, avg(value) > 60.0 AS is_rainy
+  FROM events WHERE event_type = 'view' GROUP BY 1
+), wet AS (
+  SELECT weather_date AS order_date, bool_or(coalesce(is_rainy, false)) AS r FROM rain GROUP BY 1
+), demand AS (
+  SELECT e.c_custkey, e.city, e.segment, d.order_date,
+         round(CAST(3.5 AS DOUBLE)
+           * CAST(coalesce(CASE e.city WHEN 'NATION_0' THEN 1.8 WHEN 'NATION_1' THEN 2.0
+                      WHEN 'NATION_2' THEN 2.2 WHEN 'NATION_3' THEN 1.4 WHEN 'NATION_4' THEN 1.6
+                      WHEN 'NATION_5' THEN 1.5 END, 1.0) AS DOUBLE)
+           * CAST(coalesce(CASE lower(e.segment) WHEN 'building' THEN 2.2 WHEN 'automobile' THEN 2.0
+                      WHEN 'machinery' THEN 1.8 WHEN 'furniture' THEN 1.4 WHEN 'others' THEN 1.0 END,
+                      1.0) AS DOUBLE)
+           * CAST(CASE WHEN isodow(d.order_date) - 1 >= 5 THEN 1.35 ELSE 1.0 END AS DOUBLE)
+           * CAST(CASE WHEN coalesce(w.r, false) THEN 1.25 ELSE 1.0 END AS DOUBLE), 6) AS expected_orders
+  FROM ents e CROSS JOIN days d LEFT JOIN wet w ON w.order_date = d.order_date
+)
+"""
+
+ORACLE_SQL["jn_spine_expected_demand"] = _DEMAND + "SELECT * FROM demand"
+
+ORACLE_SQL["fn_hour_profile"] = _DEMAND + """
+, daily AS (SELECT city, order_date, sum(expected_orders) AS expected_orders FROM demand GROUP BY 1, 2),
+hw AS (
+  SELECT CAST(h AS INTEGER) AS order_hour,
+         CAST(CASE WHEN h IN (12, 13) THEN 3.0 WHEN h IN (19, 20, 21) THEN 4.0 ELSE 1.0 END AS DOUBLE)
+           / 37.0 AS share
+  FROM range(24) t(h)
+)
+SELECT city, order_date, order_hour, round(expected_orders * share, 4) AS expected_orders_hour
+FROM daily CROSS JOIN hw
+"""

@@ -6,4 +6,20 @@ from strata.plans import workloads as W
 
 QUERIES = {
     "md3_orders_clean": W.md3_orders_clean,
+    "win_dedup_latest_lineitem": W.win_dedup_latest_lineitem,
+    "win_dedup_authoritative_documents": W.win_dedup_authoritative_documents,
+    "md1_part_attributes": W.md1_part_attributes,
+    "md2_tiering_scd1": W.md2_tiering_scd1,
+    "md4_weather_classify": W.md4_weather_classify,
+    "md5_label_knockout": W.md5_label_knockout,
+    "md6_calendar_parts": W.md6_calendar_parts,
+    "jn_coverage_gap": W.jn_coverage_gap,
+    "jn_coverage_gap_two_key": W.jn_coverage_gap_two_key,
+    "jn_exists_flag": W.jn_exists_flag,
+    "jn_exists_flag_filtered": W.jn_exists_flag_filtered,
+    "jn_append_new_only": W.jn_append_new_only,
+    "agg_append_counts": W.agg_append_counts,
+    "jn_lookup_default": W.jn_lookup_default,
+    "jn_spine_expected_demand": W.jn_spine_expected_demand,
+    "fn_hour_profile": W.fn_hour_profile,
 }

@@ -40,3 +40,299 @@ def md3_orders_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("order_priority"),
     )
     return filters.plausible_range(shaped, "order_amount", 0, 400000)
+
+
+# ---------------------------------------------------------------------------
+# Window dedup (WIN1-WIN5)
+
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+
+
+def win_dedup_latest_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN1/WIN3 + FLT2: latest ship date per (order, line); total tie-break."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return dedup.keep_latest(li, LINE_KEYS, "l_shipdate", drop_null_keys=LINE_KEYS)
+
+
+def win_dedup_authoritative_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN2: one document per distinct text: most characters, then lowest doc_id.
+
+    The text itself never enters the shuffle: only its md5 travels with the
+    small columns, so the exchange is a few dozen bytes per row whatever the
+    document length.
+    """
+    docs = read_table(spark, sf_dir, "documents").select(
+        F.md5(F.col("text")).alias("text_hash"), "doc_id", "lang", "source", "n_chars")
+    return dedup.keep_first(docs, ["text_hash"], ["n_chars", F.col("doc_id").asc_nulls_last()])
+
+
+# ---------------------------------------------------------------------------
+# Silver-model shapes on driver tables (MD1, MD2, MD4, MD5, MD6)
+
+# Workload parameters of our own (not reference values): words in part names
+# that mark a fastener, and the size band -> price bucket rule.
+FASTENER_WORDS = ("BOLT", "RING", "ROD")
+SIZE_BAND_WIDTH = 13
+
+
+def md1_part_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MD1 shape: WIN2 -> FN1 city-style standardise, FN17, FN18/FLT8, FN16, FN14."""
+    part = read_table(spark, sf_dir, "part")
+    best = dedup.keep_most_authoritative(part, ["p_partkey"], "p_retailprice", "p_size",
+                                         drop_null_keys=["p_partkey"])
+    band = F.ceil(F.col("p_size") / F.lit(SIZE_BAND_WIDTH)).cast("int")
+    return best.select(
+        F.col("p_partkey").alias("part_id"),
+        F.trim("p_name").alias("part_name"),
+        X.standardise_city("p_type").alias("part_type"),
+        X.first_list_item("p_name", " ").alias("name_primary"),
+        X.contains_any("p_name", FASTENER_WORDS).alias("is_fastener"),
+        X.safe_divide(F.col("p_retailprice"), F.col("p_size").cast("double")).alias("price_per_size"),
+        band.alias("size_band"),
+        X.price_tier(band).alias("size_tier"),
+        X.between_or_null(F.col("p_retailprice") / F.lit(200.0), 0, 5).alias("price_score"),
+    )
+
+
+ACCTBAL_SCALE = 2000.0
+SCD_VALID_FROM = "2020-01-01"
+
+
+def md2_tiering_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MD2 shape: WIN2 -> FLT5 range guard -> FN15 tiers -> PRJ6 validity columns."""
+    sup = read_table(spark, sf_dir, "supplier")
+    best = dedup.keep_most_authoritative(sup, ["s_suppkey"], "s_acctbal", "s_nationkey",
+                                         drop_null_keys=["s_suppkey"])
+    score = X.between_or_null(F.col("s_acctbal") / F.lit(ACCTBAL_SCALE), 0, 5)
+    return (best.select(F.col("s_suppkey").alias("supplier_id"), score.alias("score"),
+                        F.col("s_name").alias("supplier_name"))
+            .select("supplier_id", "score", "supplier_name",
+                    X.rating_tier(F.col("score")).alias("score_tier"),
+                    F.lit(SCD_VALID_FROM).cast("date").alias("valid_from"),
+                    F.lit(None).cast("date").alias("valid_to"),
+                    F.lit(True).alias("is_current")))
+
+
+def md4_weather_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MD4 shape on lineitem read as daily readings.
+
+    A (return flag, ship day) pair stands for (city, weather_date); the
+    highest order key is the latest fetch (WIN3). Quantity stands for the
+    max temperature, discount x 200 for precipitation and tax x 100 for the
+    min temperature, which spans every season and weather class.
+    """
+    li = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("city"),
+        F.to_date("l_shipdate").alias("weather_date"),
+        F.col("l_quantity").alias("temperature_max"),
+        (F.col("l_tax") * F.lit(100.0)).alias("temperature_min"),
+        (F.col("l_discount") * F.lit(200.0)).alias("precipitation_sum"),
+        F.col("l_orderkey").alias("fetch_seq"),
+        F.col("l_linenumber").alias("reading_no"),
+    )
+    latest = dedup.keep_latest(li, ["city", "weather_date"], "fetch_seq",
+                               drop_null_keys=["city", "weather_date"])
+    category = X.classify_weather(F.col("precipitation_sum"), F.col("temperature_max"))
+    return latest.select(
+        X.standardise_city("city").alias("city"),
+        "weather_date", "temperature_max", "temperature_min", "precipitation_sum",
+        X.is_rainy("precipitation_sum").alias("is_rainy"),
+        category.alias("weather_category"),
+        X.temperature_range("temperature_max", "temperature_min").alias("temperature_range"),
+        X.monsoon_month("weather_date").alias("monsoon_month"),
+        X.is_extreme_weather(category).alias("is_extreme_weather"),
+        X.season("weather_date").alias("season"),
+        "fetch_seq",
+    )
+
+
+KNOCKOUT_PRIORITIES = ("1-urgent", "2-high", "3-medium")
+
+
+def md5_label_knockout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MD5 shape: WIN4 (4-key keep-latest) -> FN1, FN19, FN20 via a customer join."""
+    orders = read_table(spark, sf_dir, "orders").select(
+        F.to_date("o_orderdate").alias("match_date"), "o_custkey", "o_orderstatus",
+        "o_orderpriority", "o_orderkey")
+    latest = dedup.keep_latest(orders, ["match_date", "o_custkey", "o_orderstatus", "o_orderpriority"],
+                               "o_orderkey", drop_null_keys=["match_date"])
+    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    joined = latest.join(cust, latest.o_custkey == cust.c_custkey, "left")
+    return joined.select(
+        "match_date", "o_orderkey",
+        X.standardise_city("c_mktsegment").alias("venue"),
+        X.pair_label("c_name", "c_mktsegment").alias("match_label"),
+        F.lower(F.trim("o_orderpriority")).alias("match_type"),
+        X.in_folded("o_orderpriority", KNOCKOUT_PRIORITIES).alias("is_knockout"),
+    )
+
+
+def md6_calendar_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MD6 shape: WIN3 keep-latest per (date, name) -> FN12 year/month, FN21 upper-trim."""
+    orders = read_table(spark, sf_dir, "orders").select(
+        F.to_date("o_orderdate").alias("festival_date"),
+        F.col("o_orderpriority").alias("festival_name"),
+        F.col("o_orderstatus").alias("festival_type"),
+        F.col("o_orderkey").alias("ingest_seq"))
+    latest = dedup.keep_latest(orders, ["festival_date", "festival_name"], "ingest_seq",
+                               drop_null_keys=["festival_date", "festival_name"])
+    return latest.select(
+        "festival_date", "festival_name",
+        X.upper_trim("festival_type").alias("festival_type"),
+        (X.upper_trim("festival_type") == F.lit("F")).alias("is_major"),
+        F.year("festival_date").alias("festival_year"),
+        F.month("festival_date").alias("festival_month"),
+        "ingest_seq",
+    )
+
+
+# ---------------------------------------------------------------------------
+# Joins (JN1-JN11), coverage (MD12)
+
+def jn_coverage_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MD12 shape: orders with no lineitem, counted per order date."""
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.to_date("o_orderdate").alias("order_date"))
+    li = read_table(spark, sf_dir, "lineitem")
+    return joins_coverage(orders, li)
+
+
+def joins_coverage(orders: DataFrame, li: DataFrame) -> DataFrame:
+    from strata.operators import joins
+
+    return joins.coverage_gap(orders, li, [("o_orderkey", "l_orderkey")], "orders_without_lines",
+                              group_cols=["order_date"])
+
+
+def jn_coverage_gap_two_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN1/JN2 + AGG1: (user, day) purchases with no view that day (MD12 exactly)."""
+    from strata.operators import joins
+
+    ev = read_table(spark, sf_dir, "events").select(
+        "user_id", F.to_date("ts").alias("event_date"), "event_type")
+    purchases = ev.where(F.col("event_type") == "purchase")
+    views = ev.where(F.col("event_type") == "view")
+    return joins.coverage_gap(purchases, views, ["user_id", "event_date"], "purchases_without_view")
+
+
+def jn_exists_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN3: per order, EXISTS a lineitem."""
+    from strata.operators import joins
+
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    li = read_table(spark, sf_dir, "lineitem")
+    return joins.exists_flag(orders, li, [("o_orderkey", "l_orderkey")], "has_lines")
+
+
+def jn_exists_flag_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN3 (major_only) / JN4: EXISTS a returned lineitem on two keys + predicate."""
+    from strata.operators import joins
+
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.to_date("o_orderdate").alias("order_date"))
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.to_date("l_shipdate").alias("ship_date"), "l_returnflag")
+    flagged = joins.exists_flag(orders, li, [("o_orderkey", "l_orderkey")], "has_returned_line",
+                                right_where=F.col("l_returnflag") == "R")
+    # JN4: two keys -- same order shipped on its order date.
+    return joins.exists_flag(flagged, li, [("o_orderkey", "l_orderkey"), ("order_date", "ship_date")],
+                             "shipped_same_day")
+
+
+APPEND_BATCH_FROM = "1998-01-01"
+APPEND_EXISTING_BEFORE = "1999-01-01"
+
+
+def _lineitem_batches(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem").withColumn("ship_date", F.to_date("l_shipdate"))
+    batch = li.where(F.col("l_shipdate") >= F.lit(APPEND_BATCH_FROM).cast("timestamp_ntz"))
+    existing = li.where(F.col("l_shipdate") < F.lit(APPEND_EXISTING_BEFORE).cast("timestamp_ntz"))
+    return batch, existing
+
+
+def jn_append_new_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN5 / SET2 / SRC9 / INC4: batch rows whose key is not already landed.
+
+    Existing keys are looked up only for the batch's dates (SRC9: a semi-join
+    on the date column, which on a date-partitioned table becomes dynamic
+    partition pruning), then anti-joined; in-batch duplicates are kept.
+    """
+    from strata.operators import joins
+
+    batch, existing = _lineitem_batches(spark, sf_dir)
+    existing_for_dates = joins.semi_join(existing, batch, ["ship_date"])
+    return joins.anti_join(batch, existing_for_dates, LINE_KEYS)
+
+
+def agg_append_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG12: rows processed / rejected for the append above, one pass each side."""
+    batch, _ = _lineitem_batches(spark, sf_dir)
+    new = jn_append_new_only(spark, sf_dir)
+    processed = new.select(F.count(F.lit(1))).scalar()
+    return batch.agg(F.count(F.lit(1)).alias("rows_in_batch")).select(
+        "rows_in_batch", processed.alias("rows_processed"),
+        (F.col("rows_in_batch") - processed).alias("rows_rejected"))
+
+
+# Workload parameters of our own: segment multipliers (case-insensitive keys,
+# 'others' default), nation display names, and exact renames.
+SEGMENT_MULTIPLIERS = {"building": 2.2, "automobile": 2.0, "machinery": 1.8, "furniture": 1.4, "others": 1.0}
+NATION_LABELS = {0: "Nation zero", 1: "Nation one", 2: "Nation two", 3: "Nation three"}
+NATION_RENAMES = {"NATION_1": "NATION_ONE", "NATION_2": "NATION_TWO"}
+
+
+def jn_lookup_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN9 (lookup with default), JN10 (no default -> NULL), JN11 (exact replace)."""
+    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    joined = cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
+    return joined.select(
+        "c_custkey",
+        X.lookup(F.col("c_mktsegment"), SEGMENT_MULTIPLIERS, default=SEGMENT_MULTIPLIERS["others"],
+                 case_insensitive=True).alias("segment_multiplier"),
+        X.lookup(F.col("c_nationkey"), NATION_LABELS).alias("nation_label"),
+        X.replace_values(F.col("n_name"), NATION_RENAMES).alias("nation_name"),
+    )
+
+
+DEMAND_START = "2024-01-01"
+DEMAND_END = "2024-01-30"
+# Our workload's stand-in for city multipliers: keyed by the driver's nation names.
+NATION_DEMAND_MULTIPLIERS = {"NATION_0": 1.8, "NATION_1": 2.0, "NATION_2": 2.2, "NATION_3": 1.4,
+                             "NATION_4": 1.6, "NATION_5": 1.5}
+RAINY_VIEW_VALUE = 60.0
+
+
+def _daily_rain_from_events(spark, sf_dir) -> DataFrame:
+    """Per (nation, date) 'weather': rainy when the day's views average above a level."""
+    ev = read_table(spark, sf_dir, "events").where(F.col("event_type") == "view")
+    return (ev.groupBy(F.to_date("ts").alias("weather_date"))
+            .agg((F.avg("value") > F.lit(RAINY_VIEW_VALUE)).alias("is_rainy")))
+
+
+def jn_spine_expected_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MD13 / JN8 / JN9: customer x date spine x multipliers (+ rainy-day join)."""
+    from strata.operators import demand
+
+    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    ents = (cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
+            .select("c_custkey", F.col("n_name").alias("city"), F.col("c_mktsegment").alias("segment")))
+    rain = _daily_rain_from_events(spark, sf_dir)
+    out = demand.expected_demand(
+        ents, DEMAND_START, DEMAND_END, city_col="city",
+        cuisine_col="segment", rainy=rain, rainy_on=(("order_date", "weather_date"),),
+        city_multipliers=NATION_DEMAND_MULTIPLIERS, cuisine_multipliers=SEGMENT_MULTIPLIERS)
+    return out.select("c_custkey", "city", "segment", "order_date",
+                      F.round("expected_orders", 6).alias("expected_orders"))
+
+
+def fn_hour_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MD14: daily expected demand per nation spread over 24 weighted hours."""
+    from strata.operators import demand
+
+    daily = (jn_spine_expected_demand(spark, sf_dir)
+             .groupBy("city", "order_date").agg(F.sum("expected_orders").alias("expected_orders")))
+    hourly = demand.hourly_profile(daily)
+    return hourly.select("city", "order_date", "order_hour",
+                         F.round("expected_orders_hour", 4).alias("expected_orders_hour"))
