@@ -35,6 +35,9 @@ INDIAN_CUISINE_MARKERS: tuple[str, ...] = ("NORTH INDIAN", "SOUTH INDIAN", "INDI
 KNOCKOUT_MATCH_TYPES: tuple[str, ...] = ("qualifier", "eliminator", "final")
 # ---------------------------------------------------------------------------
 
+# ASCII whitespace stripped by PRJ2 (space, tab, LF, VT, FF, CR).
+WHITESPACE = r"[ \t\n\x0B\f\r]"
+
 
 def standardise_city(c) -> Column:
     """FN1: fold known spellings, else first letter upper + rest lower.
@@ -57,7 +60,7 @@ def strip_whitespace(c) -> Column:
 
     Spark's ``trim`` only removes spaces, so a regex is used (N5).
     """
-    return F.regexp_replace(as_col(c), r"^\s+|\s+$", "")
+    return F.regexp_replace(as_col(c), f"^{WHITESPACE}+|{WHITESPACE}+$", "")
 
 
 def blank_to_null(c) -> Column:

@@ -104,6 +104,15 @@ ORDERS_FRESHNESS_LOOKBACK_DAYS = 90
 # ---------------------------------------------------------------------------
 
 
+def _status(max_col: Column, as_of, warn_hours: float, error_hours: float | None):
+    as_of_ts = F.lit(str(as_of)).cast("timestamp")  # interpreted in the session zone (UTC)
+    age_h = (F.unix_micros(as_of_ts) - F.unix_micros(max_col.cast("timestamp"))) / F.lit(3.6e9)
+    status = F.when(max_col.isNull(), F.lit("error"))
+    if error_hours is not None:
+        status = status.when(age_h > error_hours, F.lit("error"))
+    return age_h, status.when(age_h > warn_hours, F.lit("warn")).otherwise(F.lit("pass"))
+
+
 def freshness(df: DataFrame, loaded_at: str, as_of, warn_hours: float,
               error_hours: float | None = None, source: str | None = None) -> DataFrame:
     """AGG10 / DQ13: ``max(loaded_at)`` age against warn / error thresholds.
@@ -111,20 +120,23 @@ def freshness(df: DataFrame, loaded_at: str, as_of, warn_hours: float,
     ``as_of`` is passed in (not ``current_timestamp``) so runs replay. An
     empty table has no max and is reported as ``error``.
     """
-    as_of_lit = F.lit(as_of if not isinstance(as_of, str) else _dt.datetime.fromisoformat(as_of))
     latest = df.agg(F.max(F.col(loaded_at)).alias("max_loaded_at"))
-    age_h = (F.unix_micros(as_of_lit.cast("timestamp"))
-             - F.unix_micros(F.col("max_loaded_at").cast("timestamp"))) / F.lit(3.6e9)
-    status = F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
-    if error_hours is not None:
-        status = status.when(age_h > error_hours, F.lit("error"))
-    status = status.when(age_h > warn_hours, F.lit("warn")).otherwise(F.lit("pass"))
+    age_h, status = _status(F.col("max_loaded_at"), as_of, warn_hours, error_hours)
     out = latest.select(F.col("max_loaded_at"), F.round(age_h, 6).alias("age_hours"), status.alias("status"))
     if source is not None:
         out = out.select(F.lit(source).alias("source"), "*")
     return out
 
 
+def freshness_by(df: DataFrame, source_col: str, loaded_at: str, as_of, warn_hours: float,
+                 error_hours: float | None = None) -> DataFrame:
+    """AGG10 per source value: one partial/final max per group, then the status."""
+    latest = df.groupBy(F.col(source_col).alias("source")).agg(F.max(F.col(loaded_at)).alias("max_loaded_at"))
+    age_h, status = _status(F.col("max_loaded_at"), as_of, warn_hours, error_hours)
+    return latest.select("source", "max_loaded_at", F.round(age_h, 6).alias("age_hours"),
+                         status.alias("status"))
+
+
 def ingest_summary(parts: Mapping[str, DataFrame], city_col: str | None = None) -> DataFrame:
     """AGG11: rows per source, distinct cities and ``days = rows // cities``.
 

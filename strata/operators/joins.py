@@ -57,9 +57,15 @@ def anti_join(left: DataFrame, right: DataFrame, keys, right_where: Column | Non
 
 
 def semi_join(left: DataFrame, right: DataFrame, keys, right_where: Column | None = None) -> DataFrame:
-    """Rows of ``left`` with at least one key match in ``right`` (no fan-out)."""
+    """Rows of ``left`` with at least one key match in ``right`` (no fan-out).
+
+    The right side is reduced to distinct keys first (partial aggregation),
+    which usually makes it small enough for AQE to broadcast; if it is not,
+    the sort-merge fallback still splits a skewed left key (AQE skew join).
+    """
     pairs = _pairs(keys)
-    return left.join(_right_keys_as_left(right, pairs, right_where), [l for l, _ in pairs], "left_semi")
+    right_keys = _right_keys_as_left(right, pairs, right_where).distinct()
+    return left.join(right_keys, [l for l, _ in pairs], "left_semi")
 
 
 def exists_flag(left: DataFrame, right: DataFrame, keys, flag: str,

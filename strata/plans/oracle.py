@@ -296,3 +296,280 @@ hw AS (
 SELECT city, order_date, order_hour, round(expected_orders * share, 4) AS expected_orders_hour
 FROM daily CROSS JOIN hw
 """
+
+_LI_COLS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+            "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+_LI_NONKEY = [c for c in _LI_COLS if c not in ("l_orderkey", "l_linenumber")]
+_UPSERT = f"""
+WITH t AS (SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '1999-01-01'),
+s0 AS (
+  SELECT * REPLACE (l_quantity + 1.0 AS l_quantity) FROM lineitem
+  WHERE l_shipdate >= TIMESTAMP '1998-06-01'
+),
+s AS (
+  SELECT * FROM s0
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_desc(*_LI_NONKEY)}) = 1
+),
+updated AS (
+  SELECT {", ".join(f"CASE WHEN s.l_orderkey IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}" for c in _LI_COLS)},
+         s.l_orderkey IS NOT NULL AS matched
+  FROM t LEFT JOIN s ON t.l_orderkey = s.l_orderkey AND t.l_linenumber = s.l_linenumber
+),
+inserted AS (
+  SELECT * FROM s
+  WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.l_orderkey = s.l_orderkey AND t.l_linenumber = s.l_linenumber)
+)
+"""
+
+ORACLE_SQL["snk_upsert_result"] = _UPSERT + f"""
+SELECT {", ".join(_LI_COLS)} FROM updated
+UNION ALL
+SELECT {", ".join(_LI_COLS)} FROM inserted
+"""
+
+ORACLE_SQL["snk_upsert_counts"] = _UPSERT + """
+SELECT (SELECT COUNT(*) FROM s0) AS rows_loaded,
+       (SELECT COUNT(*) FROM updated WHERE matched) AS rows_updated,
+       (SELECT COUNT(*) FROM inserted) AS rows_inserted,
+       (SELECT COUNT(*) FROM updated WHERE matched) + (SELECT COUNT(*) FROM inserted) AS rows_affected
+"""
+
+ORACLE_SQL["src_json_flatten"] = """
+SELECT event_id, event_type,
+       TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+       TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) IS NOT NULL AS is_valid
+FROM events
+"""
+
+ORACLE_SQL["src_array_zip"] = """
+SELECT vec_id, label,
+       CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos,
+       unnest(embedding) AS value
+FROM embeddings
+"""
+
+ORACLE_SQL["src_partition_prune_scan"] = """
+SELECT *, CAST(ts AS DATE) AS event_date FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-15'
+"""
+
+_WS = "[ \\t\\n\\x0B\\f\\r]"
+
+
+def _clean(e: str) -> str:
+    return f"nullif(regexp_replace({e}, '^{_WS}+|{_WS}+$', '', 'g'), '')"
+
+
+ORACLE_SQL["src_csv_contract_scan"] = f"""
+SELECT c_custkey AS customer_key,
+       {_clean('c_name')} AS customer_name,
+       c_nationkey AS country_code,
+       c_acctbal AS account_balance,
+       {_clean('c_mktsegment')} AS market_segment,
+       TIMESTAMP '2024-02-01 00:00:00' AS _ingested_at,
+       'customer.csv' AS _source_file
+FROM customer WHERE c_nationkey = 1
+"""
+
+ORACLE_SQL["stream_dedup_events"] = "SELECT * FROM events"
+
+ORACLE_SQL["agg_duplicate_keys"] = """
+SELECT l_orderkey, l_linenumber, COUNT(*) AS n_rows
+FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+GROUP BY 1, 2 HAVING COUNT(*) > 1
+"""
+
+ORACLE_SQL["agg_frequency_share"] = """
+SELECT o_orderpriority, COUNT(*) AS n_rows,
+       round(CAST(COUNT(*) AS DOUBLE) / CAST(SUM(COUNT(*)) OVER () AS DOUBLE), 9) AS share
+FROM orders GROUP BY 1 ORDER BY 2 DESC, 1
+"""
+
+ORACLE_SQL["agg_order_profile"] = """
+WITH f AS (SELECT o_orderpriority, COUNT(*) AS n FROM orders GROUP BY 1),
+top AS (SELECT o_orderpriority FROM f ORDER BY n DESC, o_orderpriority DESC LIMIT 1)
+SELECT min(CAST(o_orderdate AS DATE)) AS min_order_date,
+       max(CAST(o_orderdate AS DATE)) AS max_order_date,
+       COUNT(*) AS n_rows,
+       COUNT(DISTINCT CAST(o_orderdate AS DATE)) AS n_distinct_dates,
+       CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS n_finished,
+       CAST(count_if(o_totalprice > 300000) AS BIGINT) AS n_large,
+       round(CAST(COUNT(DISTINCT o_orderstatus) AS DOUBLE) / CAST(COUNT(o_orderstatus) AS DOUBLE), 9)
+         AS status_unique_proportion,
+       (SELECT o_orderpriority FROM top) AS top_priority
+FROM orders
+"""
+
+ORACLE_SQL["agg_ingest_summary"] = """
+WITH parts AS (
+  SELECT 'customers' AS source, COUNT(*) AS n_rows, CAST(COUNT(DISTINCT c_nationkey) AS BIGINT) AS n_cities
+  FROM customer
+  UNION ALL
+  SELECT 'suppliers', COUNT(*), CAST(COUNT(DISTINCT s_nationkey) AS BIGINT) FROM supplier
+  UNION ALL
+  SELECT 'events', COUNT(*), CAST(COUNT(DISTINCT event_type) AS BIGINT) FROM events
+  UNION ALL
+  SELECT 'orders', COUNT(*), CAST(0 AS BIGINT) FROM orders
+)
+SELECT source, n_rows, n_cities,
+       CAST(CASE WHEN n_cities > 0 THEN floor(n_rows / n_cities) ELSE 0 END AS BIGINT) AS n_days
+FROM parts
+"""
+
+ORACLE_SQL["agg_conditional_counts"] = """
+SELECT l_returnflag,
+       CAST(count_if(l_discount > 0.05) AS BIGINT) AS n_discounted,
+       CAST(count_if(l_quantity >= 40) AS BIGINT) AS n_bulk,
+       CAST(count_if(l_linestatus = 'O') AS BIGINT) AS n_open
+FROM lineitem GROUP BY 1
+"""
+
+
+def _dq(table: str, check: str, count_sql: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{check}' AS check_name, "
+            f"CAST(({count_sql}) AS BIGINT) AS failing_rows")
+
+
+def _nn(t, c):
+    return _dq(t, f"not_null_{c}", f"SELECT COUNT(*) FROM {t} WHERE {c} IS NULL")
+
+
+def _uniq(t, cols):
+    k = ", ".join(cols)
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    return _dq(t, f"unique_{'_'.join(cols)}",
+               f"SELECT COUNT(*) FROM (SELECT {k} FROM {t} WHERE {nn} GROUP BY {k} HAVING COUNT(*) > 1)")
+
+
+def _acc(t, c, values):
+    vals = ", ".join(f"'{v}'" for v in values)
+    return _dq(t, f"accepted_values_{c}", f"SELECT COUNT(*) FROM {t} WHERE {c} IS NOT NULL AND {c} NOT IN ({vals})")
+
+
+def _btw(t, c, lo, hi, cond="true"):
+    return _dq(t, f"between_{c}",
+               f"SELECT COUNT(*) FROM {t} WHERE coalesce({c} IS NOT NULL AND ({cond}) "
+               f"AND NOT ({c} >= {lo} AND {c} <= {hi}), false)")
+
+
+def _rel(t, c, parent, pc):
+    return _dq(t, f"relationships_{c}",
+               f"SELECT COUNT(*) FROM {t} x WHERE x.{c} IS NOT NULL "
+               f"AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pc} = x.{c})")
+
+
+def _expr(t, name, pred):
+    return _dq(t, name, f"SELECT COUNT(*) FROM {t} WHERE coalesce({pred}, false)")
+
+
+_DQ_PARTS = [
+    _nn("orders", "o_orderkey"), _uniq("orders", ["o_orderkey"]),
+    _acc("orders", "o_orderstatus", ("F", "O", "P")),
+    _acc("orders", "o_orderpriority", ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED")),
+    _btw("orders", "o_totalprice", 0, 400000, "o_totalprice IS NOT NULL"),
+    _rel("orders", "o_custkey", "customer", "c_custkey"),
+    _expr("orders", "finished_orders_positive_price", "o_orderstatus = 'F' AND NOT (o_totalprice > 0)"),
+    _dq("orders", "row_count_between", "SELECT CASE WHEN COUNT(*) < 0 THEN 1 ELSE 0 END FROM orders"),
+    _dq("orders", "proportion_unique_o_orderpriority",
+        "SELECT CASE WHEN coalesce(CAST(COUNT(DISTINCT o_orderpriority) AS DOUBLE) / "
+        "nullif(CAST(COUNT(o_orderpriority) AS DOUBLE), 0) NOT BETWEEN 0.0 AND 0.5, false) "
+        "THEN 1 ELSE 0 END FROM orders"),
+    _nn("lineitem", "l_orderkey"), _uniq("lineitem", ["l_orderkey", "l_linenumber"]),
+    _btw("lineitem", "l_discount", 0, 0.1),
+    _acc("lineitem", "l_returnflag", ("A", "N", "R")),
+    _expr("lineitem", "returned_lines_positive_quantity",
+          "l_returnflag = 'R' AND (l_quantity IS NULL OR l_quantity <= 0)"),
+    _rel("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    _nn("customer", "c_custkey"), _uniq("customer", ["c_custkey"]),
+    _acc("customer", "c_mktsegment", ("AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY")),
+    _btw("customer", "c_acctbal", -999.99, 9999.99),
+    _rel("customer", "c_nationkey", "nation", "n_nationkey"),
+]
+
+ORACLE_SQL["dq_report"] = (
+    "SELECT table_name, check_name, failing_rows, "
+    "CASE WHEN failing_rows > 0 THEN 'error' ELSE 'pass' END AS status FROM (\n"
+    + "\nUNION ALL\n".join(_DQ_PARTS) + "\n)")
+
+ORACLE_SQL["dq_freshness"] = """
+WITH m AS (SELECT event_type AS source, max(ts) AS max_loaded_at FROM events GROUP BY 1),
+a AS (
+  SELECT *, (epoch_us(TIMESTAMP '2024-01-31 23:30:00') - epoch_us(max_loaded_at)) / 3.6e9 AS age
+  FROM m
+)
+SELECT source, max_loaded_at, round(age, 6) AS age_hours,
+       CASE WHEN max_loaded_at IS NULL THEN 'error' WHEN age > 48.0 THEN 'error'
+            WHEN age > 24.0 THEN 'warn' ELSE 'pass' END AS status
+FROM a
+"""
+
+ORACLE_SQL["inc_next_range"] = """
+WITH ev AS (SELECT event_type AS source_name, CAST(ts AS DATE) AS event_date FROM events),
+state AS (
+  SELECT source_name, max(event_date) AS watermark_date FROM ev
+  WHERE event_date <= DATE '2024-01-20' AND source_name IN ('click', 'view') GROUP BY 1
+),
+sources AS (SELECT DISTINCT source_name FROM ev),
+runs AS (SELECT * FROM (VALUES (DATE '2024-01-15'), (DATE '2024-01-30')) r(run_date)),
+ranges AS (
+  SELECT s.source_name, r.run_date, st.watermark_date AS last_date,
+         coalesce(st.watermark_date + 1, r.run_date - 6) AS start_date, r.run_date AS end_date
+  FROM sources s CROSS JOIN runs r LEFT JOIN state st ON st.source_name = s.source_name
+)
+SELECT source_name, run_date, last_date, start_date, end_date,
+       start_date > end_date AS is_empty,
+       CAST(greatest(date_diff('day', start_date, end_date) + 1, 0) AS INTEGER) AS n_days,
+       (SELECT COUNT(*) FROM ev WHERE ev.source_name = ranges.source_name
+          AND ev.event_date BETWEEN ranges.start_date AND ranges.end_date) AS n_rows
+FROM ranges
+"""
+
+_SK_NULL = "'_dbt_utils_surrogate_key_null_'"
+ORACLE_SQL["fn_surrogate_key"] = f"""
+SELECT l_orderkey, l_linenumber,
+       md5(concat_ws('-', coalesce(CAST(l_orderkey AS VARCHAR), {_SK_NULL}),
+                          coalesce(CAST(l_linenumber AS VARCHAR), {_SK_NULL}),
+                          coalesce(CAST(l_returnflag AS VARCHAR), {_SK_NULL}),
+                          coalesce(CAST(l_shipdate AS VARCHAR), {_SK_NULL}))) AS line_sk
+FROM lineitem
+"""
+
+ORACLE_SQL["fn_round_clamp"] = """
+WITH b AS (
+  SELECT l_orderkey, l_linenumber,
+         l_extendedprice / 100.0 - 50.0 AS base, 1.0 + l_discount * 10.0 AS factor
+  FROM lineitem
+)
+SELECT l_orderkey, l_linenumber,
+       greatest(least(round_even((CASE WHEN coalesce(base, 0.0) <= 0 THEN 300.0 ELSE base END) * factor
+                                 / 10.0, 0) * 10.0, 3500.0), 80.0) AS order_amount
+FROM b
+"""
+
+ORACLE_SQL["fn_safe_divide"] = """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_quantity = 0 OR l_quantity IS NULL THEN NULL ELSE l_extendedprice / l_quantity END
+         AS unit_price,
+       CASE WHEN l_discount = 0 OR l_discount IS NULL THEN NULL ELSE l_tax / l_discount END
+         AS tax_per_discount
+FROM lineitem
+"""
+
+ORACLE_SQL["set_union_all"] = """
+SELECT o_orderkey, o_orderdate, o_totalprice, 'early' AS slice
+FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'
+UNION ALL
+SELECT o_orderkey, o_orderdate, o_totalprice, 'late' AS slice
+FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01'
+"""
+
+ORACLE_SQL["prj_clean_text"] = f"""
+WITH c AS (
+  SELECT page_id, {_clean('url')} AS page_url, {_clean('html')} AS raw_html FROM pages
+)
+SELECT page_id,
+       CAST(length(page_url) AS INTEGER) AS url_length,
+       CAST(length(raw_html) AS INTEGER) AS html_length,
+       raw_html IS NULL AS html_is_blank,
+       upper(trim(regexp_extract(page_url, '^(\\w+)://', 1))) AS scheme
+FROM c
+"""

@@ -336,3 +336,342 @@ def fn_hour_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = demand.hourly_profile(daily)
     return hourly.select("city", "order_date", "order_hour",
                          F.round("expected_orders_hour", 4).alias("expected_orders_hour"))
+
+
+# ---------------------------------------------------------------------------
+# Sinks (SNK7 upsert), sources (SRC4, SRC5, SRC1-3), streaming (INC4)
+
+UPSERT_TARGET_BEFORE = "1999-01-01"
+UPSERT_SOURCE_FROM = "1998-06-01"
+
+
+def _upsert_sides(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem")
+    target = li.where(F.col("l_shipdate") < F.lit(UPSERT_TARGET_BEFORE).cast("timestamp_ntz"))
+    source = (li.where(F.col("l_shipdate") >= F.lit(UPSERT_SOURCE_FROM).cast("timestamp_ntz"))
+              .withColumn("l_quantity", F.col("l_quantity") + F.lit(1.0)))
+    return target, source
+
+
+def snk_upsert_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK7 / JN6 / WIN5: the table a MERGE of a changed, later batch leaves."""
+    from strata.sinks.upsert import merge_frames
+
+    target, source = _upsert_sides(spark, sf_dir)
+    return merge_frames(target, source, LINE_KEYS)
+
+
+def snk_upsert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK7 run facts: rows loaded, updated, inserted, affected."""
+    from strata.sinks.upsert import merge_counts, merge_frames
+
+    target, source = _upsert_sides(spark, sf_dir)
+    return merge_counts(merge_frames(target, source, LINE_KEYS, with_op=True), source)
+
+
+PROPS_SCHEMA = "struct<k: bigint>"
+
+
+def src_json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC5 / SRC6: parse the JSON payload column; rows without the field are flagged."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "event_type", "props")
+    parsed = ev.withColumn("p", F.from_json(F.col("props"), PROPS_SCHEMA))
+    return parsed.select("event_id", "event_type", F.col("p.k").alias("k"),
+                         F.col("p.k").isNotNull().alias("is_valid"))
+
+
+def src_array_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC5 on an array column: one row per (vector, position), zipped with its index."""
+    emb = read_table(spark, sf_dir, "embeddings")
+    return emb.select("vec_id", "label", F.posexplode("embedding").alias("pos", "value"))
+
+
+PRUNE_FROM = "2024-01-15"
+
+
+def src_partition_prune_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK2 + SRC4 + FLT3: land events by day, read back only days >= a bound.
+
+    The landing goes to a fresh folder under the shared checkpoint dir; the
+    read passes the schema explicitly (N9) and the date bound becomes a
+    ``PartitionFilters`` entry, so earlier days are never opened.
+    """
+    from pyspark.sql.types import DateType, StructField, StructType
+
+    from strata.session import scratch_path
+    from strata.sinks.landing import write_by_date
+
+    ev = read_table(spark, sf_dir, "events")
+    path = scratch_path(spark, "events-by-day")
+    write_by_date(ev.withColumn("event_date", F.to_date("ts")), path, "event_date")
+    schema = StructType(ev.schema.fields + [StructField("event_date", DateType(), True)])
+    return filters.since(spark.read.schema(schema).parquet(path), "event_date", PRUNE_FROM)
+
+
+# Our CSV round trip: title-case headers as a raw feed would carry them.
+CUSTOMER_CSV_HEADERS = {"c_custkey": "Customer Key", "c_name": "Customer Name",
+                        "c_nationkey": "Country Code", "c_acctbal": "Account Balance",
+                        "c_mktsegment": "Market Segment"}
+CSV_INGESTED_AT = "2024-02-01 00:00:00"
+
+
+def src_csv_contract_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC1 + SRC3 + FLT1 + PRJ1-3: a Latin-1 header CSV feed, contract-checked.
+
+    The customer table is written as a raw CSV feed (title-case headers,
+    ISO-8859-1) to a fresh scratch folder, then read back the way a raw feed
+    is: header contract, explicit header-ordered schema, country filter with
+    kept/dropped counts, snake_case names, trimmed strings, lineage columns.
+    """
+    from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
+
+    from strata.session import scratch_path
+    from strata.sources.csv import read_csv, validate_contract
+
+    cust = read_table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "customer-csv")
+    (cust.select(*[F.col(c).alias(h) for c, h in CUSTOMER_CSV_HEADERS.items()])
+     .write.option("header", True).option("encoding", "ISO-8859-1").csv(path))
+    declared = StructType([
+        StructField("Customer Key", LongType()), StructField("Customer Name", StringType()),
+        StructField("Country Code", IntegerType()), StructField("Account Balance", DoubleType()),
+        StructField("Market Segment", StringType())])
+    cols = validate_contract(spark, path, list(CUSTOMER_CSV_HEADERS.values()), "ISO-8859-1", "customer feed")
+    raw = read_csv(spark, path, declared, encoding="ISO-8859-1", header_cols=cols)
+    kept, _ = filters.filter_with_counts(raw, F.col("Country Code") == 1, "country")
+    cleaned = X.clean_string_columns(X.snake_case_columns(kept))
+    return cleaned.withColumns({
+        "_ingested_at": F.lit(CSV_INGESTED_AT).cast("timestamp_ntz"),
+        "_source_file": F.lit("customer.csv"),
+    })
+
+
+def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INC4 as Structured Streaming: events landed twice (a full file set and
+    a re-sent later slice) stream through ``dropDuplicatesWithinWatermark``
+    on event_id; the sink holds each event once."""
+    from strata.session import scratch_path
+    from strata.streaming.streams import dedup_stream
+
+    ev = read_table(spark, sf_dir, "events")
+    src = scratch_path(spark, "events-stream-src")
+    ev.write.parquet(f"{src}/batch=1")
+    ev.where(F.col("ts") >= F.lit("2024-01-25").cast("timestamp_ntz")).write.parquet(f"{src}/batch=2")
+    sink = scratch_path(spark, "events-stream-sink")
+    dedup_stream(spark, src, ev.schema, ["event_id"], "ts", "3650 days", sink)
+    return spark.read.schema(ev.schema).parquet(sink)
+
+
+# ---------------------------------------------------------------------------
+# Aggregations (AGG2-AGG12)
+
+def agg_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG2: duplicated (order, line) keys with their multiplicity."""
+    from strata.operators.aggregates import duplicate_keys
+
+    return duplicate_keys(read_table(spark, sf_dir, "lineitem"), LINE_KEYS)
+
+
+def agg_frequency_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG5 + AGG6: orders per priority, largest first, with share of total."""
+    from strata.operators.aggregates import frequency, share_of_total
+
+    counts = frequency(read_table(spark, sf_dir, "orders"), "o_orderpriority")
+    return share_of_total(counts, "n_rows").withColumn("share", F.round("share", 9))
+
+
+def agg_order_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG3 + AGG6 (idxmax) + AGG7 + AGG8 + AGG9 in one pass over orders.
+
+    One aggregate computes extents, conditional and distinct counts and the
+    unique proportion; the most frequent priority comes from a scalar
+    subquery over the (small) per-priority counts.
+    """
+    from strata.operators.aggregates import frequency, top_value
+
+    orders = read_table(spark, sf_dir, "orders")
+    top = top_value(frequency(orders, "o_orderpriority"), "o_orderpriority", "n_rows").scalar()
+    d = F.to_date("o_orderdate")
+    return orders.agg(
+        F.min(d).alias("min_order_date"), F.max(d).alias("max_order_date"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct(d).alias("n_distinct_dates"),
+        F.count_if(F.col("o_orderstatus") == "F").alias("n_finished"),
+        F.count_if(F.col("o_totalprice") > 300000).alias("n_large"),
+        F.round(F.try_divide(F.count_distinct("o_orderstatus").cast("double"),
+                             F.count("o_orderstatus").cast("double")), 9).alias("status_unique_proportion"),
+    ).withColumn("top_priority", top)
+
+
+def agg_ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG11: rows per source, distinct 'cities' and rows // cities."""
+    from strata.operators.aggregates import ingest_summary
+
+    parts = {
+        "customers": read_table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "city"),
+        "suppliers": read_table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "city"),
+        "events": read_table(spark, sf_dir, "events").withColumnRenamed("event_type", "city"),
+        "orders": read_table(spark, sf_dir, "orders"),
+    }
+    return ingest_summary(parts, city_col="city")
+
+
+def agg_conditional_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG8 grouped: flagged-row counts per return flag."""
+    from strata.operators.aggregates import conditional_counts
+
+    li = read_table(spark, sf_dir, "lineitem")
+    return conditional_counts(li, {
+        "n_discounted": F.col("l_discount") > 0.05,
+        "n_bulk": F.col("l_quantity") >= 40,
+        "n_open": F.col("l_linestatus") == "O",
+    }, group_by=["l_returnflag"])
+
+
+# ---------------------------------------------------------------------------
+# Data quality (DQ1-DQ14)
+
+ORDER_PRIORITIES_ACCEPTED = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED")
+SEGMENTS_ACCEPTED = ("AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY")
+
+
+def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ1-DQ12 over orders, lineitem and customer: (table, check, failing rows, status).
+
+    Per table, every predicate check shares one scan and one aggregate;
+    uniqueness / relationship / proportion checks add one key-only shuffle each.
+    """
+    from strata.operators import quality as q
+
+    orders = read_table(spark, sf_dir, "orders")
+    li = read_table(spark, sf_dir, "lineitem")
+    cust = read_table(spark, sf_dir, "customer")
+    nation = read_table(spark, sf_dir, "nation")
+    suites = [
+        ("orders", orders, [
+            q.not_null("o_orderkey"), q.unique("o_orderkey"),
+            q.accepted_values("o_orderstatus", ("F", "O", "P")),
+            q.accepted_values("o_orderpriority", ORDER_PRIORITIES_ACCEPTED),
+            q.between("o_totalprice", 0, 400000, "o_totalprice is not null"),
+            q.relationships("o_custkey", cust, "c_custkey"),
+            q.expression("finished_orders_positive_price", "o_orderstatus = 'F' and not (o_totalprice > 0)"),
+            q.row_count_between(0), q.proportion_unique_between("o_orderpriority", 0.0, 0.5),
+        ]),
+        ("lineitem", li, [
+            q.not_null("l_orderkey"), q.unique(["l_orderkey", "l_linenumber"]),
+            q.between("l_discount", 0, 0.1), q.accepted_values("l_returnflag", ("A", "N", "R")),
+            q.expression("returned_lines_positive_quantity",
+                         "l_returnflag = 'R' and (l_quantity is null or l_quantity <= 0)"),
+            q.relationships("l_orderkey", orders, "o_orderkey"),
+        ]),
+        ("customer", cust, [
+            q.not_null("c_custkey"), q.unique("c_custkey"),
+            q.accepted_values("c_mktsegment", SEGMENTS_ACCEPTED),
+            q.between("c_acctbal", -999.99, 9999.99),
+            q.relationships("c_nationkey", nation, "n_nationkey"),
+        ]),
+    ]
+    out = None
+    for name, df, checks in suites:
+        r = q.run_checks(df, checks, table=name)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+FRESHNESS_AS_OF = "2024-01-31 23:30:00"
+
+
+def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG10 / DQ13: per event type, age of the newest event vs 24 h / 48 h."""
+    from strata.operators.aggregates import freshness_by
+
+    ev = read_table(spark, sf_dir, "events")
+    return freshness_by(ev, "event_type", "ts", FRESHNESS_AS_OF, 24.0, 48.0)
+
+
+# ---------------------------------------------------------------------------
+# Incremental (INC1, INC2)
+
+INC_LANDED_THROUGH = "2024-01-20"
+INC_LANDED_SOURCES = ("click", "view")
+INC_RUN_DATES = ("2024-01-15", "2024-01-30")
+
+
+def inc_next_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INC1 + INC2: next load range per source and run date, and its row count.
+
+    State: the high-water mark of what landed earlier (click and view events
+    through 2024-01-20); other sources are on their first run (7-day
+    look-back). A run date before a mark yields an empty range.
+    """
+    from strata.streaming.incremental import next_ranges, rows_in_ranges
+
+    ev = read_table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("source_name"), F.to_date("ts").alias("event_date"))
+    landed = ev.where((F.col("event_date") <= F.lit(INC_LANDED_THROUGH).cast("date"))
+                      & F.col("source_name").isin(list(INC_LANDED_SOURCES)))
+    state = landed.groupBy("source_name").agg(F.max("event_date").alias("watermark_date"))
+    runs = F.explode(F.array(*[F.lit(d).cast("date") for d in INC_RUN_DATES]))
+    sources = ev.select("source_name").distinct().withColumn("run_date", runs)
+    ranges = next_ranges(sources, state, F.col("run_date"))
+    return rows_in_ranges(ev, ranges, "source_name", "event_date", group_cols=["run_date"]).select(
+        "source_name", "run_date", "last_date", "start_date", "end_date", "is_empty", "n_days", "n_rows")
+
+
+# ---------------------------------------------------------------------------
+# Scalar functions (FN16, FN25, FN26), set ops (SET1), projections (PRJ1, PRJ2)
+
+def fn_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FN26: md5 surrogate key over (order, line, flag, ship date)."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber",
+                     X.surrogate_key(["l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate"])
+                     .alias("line_sk"))
+
+
+def fn_round_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FN25: amount = half-even round to 10 of base x factor, clamped to [80, 3500]."""
+    li = read_table(spark, sf_dir, "lineitem")
+    base = F.col("l_extendedprice") / F.lit(100.0) - F.lit(50.0)
+    factor = F.lit(1.0) + F.col("l_discount") * F.lit(10.0)
+    return li.select("l_orderkey", "l_linenumber", X.order_amount(base, factor).alias("order_amount"))
+
+
+def fn_safe_divide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FN16: division that yields NULL for a zero or NULL denominator."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber",
+                     X.safe_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("unit_price"),
+                     X.safe_divide(F.col("l_tax"), F.col("l_discount")).alias("tax_per_discount"))
+
+
+def set_union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SET1: UNION ALL by name of two disjoint order slices (early and late)."""
+    from strata.operators.setops import union_all
+
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    early = o.where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")) \
+        .withColumn("slice", F.lit("early"))
+    late = o.where(F.col("o_orderdate") >= F.lit("1999-01-01").cast("timestamp_ntz")) \
+        .select("o_totalprice", "o_orderkey", "o_orderdate").withColumn("slice", F.lit("late"))
+    return union_all([early, late])
+
+
+def prj_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ1 + PRJ2 + FN21: snake_case names, whitespace-stripped text, blank -> NULL.
+
+    Only lengths and flags leave the projection, never the documents
+    themselves, so the output stays small however long the texts are.
+    """
+    pages = read_table(spark, sf_dir, "pages")
+    named = pages.select(F.col("page_id").alias("PageID"), F.col("url").alias("Page URL"),
+                         F.col("html").alias("rawHtml"))
+    named = X.snake_case_columns(named)
+    cleaned = X.clean_string_columns(named)
+    return cleaned.select(
+        "page_id",
+        F.length("page_url").alias("url_length"),
+        F.length("raw_html").alias("html_length"),
+        F.col("raw_html").isNull().alias("html_is_blank"),
+        X.upper_trim(F.regexp_extract("page_url", r"^(\w+)://", 1)).alias("scheme"),
+    )
