@@ -45,7 +45,7 @@ def status_flags(status, flags: Mapping[str, str] = ORDER_STATUS_FLAGS) -> dict[
 
 def to_date_strict(c, fmt: str = "yyyy-MM-dd") -> Column:
     """FN23: parse text to DATE; unparsable text gives NULL (``try_to_date``)."""
-    return F.try_to_date(as_col(c).cast("string"), F.lit(fmt))
+    return F.try_to_date(as_col(c).cast("string"), fmt)
 
 
 def month_start(c) -> Column:

@@ -59,7 +59,7 @@ def flatten_weather(payloads: DataFrame, fetched_at, city_col: str = "city") ->
     rows = payloads.select(F.col(city_col).alias("city"), F.inline(zipped))
     rows = rows.select("city", *[F.col(src).alias(dst) for src, dst in _DAILY_FIELDS.items()])
     rows = rows.withColumns({
-        "weather_date": F.try_to_date(F.col("weather_date"), F.lit("yyyy-MM-dd")),
+        "weather_date": F.try_to_date(F.col("weather_date"), "yyyy-MM-dd"),
         "temperature_max": nan_to_null("temperature_max"),
         "temperature_min": nan_to_null("temperature_min"),
         "precipitation_sum": nan_to_null("precipitation_sum"),
