@@ -30,11 +30,23 @@ RUNTIME_SQL_CONF: dict[str, str] = {
 }
 
 
+# AQE may replace a stage that produced no rows by an empty relation; the
+# ``Observation`` metrics collected inside that stage are then lost and
+# ``Observation.get`` fails. Run facts (rows landed / rejected) come from
+# observations, so that one adaptive rule is kept out.
+AQE_EXCLUDED_RULES = ("org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation",)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply RUNTIME_SQL_CONF to ``spark`` where the session has not set a value."""
     for key, value in RUNTIME_SQL_CONF.items():
         if key == "spark.sql.session.timeZone" or spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
+    key = "spark.sql.adaptive.optimizer.excludedRules"
+    current = [r for r in (spark.conf.get(key, "") or "").split(",") if r]
+    missing = [r for r in AQE_EXCLUDED_RULES if r not in current]
+    if missing:
+        spark.conf.set(key, ",".join(current + missing))
     return spark
 
 
