@@ -71,7 +71,9 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
     updated = joined.select(
         *[F.when(matched, F.col(f"{prefix}{c}")).otherwise(target[c]).alias(c) for c in cols],
         *([F.when(matched, F.lit("update")).otherwise(F.lit("keep")).alias(OP_COL)] if with_op else []))
-    t_keys = target.select(*[F.col(k).alias(f"{prefix}{k}") for k in keys])
+    # Distinct target keys: a key repeated across a third of the target is
+    # pre-reduced map-side instead of landing whole in one anti-join task.
+    t_keys = target.select(*[F.col(k).alias(f"{prefix}{k}") for k in keys]).distinct()
     inserts = staged.join(t_keys, _key_cond(staged, t_keys, keys, prefix), "left_anti")
     if with_op:
         inserts = inserts.withColumn(OP_COL, F.lit("insert"))
