@@ -124,13 +124,14 @@ def ingest_weather(spark: SparkSession, payload_path: str, bronze_path: str, aud
         landed = spark.read.parquet(bronze_path).where(
             F.col("weather_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
         per_city = marks.advance_from(landed, "weather", "city", "weather_date")
-        if per_city:
+        slowest = per_city.agg(F.min("watermark_date").alias("d"), F.count(F.lit(1)).alias("n")).first()
+        if slowest["n"]:
             # The source-level mark moves only as far as the slowest city that landed.
-            marks.set("weather", min(per_city.values()), ALL_KEYS)
+            marks.set("weather", slowest["d"].isoformat(), ALL_KEYS)
         n_quarantined = quarantined.count()
         run.record_rows(processed=result.rows_loaded, rejected=n_quarantined)
     return {"rows": result.rows_loaded, "rows_affected": result.rows_affected,
-            "cities": len(per_city), "quarantined": n_quarantined, "range": rng, "status": run.status}
+            "cities": int(slowest["n"]), "quarantined": n_quarantined, "range": rng, "status": run.status}
 
 
 def ingest_ipl(spark: SparkSession, csv_path: str, bronze_path: str, audit_path: str,

@@ -6,9 +6,9 @@ state is a small keyed table (``source_name``, ``watermark_key``,
 it can advance per (source, key) -- e.g. per city -- and only for keys that
 actually landed (D10), not for the whole source when one city failed.
 
-The state has one row per (source, key): it is metadata, bounded by the
-number of sources and keys, so reading it on the driver is fine; all data
-work (what to load, how many rows) stays in Spark.
+Updates are DataFrame merges (the keyed upsert) written through a staging
+folder, so advancing marks per key never gathers keys on the driver; only
+point lookups of one source's mark return a single row to it.
 """
 
 from __future__ import annotations
@@ -55,23 +55,27 @@ class WatermarkStore:
                 return self.spark.createDataFrame([], _READ_SCHEMA)
             raise WatermarkError(f"watermark state at {self.path} is unreadable") from exc
 
-    def _rows(self) -> list:
-        rows = self._frame().collect()
-        if any(r["_corrupt"] is not None for r in rows):
-            raise WatermarkError(f"watermark state at {self.path} is not valid JSON")
-        return rows
-
     def get(self, source: str, key: str = ALL_KEYS) -> str | None:
-        """Last recorded date for ``source`` (and key), or None if unset."""
-        for r in self._rows():
-            if r["source_name"] == source and r["watermark_key"] == key:
-                return r["watermark_date"].isoformat() if r["watermark_date"] else None
-        return None
+        """Last recorded date for ``source`` (and key), or None if unset (point lookup)."""
+        self._check_corrupt()
+        hit = (self._frame().where((F.col("source_name") == source) & (F.col("watermark_key") == key))
+               .select("watermark_date").limit(1).collect())
+        return hit[0]["watermark_date"].isoformat() if hit and hit[0]["watermark_date"] else None
 
     def get_all(self) -> dict[str, str]:
-        """``{source: date}`` for source-level marks (the reference's view)."""
-        return {r["source_name"]: r["watermark_date"].isoformat() for r in self._rows()
-                if r["watermark_key"] == ALL_KEYS and r["watermark_date"] is not None}
+        """``{source: date}`` for source-level marks (one row per source)."""
+        self._check_corrupt()
+        rows = self._frame().where(F.col("watermark_key") == ALL_KEYS).select(
+            "source_name", "watermark_date").collect()
+        return {r["source_name"]: r["watermark_date"].isoformat() for r in rows
+                if r["watermark_date"] is not None}
+
+    def _check_corrupt(self) -> None:
+        # (Spark refuses queries that read only the corrupt-record column.)
+        bad = (self._frame().where(F.col("_corrupt").isNotNull())
+               .select("source_name", "_corrupt").limit(1).collect())
+        if bad:
+            raise WatermarkError(f"watermark state at {self.path} is not valid JSON")
 
     def as_frame(self) -> DataFrame:
         return self._frame().select(*[f.name for f in STATE_SCHEMA.fields])
@@ -80,32 +84,49 @@ class WatermarkStore:
         self.set_many({(source, key): date})
 
     def set_many(self, marks: Mapping[tuple[str, str], str]) -> None:
-        """Upsert several (source, key) -> date marks in one new state file set."""
+        """Upsert explicit (source, key) -> date marks."""
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        current = {(r["source_name"], r["watermark_key"]): (r["watermark_date"], r["updated_at"])
-                   for r in self._rows()}
-        for (src, key), d in marks.items():
-            current[(src, key)] = (_dt.date.fromisoformat(d) if isinstance(d, str) else d, now)
-        rows = [(s, k, d, u) for (s, k), (d, u) in sorted(current.items())]
-        # State was materialised above, so overwriting the path it came from is safe.
-        self.spark.createDataFrame(rows, STATE_SCHEMA).coalesce(1).write.mode("overwrite").json(self.path)
-
-    def advance_from(self, landed: DataFrame, source: str, key_col: str | None, date_col: str) -> dict:
+        rows = [(s, k, _dt.date.fromisoformat(d) if isinstance(d, str) else d, now)
+                for (s, k), d in marks.items()]
+        self.merge(self.spark.createDataFrame(rows, STATE_SCHEMA))
+
+    def merge(self, marks: DataFrame) -> None:
+        """Upsert a DataFrame of marks into the state, entirely in Spark.
+
+        The merged state is written to a staging folder under the shared
+        checkpoint dir, then copied over the state path (never overwriting a
+        path that is still being read, N10).
+        """
+        from strata.session import scratch_path
+        from strata.sinks.upsert import merge_frames
+
+        self._check_corrupt()
+        merged = merge_frames(self.as_frame(), marks.select(*STATE_SCHEMA.names),
+                              ["source_name", "watermark_key"])
+        stage = scratch_path(self.spark, "watermark-stage")
+        merged.write.json(stage)
+        self.spark.read.schema(STATE_SCHEMA).json(stage).write.mode("overwrite").json(self.path)
+
+    def advance_from(self, landed: DataFrame, source: str, key_col: str | None, date_col: str) -> DataFrame:
         """D10: per key, move the mark to the max date that actually landed.
 
-        The max per key is a distributed aggregate; only its (bounded) result
-        reaches the driver.
+        A distributed max per key, merged into the state without passing
+        through the driver. Returns the new marks (``watermark_key``,
+        ``watermark_date``) as a DataFrame.
         """
-        if key_col is None:
-            agg = landed.agg(F.max(F.col(date_col)).alias("d")).collect()
-            marks = {(source, ALL_KEYS): agg[0]["d"]} if agg and agg[0]["d"] is not None else {}
-        else:
-            agg = landed.groupBy(F.col(key_col).cast("string").alias("k")).agg(
-                F.max(F.col(date_col)).alias("d")).collect()
-            marks = {(source, r["k"]): r["d"] for r in agg if r["k"] is not None and r["d"] is not None}
-        if marks:
-            self.set_many(marks)
-        return {f"{s}/{k}": (d.isoformat() if hasattr(d, "isoformat") else d) for (s, k), d in marks.items()}
+        key = F.lit(ALL_KEYS) if key_col is None else F.col(key_col).cast("string")
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        marks = (landed.where(key.isNotNull() & F.col(date_col).isNotNull())
+                 .groupBy(key.alias("watermark_key")).agg(F.max(F.col(date_col)).alias("watermark_date"))
+                 .select(F.lit(source).alias("source_name"), "watermark_key", "watermark_date",
+                         F.lit(now).alias("updated_at")))
+        from strata.session import scratch_path
+
+        stage = scratch_path(self.spark, "watermark-marks")
+        marks.write.parquet(stage)          # computed once, reused by merge and caller
+        marks = self.spark.read.parquet(stage)
+        self.merge(marks)
+        return marks.select("watermark_key", "watermark_date")
 
 
 def next_range(last: str | None, run_date: str,
