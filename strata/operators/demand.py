@@ -59,11 +59,13 @@ def hour_weights() -> list[tuple[int, float]]:
     return [(h, PEAK_HOUR_WEIGHTS.get(h, OFF_PEAK_WEIGHT)) for h in range(24)]
 
 
+def _as_date(d):
+    return _dt.date.fromisoformat(d) if isinstance(d, str) else d
+
+
 def date_spine(entities: DataFrame, start, end, date_col: str = "order_date") -> DataFrame:
     """JN8: every entity row repeated for each date in ``[start, end]``."""
-    s = F.lit(_dt.date.fromisoformat(start) if isinstance(start, str) else start)
-    e = F.lit(_dt.date.fromisoformat(end) if isinstance(end, str) else end)
-    return entities.withColumn(date_col, F.explode(F.sequence(s, e)))
+    return entities.withColumn(date_col, F.explode(F.sequence(F.lit(_as_date(start)), F.lit(_as_date(end)))))
 
 
 def cuisine_category(cuisines_col) -> F.Column:
@@ -94,8 +96,18 @@ def expected_demand(entities: DataFrame, start, end, *, city_col: str = "city",
     weekend_m = F.when(day_of_week_mon0(F.col(date_col)) >= 5, F.lit(WEEKEND_MULTIPLIER)).otherwise(F.lit(1.0))
     rainy_m = F.lit(1.0)
     if rainy is not None:
-        wet = (rainy.groupBy(*[F.col(r).alias(sp) for sp, r in rainy_on])
+        lo, hi = _as_date(start), _as_date(end)
+        date_pairs = [(sp, r) for sp, r in rainy_on if sp == date_col]
+        wet = rainy
+        for _, r in date_pairs:  # only the requested days can ever match
+            wet = wet.where(F.col(r).between(F.lit(lo), F.lit(hi)))
+        wet = (wet.groupBy(*[F.col(r).alias(sp) for sp, r in rainy_on])
                .agg(F.max(F.coalesce(F.col("is_rainy"), F.lit(False))).alias("_is_rainy")))
+        if [sp for sp, _ in rainy_on] == [date_col]:
+            # Keyed by date alone, the table has at most (end - start + 1) rows:
+            # a proven bound, so broadcast it instead of shuffling the spine on
+            # a key with only that many values.
+            wet = F.broadcast(wet)
         spine = spine.join(wet, [sp for sp, _ in rainy_on], "left")
         rainy_m = F.when(F.coalesce(F.col("_is_rainy"), F.lit(False)), F.lit(RAINY_MULTIPLIER)).otherwise(F.lit(1.0))
     out = spine.withColumn(out_col, F.lit(rate) * city_m * cuisine_m * weekend_m * rainy_m)

@@ -46,14 +46,23 @@ def left_join(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     return left.join(r, [l for l, _ in pairs], "left")
 
 
-def anti_join(left: DataFrame, right: DataFrame, keys, right_where: Column | None = None) -> DataFrame:
+def anti_join(left: DataFrame, right: DataFrame, keys, right_where: Column | None = None,
+              distinct_right: bool = True) -> DataFrame:
     """JN2 / JN5 / SET2: rows of ``left`` with no key match in ``right``.
 
     Keeps duplicates of ``left`` (unlike EXCEPT). SQL '=' semantics: a NULL
     key never matches, so NULL-keyed left rows are kept.
+
+    The right side is reduced to distinct keys first. AQE can split a skewed
+    *left* partition of an anti join but never the right (build) side, so a
+    right key repeated across a third of the table must be pre-reduced
+    map-side; the distinct's exchange is the one the join needs anyway.
     """
     pairs = _pairs(keys)
-    return left.join(_right_keys_as_left(right, pairs, right_where), [l for l, _ in pairs], "left_anti")
+    right_keys = _right_keys_as_left(right, pairs, right_where)
+    if distinct_right:
+        right_keys = right_keys.distinct()
+    return left.join(right_keys, [l for l, _ in pairs], "left_anti")
 
 
 def semi_join(left: DataFrame, right: DataFrame, keys, right_where: Column | None = None) -> DataFrame:
