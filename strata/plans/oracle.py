@@ -573,3 +573,11 @@ SELECT page_id,
        upper(trim(regexp_extract(page_url, '^(\\w+)://', 1))) AS scheme
 FROM c
 """
+
+ORACLE_SQL["jn_left_enrich_two_keys"] = f"""
+WITH md4 AS ({ORACLE_SQL["md4_weather_classify"]})
+SELECT l.l_orderkey, l.l_linenumber, l.l_returnflag AS city, CAST(l.l_shipdate AS DATE) AS ship_date,
+       m.weather_category, m.season
+FROM lineitem l
+LEFT JOIN md4 m ON l.l_returnflag = m.city AND CAST(l.l_shipdate AS DATE) = m.weather_date
+"""

@@ -20,6 +20,7 @@ QUERIES = {
     "jn_append_new_only": W.jn_append_new_only,
     "agg_append_counts": W.agg_append_counts,
     "jn_lookup_default": W.jn_lookup_default,
+    "jn_left_enrich_two_keys": W.jn_left_enrich_two_keys,
     "jn_spine_expected_demand": W.jn_spine_expected_demand,
     "fn_hour_profile": W.fn_hour_profile,
     "snk_upsert_result": W.snk_upsert_result,

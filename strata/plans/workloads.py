@@ -265,13 +265,19 @@ def jn_append_new_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def agg_append_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG12: rows processed / rejected for the append above, one pass each side."""
-    batch, _ = _lineitem_batches(spark, sf_dir)
-    new = jn_append_new_only(spark, sf_dir)
-    processed = new.select(F.count(F.lit(1))).scalar()
-    return batch.agg(F.count(F.lit(1)).alias("rows_in_batch")).select(
-        "rows_in_batch", processed.alias("rows_processed"),
-        (F.col("rows_in_batch") - processed).alias("rows_rejected"))
+    """AGG12: rows in the batch, processed (new) and rejected (already landed).
+
+    One pass: each batch row is flagged by an existence join against the
+    date-pruned existing keys, then a single aggregate counts both outcomes.
+    """
+    from strata.operators import joins
+
+    batch, existing = _lineitem_batches(spark, sf_dir)
+    existing_for_dates = joins.semi_join(existing, batch, ["ship_date"])
+    flagged = joins.exists_flag(batch, existing_for_dates, LINE_KEYS, "_exists")
+    return flagged.agg(F.count(F.lit(1)).alias("rows_in_batch"),
+                       F.count_if(~F.col("_exists")).alias("rows_processed"),
+                       F.count_if(F.col("_exists")).alias("rows_rejected"))
 
 
 # Workload parameters of our own: segment multipliers (case-insensitive keys,
@@ -677,3 +683,18 @@ def prj_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("raw_html").isNull().alias("html_is_blank"),
         X.upper_trim(F.regexp_extract("page_url", r"^(\w+)://", 1)).alias("scheme"),
     )
+
+
+def jn_left_enrich_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN1: LEFT equi-join on two keys -- each line enriched with its day's class.
+
+    The right side is the MD4 table (one row per (city, day) after its
+    dedup), so the left join cannot fan out; unmatched rows keep NULLs.
+    """
+    from strata.operators import joins
+
+    lines = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_returnflag").alias("city"),
+        F.to_date("l_shipdate").alias("ship_date"))
+    daily = md4_weather_classify(spark, sf_dir).select("city", "weather_date", "weather_category", "season")
+    return joins.left_join(lines, daily, [("city", "city"), ("ship_date", "weather_date")])
