@@ -55,3 +55,26 @@ def test_freshness_b5(spark):
     assert freshness(empty, "t", as_of, 24.0, 48.0).first()["status"] == "error"
     warn_only = spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "t timestamp_ntz")
     assert freshness(warn_only, "t", as_of, 72.0, None).first()["status"] == "warn"
+
+
+def test_source_freshness_with_lookback(spark):
+    from strata.plans import silver
+    from tests.fixtures import a3_festivals, b1_orders, b2_weather
+
+    bronze = {"raw_orders": b1_orders(spark), "raw_weather": b2_weather(spark),
+              "raw_festival_calendar": a3_festivals(spark)}
+    got = {r["source"]: r["status"] for r in silver.source_freshness(bronze, "2023-01-06 12:00:00").collect()}
+    # orders: newest _generated_at 2023-01-06 10:00 -> 2 h old; weather: 1.1 days (< 3 d warn)
+    assert got == {"raw_orders": "pass", "raw_weather": "pass", "raw_festival_calendar": "pass"}
+    late = {r["source"]: r["status"] for r in silver.source_freshness(bronze, "2023-05-01 00:00:00").collect()}
+    # orders dated before the 90-day look-back are filtered out -> no rows -> error
+    assert late == {"raw_orders": "error", "raw_weather": "warn", "raw_festival_calendar": "warn"}
+
+
+def test_left_join_two_keys(spark):
+    from strata.operators.joins import left_join
+
+    left = spark.createDataFrame([("a", 1, 10), ("a", 2, 20), ("b", 1, 30), (None, 1, 40)], "c string, d int, x int")
+    right = spark.createDataFrame([("a", 1, "w1"), ("b", 1, "w2")], "city string, day int, w string")
+    got = sorted((tuple(r) for r in left_join(left, right, [("c", "city"), ("d", "day")]).collect()), key=repr)
+    assert got == sorted([("a", 1, 10, "w1"), ("a", 2, 20, None), ("b", 1, 30, "w2"), (None, 1, 40, None)], key=repr)
