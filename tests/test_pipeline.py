@@ -124,3 +124,13 @@ def test_ndjson_load(spark, tmp_path):
     got = spark.read.parquet(target)
     assert got.columns == RAW_WEATHER.names and got.where("city = 'delhi'").first()["is_rainy"] is True
     assert local_path("file:/x/y") == "/x/y"
+
+
+def test_write_by_date_one_file_per_date(spark):
+    """Reference behaviour: one file per order_date for ordinary (non-hot) sizes."""
+    df = spark.range(300).select(F.date_add(F.lit(dt.date(2023, 1, 1)), (F.col("id") % 7).cast("int"))
+                                 .alias("order_date"), "id").repartition(5)
+    path = scratch_path(spark, "t-by-date")
+    landing.write_by_date(df, path, "order_date")
+    man = landing.partition_manifest(spark, path, ["order_date"]).collect()
+    assert len(man) == 7 and all(r["rows"] in (42, 43) for r in man)
