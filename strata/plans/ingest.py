@@ -56,13 +56,13 @@ def clean_restaurants_for_landing(df: DataFrame, ingested_at, source_file: str,
 def ingest_restaurants(spark: SparkSession, csv_path: str, landing_root: str, bronze_path: str,
                        audit_path: str, ingestion_date: str, ingested_at) -> dict:
     """MD7: SRC1, SRC3 -> FLT1 -> PRJ1-3 -> SNK1 -> SNK5."""
-    with PipelineRun(spark, audit_path, DAG_ID, "zomato") as run:
+    with PipelineRun(spark, audit_path, DAG_ID, "restaurants") as run:
         validate_contract(spark, csv_path, RESTAURANT_CSV_COLUMNS, "ISO-8859-1", "restaurant source")
         raw = read_csv(spark, csv_path, RESTAURANT_CSV_SCHEMA, encoding="ISO-8859-1")
         india, counts = filter_with_counts(raw, F.col("Country Code") == INDIA_COUNTRY_CODE, "india")
         cleaned = clean_restaurants_for_landing(india, ingested_at, os.path.basename(csv_path),
                                                 ingestion_date)
-        landing = f"{landing_root}/zomato/raw"
+        landing = f"{landing_root}/restaurants/raw"
         manifest = land(cleaned, landing, partition_cols=["_ingestion_date"])
         got = counts.get
         bronze = conform(spark.read.parquet(landing).where(
@@ -144,14 +144,14 @@ def ingest_ipl(spark: SparkSession, csv_path: str, bronze_path: str, audit_path:
         df = raw.withColumns({
             "match_date": X.to_date_strict("match_date"),
             "venue_city": venue,
-        }).withColumn("is_deliveryiq_city",
+        }).withColumn("is_service_city",
                       F.coalesce(F.col("venue_city").isin(list(SERVICE_CITIES)), F.lit(False)))
         df = lineage(df, ingested_at, os.path.basename(csv_path), ingestion_date)
         manifest = land(conform(df, RAW_IPL_SCHEDULE), bronze_path,
-                        metrics={"deliveryiq_city_rows": F.count_if(F.col("is_deliveryiq_city"))})
+                        metrics={"service_city_rows": F.count_if(F.col("is_service_city"))})
         WatermarkStore(spark, watermark_path).set("ipl_schedule", ingestion_date)
         run.record_rows(processed=manifest["row_count"])
-    return {"row_count": manifest["row_count"], "deliveryiq_city_rows": manifest["deliveryiq_city_rows"],
+    return {"row_count": manifest["row_count"], "service_city_rows": manifest["service_city_rows"],
             "status": run.status}
 
 

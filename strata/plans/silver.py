@@ -144,7 +144,7 @@ def stg_ipl_schedule(raw: DataFrame) -> DataFrame:
         X.standardise_city("venue_city").alias("venue_city"),
         F.lower(F.trim("match_type")).alias("match_type"),
         "winner",
-        F.col("is_deliveryiq_city").try_cast("boolean").alias("is_deliveryiq_city"),
+        F.col("is_service_city").try_cast("boolean").alias("is_service_city"),
         X.pair_label("team1", "team2").alias("match_label"),
         X.is_knockout("match_type").alias("is_knockout"),
         "_ingested_at",
@@ -184,7 +184,7 @@ def is_ipl_match_day(df: DataFrame, date_col: str, city_col: str, ipl: DataFrame
                      flag: str = "is_ipl_match_day") -> DataFrame:
     """JN4: EXISTS a match hosted in the city on the date, in a service city."""
     return joins.exists_flag(df, ipl, [(date_col, "match_date"), (city_col, "venue_city")], flag,
-                             right_where=F.coalesce(F.col("is_deliveryiq_city"), F.lit(False)))
+                             right_where=F.coalesce(F.col("is_service_city"), F.lit(False)))
 
 
 def silver_checks(restaurants: DataFrame) -> dict[str, list[quality.Check]]:

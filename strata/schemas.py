@@ -39,7 +39,7 @@ RAW_WEATHER = _s(
 )
 RAW_IPL_SCHEDULE = _s(
     ("match_date", DT), ("season", L), ("match_number", L), ("team1", S), ("team2", S),
-    ("venue_city", S), ("match_type", S), ("winner", S), ("is_deliveryiq_city", B),
+    ("venue_city", S), ("match_type", S), ("winner", S), ("is_service_city", B),
     ("_ingested_at", TS), ("_source_file", S), ("_ingestion_date", DT),
 )
 RAW_FESTIVAL_CALENDAR = _s(

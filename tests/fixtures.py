@@ -20,7 +20,7 @@ def frame(spark, schema, dict_rows):
 def order(oid, day, when, amount, status="delivered", mins=30, gen=T1, city="Delhi", rid=1):
     return {"order_id": oid, "order_date": day, "order_datetime": when, "order_amount_inr": amount,
             "order_status": status, "delivery_time_mins": mins, "_generated_at": gen, "city": city,
-            "restaurant_id": rid, "payment_method": "UPI", "platform": "zomato"}
+            "restaurant_id": rid, "payment_method": "UPI", "platform": "app"}
 
 
 def b1_orders(spark):
@@ -85,7 +85,7 @@ def b3_restaurants(spark):
 def a2_ipl(spark):
     def m(day, no, t1, t2, city, mtype, ing=T1, flag=True):
         return {"match_date": day, "season": 2023, "match_number": no, "team1": t1, "team2": t2,
-                "venue_city": city, "match_type": mtype, "is_deliveryiq_city": flag, "_ingested_at": ing}
+                "venue_city": city, "match_type": mtype, "is_service_city": flag, "_ingested_at": ing}
     return frame(spark, RAW_IPL_SCHEDULE, [
         m(dt.date(2023, 4, 2), 3, "RCB", "MI", "Bangalore", "league"),
         m(dt.date(2023, 4, 2), 3, "RCB", "MI", "Bangalore", "League ", ing=T2),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strata import functions as X
 from strata.functions.sql import register_sql_functions
-from strata.plans import pipeline
+from strata.plans import silver_build as pipeline
 from strata.schemas import RAW_WEATHER
 from strata.session import local_path, scratch_path
 from strata.sinks import landing, ledger

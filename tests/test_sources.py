@@ -37,7 +37,7 @@ def restaurant_csv(tmp_path, drop=()):
     }
     idx = [RESTAURANT_CSV_COLUMNS.index(c) for c in header]
     data = [[row[i] for i in idx] for row in base.values()]
-    return write_csv(tmp_path / "zomato.csv", header, data, encoding="latin-1")
+    return write_csv(tmp_path / "restaurants.csv", header, data, encoding="latin-1")
 
 
 def test_restaurant_contract_missing_columns_raise(spark, tmp_path):
@@ -61,7 +61,7 @@ def test_ingest_restaurants_a1(spark, tmp_path):
     assert got[1]["restaurant_name"] == "Le Petit Soufflé"      # trimmed, Latin-1 decoded
     assert got[2]["locality"] is None                                # blank -> NULL
     assert got[1]["has_table_booking"] is True and got[2]["has_table_booking"] is False  # D8
-    assert got[1]["_source_file"] == "zomato.csv" and got[1]["_ingestion_date"] == dt.date(2024, 2, 1)
+    assert got[1]["_source_file"] == "restaurants.csv" and got[1]["_ingestion_date"] == dt.date(2024, 2, 1)
     assert spark.read.parquet(audit).first()["status"] == "SUCCESS"
 
 
@@ -75,8 +75,8 @@ def test_ingest_ipl_a2(spark, tmp_path):
     path = write_csv(tmp_path / "ipl.csv", header, data)
     bronze, audit, marks = (scratch_path(spark, n) for n in ("t-ipl", "t-audit", "t-marks"))
     m = ingest.ingest_ipl(spark, path, bronze, audit, marks, "2024-02-01", INGESTED_AT)
-    assert (m["row_count"], m["deliveryiq_city_rows"]) == (3, 2)
-    got = [(r["venue_city"], r["is_deliveryiq_city"]) for r in spark.read.parquet(bronze).orderBy("match_date").collect()]
+    assert (m["row_count"], m["service_city_rows"]) == (3, 2)
+    got = [(r["venue_city"], r["is_service_city"]) for r in spark.read.parquet(bronze).orderBy("match_date").collect()]
     assert got == [("Bangalore", True), ("Delhi", True), ("Ahmedabad", False)]
     bad = write_csv(tmp_path / "ipl_bad.csv", header[:4], [r[:4] for r in data])
     with pytest.raises(SchemaValidationError):
