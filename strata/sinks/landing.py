@@ -30,6 +30,9 @@ def land(df: DataFrame, path: str, *, mode: str = "overwrite", fmt: str = "parqu
     third of the rows is split over several tasks / files instead of one.
     ``sort_within`` clusters rows inside each file (min/max skipping, SNK10).
     """
+    from strata.session import configure
+
+    configure(df.sparkSession)  # observed metrics must survive AQE's empty-stage pruning
     obs = Observation("land")
     aggs = [F.count(F.lit(1)).alias("row_count")]
     for name, expr in (metrics or {}).items():

@@ -97,6 +97,9 @@ def upsert_parquet(spark: SparkSession, source: DataFrame, target_path: str, key
     With ``partition_cols`` (all of which must be keys) only touched
     partitions are read and rewritten.
     """
+    from strata.session import configure
+
+    configure(spark)
     partition_cols = list(partition_cols)
     if any(p not in keys for p in partition_cols):
         raise ValueError("partition columns must be part of the upsert key")
