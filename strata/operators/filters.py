@@ -74,3 +74,42 @@ def filter_with_counts(df: DataFrame, predicate: Column, name: str = "filter"):
 def is_true(c) -> Column:
     """Three-valued helper: NULL counts as not true (FLT9)."""
     return F.coalesce(as_col(c), F.lit(False))
+
+
+# Largest number of distinct partition values turned into a literal IN filter;
+# beyond it the exact semi-join form is used instead (no pruning, same rows).
+MAX_PRUNE_VALUES = 10_000
+
+
+def restrict_to_values(df: DataFrame, values_df: DataFrame, cols, max_values: int = MAX_PRUNE_VALUES):
+    """Rows of ``df`` whose ``cols`` take a value present in ``values_df`` (SRC9).
+
+    Meant for partition columns: the distinct values (one row per touched
+    partition, read with ``limit(max_values + 1)`` so the driver never gets
+    more) become a literal ``IN`` list, which Spark applies as
+    ``PartitionFilters`` -- only those partition directories are listed and
+    read. Dynamic partition pruning would not fire here because the batch
+    side carries no selective predicate. With more than ``max_values``
+    distinct values the exact semi-join is used instead.
+    """
+    from strata.operators.joins import semi_join
+
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    vals = values_df.select(*cols).distinct().limit(max_values + 1).collect()
+    if len(vals) > max_values:
+        return semi_join(df, values_df, cols)
+    if not vals:
+        return df.where(F.lit(False))
+    if len(cols) == 1:
+        present = [r[0] for r in vals if r[0] is not None]
+        return df.where(F.col(cols[0]).isin(present)) if present else df.where(F.lit(False))
+    cond = None
+    for r in vals:
+        if any(v is None for v in r):
+            continue  # '=' never matches NULL
+        term = None
+        for c, v in zip(cols, r):
+            t = F.col(c) == F.lit(v)
+            term = t if term is None else term & t
+        cond = term if cond is None else cond | term
+    return df.where(cond) if cond is not None else df.where(F.lit(False))

@@ -43,7 +43,9 @@ def left_join(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     for l, rr in pairs:
         if l != rr:
             r = r.withColumnRenamed(rr, l)
-    return left.join(r, [l for l, _ in pairs], "left")
+    names = [l for l, _ in pairs]
+    extra = [c for c in r.columns if c not in names]
+    return left.join(r, names, "left").select(*left.columns, *extra)
 
 
 def anti_join(left: DataFrame, right: DataFrame, keys, right_where: Column | None = None,
@@ -62,7 +64,7 @@ def anti_join(left: DataFrame, right: DataFrame, keys, right_where: Column | Non
     right_keys = _right_keys_as_left(right, pairs, right_where)
     if distinct_right:
         right_keys = right_keys.distinct()
-    return left.join(right_keys, [l for l, _ in pairs], "left_anti")
+    return left.join(right_keys, [l for l, _ in pairs], "left_anti").select(*left.columns)
 
 
 def semi_join(left: DataFrame, right: DataFrame, keys, right_where: Column | None = None) -> DataFrame:
@@ -74,7 +76,7 @@ def semi_join(left: DataFrame, right: DataFrame, keys, right_where: Column | Non
     """
     pairs = _pairs(keys)
     right_keys = _right_keys_as_left(right, pairs, right_where).distinct()
-    return left.join(right_keys, [l for l, _ in pairs], "left_semi")
+    return left.join(right_keys, [l for l, _ in pairs], "left_semi").select(*left.columns)
 
 
 def exists_flag(left: DataFrame, right: DataFrame, keys, flag: str,
@@ -91,7 +93,7 @@ def exists_flag(left: DataFrame, right: DataFrame, keys, flag: str,
              .where(_all_not_null(names))
              .groupBy(*names).agg(F.lit(True).alias(flag)))
     joined = left.join(marks, names, "left")
-    return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    return joined.select(*left.columns, F.coalesce(F.col(flag), F.lit(False)).alias(flag))
 
 
 def _all_not_null(names: Sequence[str]) -> Column:

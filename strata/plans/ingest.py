@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from strata import functions as X
 from strata.operators import joins
-from strata.operators.filters import filter_with_counts
+from strata.operators.filters import filter_with_counts, restrict_to_values
 from strata.schemas import (FESTIVAL_CSV_REQUIRED, FESTIVAL_CSV_SCHEMA, IPL_CSV_REQUIRED, IPL_CSV_SCHEMA,
                             RAW_FESTIVAL_CALENDAR, RAW_IPL_SCHEDULE, RAW_ORDERS, RAW_RESTAURANTS,
                             RAW_WEATHER, RESTAURANT_CSV_COLUMNS, RESTAURANT_CSV_SCHEMA, conform)
@@ -78,8 +78,9 @@ def ingest_restaurants(spark: SparkSession, csv_path: str, landing_root: str, br
 def ingest_orders(spark: SparkSession, orders_dir: str, bronze_path: str, audit_path: str) -> dict:
     """MD8: SRC4 -> SRC9 -> JN5 -> SNK6 -> SNK9.
 
-    Existing ids are looked up only for the batch's dates: the semi-join on
-    the partition column lets Spark prune the bronze scan to those dates. An
+    Existing ids are looked up only for the batch's dates: they become a
+    literal IN filter on the partition column, so only those partitions of
+    the bronze table are read (the reference's ``IN UNNEST(@dates)``). An
     unreadable bronze table fails the run (D11); only an absent one is empty.
     """
     with PipelineRun(spark, audit_path, DAG_ID, "orders") as run:
@@ -90,8 +91,8 @@ def ingest_orders(spark: SparkSession, orders_dir: str, bronze_path: str, audit_
             if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
                 raise
             existing = spark.createDataFrame([], RAW_ORDERS)
-        dates = batch.select("order_date").distinct()
-        existing_ids = joins.semi_join(existing, dates, ["order_date"]).select("order_id")
+        # SRC9: existing ids only for the batch's dates (static partition pruning)
+        existing_ids = restrict_to_values(existing, batch, ["order_date"]).select("order_id")
         marked = joins.exists_flag(batch, existing_ids, ["order_id"], "_exists")
         from pyspark.sql import Observation
 

@@ -13,9 +13,9 @@ Both joins shuffle on the key; AQE broadcasts the staged side when its
 measured size is small and splits skewed keys otherwise.
 
 When the target is a partitioned table and the partition columns are part of
-the key, only the partitions the source touches are read (a semi-join on the
-partition columns prunes the scan) and only they are rewritten (dynamic
-partition overwrite). The merged partitions are first written to a staging
+the key, only the partitions the source touches are read (their values become
+a literal IN filter, i.e. static partition pruning) and only they are
+rewritten (dynamic partition overwrite). The merged partitions are first written to a staging
 folder under the shared checkpoint dir, which cuts lineage and avoids
 overwriting a path that is still being read (N10).
 """
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.dedup import keep_any
+from strata.operators.filters import restrict_to_values
 from strata.session import scratch_path
 
 OP_COL = "__merge_op"
@@ -120,8 +121,8 @@ def upsert_parquet(spark: SparkSession, source: DataFrame, target_path: str, key
     if not exists:
         target = spark.createDataFrame([], src.schema)
     elif partition_cols:
-        touched = src.select(*partition_cols).distinct()
-        target = target.join(touched, partition_cols, "left_semi")
+        # only the partitions the batch touches are listed and read
+        target = restrict_to_values(target, src, partition_cols)
     src = src.select(*target.columns)
     # 3. Merge into a staging folder, counting updates / inserts on the way.
     merged = merge_frames(target, src, keys, with_op=True)

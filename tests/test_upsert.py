@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from strata.session import scratch_path
 from strata.sinks.upsert import merge_counts, merge_frames, upsert_parquet
 from tests.conftest import rows
@@ -51,3 +53,24 @@ def test_upsert_null_keys_not_idempotent(spark):
     upsert_parquet(spark, batch, path, ["city", "d"])
     upsert_parquet(spark, batch, path, ["city", "d"])
     assert spark.read.parquet(path).count() == 2   # JN6: NULL keys never match
+
+
+def test_touched_partition_read_is_pruned(spark):
+    """Touched partition values become a literal IN filter -> static PartitionFilters."""
+    from strata.operators.filters import restrict_to_values
+
+    path = scratch_path(spark, "test-dpp")
+    spark.range(3000).selectExpr("id", "date_add(date'2023-01-01', cast(id % 30 as int)) as d") \
+        .write.partitionBy("d").parquet(path)
+    batch = spark.createDataFrame([(1, dt.date(2023, 1, 3)), (2, dt.date(2023, 1, 5))], "id bigint, d date")
+    pruned = restrict_to_values(spark.read.parquet(path), batch, ["d"])
+    rows_ = pruned.collect()
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [d#" in plan and "IN (2023-01-03,2023-01-05)]" in plan
+    assert len(rows_) == 200 and {r["d"] for r in rows_} == {dt.date(2023, 1, 3), dt.date(2023, 1, 5)}
+    # beyond the value limit the exact semi-join form gives the same rows
+    fallback = restrict_to_values(spark.read.parquet(path), batch, ["d"], max_values=1)
+    assert sorted(map(tuple, fallback.collect())) == sorted(map(tuple, rows_))
+    keys = spark.createDataFrame([(2, dt.date(2023, 1, 3)), (1, dt.date(2023, 1, 5))], "id bigint, d date")
+    two = restrict_to_values(spark.read.parquet(path), keys, ["d", "id"])
+    assert sorted((r["id"], r["d"]) for r in two.collect()) == [(2, dt.date(2023, 1, 3))]
