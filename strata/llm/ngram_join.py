@@ -15,12 +15,15 @@ projections while its thin partitions are no more than ``spare``: one partition
 that is not thin still agrees. A set with more of them signs all.
 
 Sets that share a signature are candidates, not yet links. Exact conditions
-thin them out before any text is compared: sizes, and the number of elements
-that no other candidate set has (these all count as differences). The rest are
-compared on their whole sets.
+thin them out before any text is compared: sizes, the number of elements that
+no other candidate set has (these all count as differences), and parity sketches
+(bit ``i`` is the parity of the number of elements hashed to ``i``; each bit in
+which two sketches differ takes a difference of its own). The rest are compared
+on their whole sets.
 
 Skew: equal sets collapse into one class by aggregation before anything else;
-each Arrow batch signs for a class once. Inside a large bucket, members are
+each Arrow batch signs for a class once; buckets of the same members, as the many
+signatures of one group of copies make them, are one bucket. Inside a large bucket, members are
 compared with a bounded block of hubs first (the sets with the fewest elements
 of their own, such as the original of many edited copies); members whose
 component is already the hub's are not compared again. Blocks go on until every
@@ -45,6 +48,9 @@ from strata.llm.tables import Scratch, bounded_batches, connected_components
 
 #: Projections with fewer elements are thin.
 LEAST_ELEMENTS = 2
+#: Longs of a parity sketch.
+SKETCH = 8
+_SKETCH_COLUMNS = [f"x{i}" for i in range(SKETCH)]
 #: Hubs of a bucket compared in the first and in each later block.
 HUB_BLOCKS = (64, 1024)
 
@@ -179,15 +185,17 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     by_sig = Window.partitionBy("sig")
     buckets = (base.select("text").mapInArrow(signed, "sig long, cls long")
                .withColumn("lo", F.min("cls").over(by_sig)).withColumn("hi", F.max("cls").over(by_sig))
-               .where("lo < hi").select("sig", "cls").distinct())
+               .withColumn("all", F.sum(F.xxhash64("cls").bitwiseAND(F.lit((1 << 32) - 1))).over(by_sig))
+               .where("lo < hi").select(F.xxhash64("lo", "hi", "all").alias("sig"), "cls").distinct())
     buckets = scratch.save(buckets, "buckets")
 
     classes = rows.where("n > 0").groupBy("cls").agg(F.min("id").alias("id"), F.first("n").alias("n"))
     wanted = buckets.select("cls").distinct().join(classes, "cls")
-    texts = scratch.save(base.join(wanted, "id").dropDuplicates(["cls"]).select("cls", "n", "text"), "texts")
+    texts = base.join(wanted, "id").dropDuplicates(["cls"]).select("cls", "n", "text")
+    texts = scratch.save(_sketched(texts, n), "texts")
     alone = scratch.save(_own_elements(texts, n), "alone")
-    member = (buckets.join(texts.select("cls", "n"), "cls").join(alone, "cls", "left")
-              .select("sig", "cls", "n", F.coalesce("alone", F.lit(0)).alias("alone"))
+    member = (buckets.join(texts.drop("text"), "cls").join(alone, "cls", "left")
+              .select("sig", "cls", "n", F.coalesce("alone", F.lit(0)).alias("alone"), *_SKETCH_COLUMNS)
               .where(den * F.col("alone") <= (den - num) * F.col("n")))
     edges = _compare(scratch.save(member, "members"), texts, n, num, den, scratch)
     scratch.drop(buckets, alone, texts)
@@ -202,6 +210,23 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return full.unionByName(none).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
+def _sketched(texts: DataFrame, n: int) -> DataFrame:
+    """``texts`` (cls, n, text) with the parity sketch of each set."""
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = 64 * SKETCH
+        for batch in batches:
+            for a, b, words in arrays.batches_of_words(batch.column(2)):
+                h, o = arrays.shingle_sets(words, n)
+                at = (arrays.mix(h + np.uint64(7)) % np.uint64(bits)).astype(np.int64)
+                odd = np.bincount(np.repeat(np.arange(b - a), np.diff(o)) * bits + at, minlength=(b - a) * bits) & 1
+                longs = np.packbits(odd.astype(np.uint8).reshape(-1, 64), axis=1).view(np.int64).reshape(-1, SKETCH)
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, *(pa.array(np.ascontiguousarray(x)) for x in longs.T)],
+                                                 ["cls", "n", "text", *_SKETCH_COLUMNS])
+
+    return texts.mapInArrow(sketch, "cls long, n long, text string, " + ", ".join(f"{x} long" for x in _SKETCH_COLUMNS))
+
+
 def _own_elements(texts: DataFrame, n: int) -> DataFrame:
     """(cls, alone): how many elements of a class no other class of ``texts`` has."""
 
@@ -219,16 +244,18 @@ def _own_elements(texts: DataFrame, n: int) -> DataFrame:
 
 
 def _possible(a: str, b: str, num: int, den: int) -> Column:
-    """Whether sizes and own elements leave room for a link of two members."""
+    """Whether sizes, own elements and sketches leave room for a link of two members."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    most = (den - num) * (na + nb)
+    odd = sum(F.bit_count(F.col(f"{a}.{x}").bitwiseXOR(F.col(f"{b}.{x}"))) for x in _SKETCH_COLUMNS)
     return ((den * F.least(na, nb) >= num * F.greatest(na, nb))
-            & ((den + num) * (F.col(f"{a}.alone") + F.col(f"{b}.alone")) <= (den - num) * (na + nb)))
+            & ((den + num) * (F.col(f"{a}.alone") + F.col(f"{b}.alone")) <= most)
+            & ((den + num) * odd <= most))
 
 
 def _compare(members: DataFrame, texts: DataFrame, n: int, num: int, den: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) that connect all that is linked, from buckets (sig, cls, n, alone)."""
     by_sig = Window.partitionBy("sig")
-    ends = "struct(sig, cls, n, alone, label, place)"
     edges = labels = tested = None
     block = 0
     left = members.withColumn("label", F.col("cls"))
