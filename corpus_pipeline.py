@@ -1,15 +1,69 @@
-"""A corpus pipeline of the training-data operators: each stage reads what the one before kept."""
+"""A corpus pipeline of the training-data operators: each stage reads what the one before kept.
+
+All stages but the last return the columns of ``documents``; the last returns
+the index of the token files that it writes.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from strata.llm.compression_quality import quality_scores
+from strata.llm.decontamination import without_contaminated
+from strata.llm.mixing import mix_sources
+from strata.llm.ngram_join import join_links
+from strata.llm.queries import table, tokenizer_path
+from strata.llm.tables import Scratch
+from strata.llm.token_files import tokens_round_trip
+
+
+def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id is in ``ids`` (distinct ids); rows without an id are left out."""
+    return docs.join(ids, "doc_id", "left_semi").select(*docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression classifier does not reject."""
+    scores = quality_scores(docs, table(spark, sf_dir, "labels"))
+    return _kept(docs, scores.where("predicted = 1").select("doc_id").distinct())
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group linked by Jaccard 0.8 of five-word shingles."""
+    linked = join_links(docs, n=5, num=80, den=100)
+    first = _kept(docs, linked.where("doc_id = component_id").select("doc_id").distinct())
+    again = Window.partitionBy("doc_id").orderBy("text", "source", "lang", "n_chars")  # rows of one id: the first
+    return first.withColumn("_place", F.row_number().over(again)).where("_place = 1").select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a copy of a benchmark item."""
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it; copies carry the document's id."""
+    taken = mix_sources(docs).where("taken > 0").select("doc_id", (F.col("taken") / F.col("size")).cast("int").alias("_copies"))
+    copies = F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
+    return docs.join(taken, "doc_id").select(*docs.columns, copies).drop("_copy")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of all that is left, and their index as read back."""
+    return tokens_round_trip(docs, tokenizer_path())
+
+
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate), ("mix", mix), ("tokens", tokens)]
 
-STAGES: list = []
+#: The classifier, the alignment, the rounding and the tokenizer have no SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages on ``documents``; what each returns is written to the shared folder and read again."""
+    scratch = Scratch(spark, "pipeline")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = scratch.save(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,21 +3,86 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.llm import line_dedup, url_filter
+from strata.llm.chat_format import format_chats
+from strata.llm.compression_quality import quality_scores
+from strata.llm.decontamination import contaminated
+from strata.llm.language_id import fit_text, identify
+from strata.llm.mixing import mix_sources
 from strata.llm.ngram_join import join_links
+from strata.llm.token_files import tokens_round_trip
+from strata.llm.topk_search import search
 
+#: Name of the tokenizer file of ``op8_token_files``; its path is looked up when the query runs.
+TOKENIZER = "word_bpe_49k.json"
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of ``documents`` under Jaccard 0.85 of 4-word shingles."""
-    return join_links(_table(spark, sf_dir, "documents"), n=4, num=85, den=100)
+    return join_links(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
+
+
+def op2_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best of all ``documents`` for each document whose id is divisible by 20, by its 16 most telling words."""
+    docs = table(spark, sf_dir, "documents")
+    queries = docs.where(F.col("doc_id") % 20 == 0).select(F.col("doc_id").alias("query_id"), "text")
+    return search(docs, queries, k=10, most_terms=16)
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every url of ``pages``."""
+    return url_filter.filter_pages(table(spark, sf_dir, "pages"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of ``benchmark`` items in ``documents``, scored by alignment."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` without lines that five or more sources share."""
+    return line_dedup.without_shared_lines(table(spark, sf_dir, "documents"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page of ``pages``; the text model is fitted on ``documents``."""
+    return identify(table(spark, sf_dir, "pages"), fit_text(table(spark, sf_dir, "documents")))
+
+
+def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text of ``documents``, fitted on ``labels`` outside the held-out fold."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` written as token files; their index as read back."""
+    return tokens_round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op9_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of each of the ``documents`` a mix of 150 % of their words takes."""
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recovered roles and rendered turns of ``conversations``."""
+    return format_chats(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {
-    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_ngram_jaccard_join, op2_bm25_search, op3_url_filter, op4_decontamination, op5_line_dedup, op6_language_id,
+    op7_compression_quality, op8_token_files, op9_pivotal_mixing, op10_chat_format)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op3_url_filter": url_filter.SQL, "op5_line_dedup": line_dedup.SQL}
