@@ -8,6 +8,7 @@ wins over our local defaults.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -30,6 +31,9 @@ RUNTIME_SQL_CONF: dict[str, str] = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
 # AQE may replace a stage that produced no rows by an empty relation; the
 # ``Observation`` metrics collected inside that stage are then lost and
 # ``Observation.get`` fails. Run facts (rows landed / rejected) come from
@@ -97,6 +101,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once an application.
+
+    Needed where workers neither share the driver's folders nor have the package installed.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="strata-package-"), "strata"), "zip",
+                                  os.path.dirname(here), os.path.basename(here))
+    sc.addPyFile(archive)  # Spark's file server hands it out
+    _SHIPPED.add(sc.applicationId)
+
+
 def local_path(uri: str) -> str:
     """Strip a ``file:`` scheme for code that needs an OS path (tests only)."""
     if uri.startswith("file://"):
