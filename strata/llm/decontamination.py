@@ -1,8 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
 
-Seeds are the rarest half of each test item's word n-grams, by the number of
-documents that hold them (ties count as rare). So every item keeps seeds, also
-one that leaked into much of the corpus. Seed hits of a document that lie near
+Seeds are a test item's word n-grams that few documents hold: ``RARE`` at most,
+or not many times the lower quartile of those of the same item. So turns of
+phrase are no seeds, but every item that occurs at all keeps some, also one that
+leaked into much of the corpus. Seed hits of a document that lie near
 each other make a region; a region and an item with enough seeds in common are
 aligned word by word, from an item's length before the first hit to as much
 after the last. The score is the local alignment's, divided by what the whole
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import arrays
@@ -24,6 +25,8 @@ from strata.llm.bloom import HashFilter, hash_filter
 from strata.llm.tables import Scratch, bounded_batches
 
 SEED_WORDS = 3
+#: Documents that may hold a seed; and times the lower quartile of its item's n-grams.
+RARE, RARE_TIMES = 16, 4
 #: Distinct seeds that a region shares with an item before they are aligned (or all, if the item has fewer).
 LEAST_SEEDS = 2
 #: Share of an item's full score from which a passage counts as its copy.
@@ -143,10 +146,9 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
     seeds = tests.select("item", F.explode("hashes").alias("h"))
     held = _document_counts(texts, lengths, hash_filter(seeds, "h"))
-    place = Window.partitionBy("item").orderBy(F.coalesce("n", F.lit(0)))
-    ranked = (seeds.join(held, "h", "left").withColumn("place", F.rank().over(place))
-              .withColumn("all", F.count("*").over(Window.partitionBy("item"))))
-    rare = scratch.save(ranked.where(2 * F.col("place") <= F.col("all") + 1).select("item", "h"), "rare")
+    counted = scratch.save(seeds.join(held, "h"), "counted")
+    limit = counted.groupBy("item").agg(F.greatest(F.lit(RARE), RARE_TIMES * F.percentile("n", 0.25)).alias("limit"))
+    rare = scratch.save(counted.join(limit, "item").where("n <= limit").select("item", "h"), "rare")
 
     regions = scratch.save(_regions(texts, lengths, hash_filter(rare, "h"), reach), "regions")
     least = rare.groupBy("item").agg(F.least(F.count("*"), F.lit(LEAST_SEEDS)).alias("least"))
