@@ -1,0 +1,55 @@
+import pytest
+
+import corpus_pipeline
+from strata.llm.queries import ORACLE_SQL, QUERIES, table
+from tests.llm.fixtures import DOCS, HAVE_DATA, SF, as_dicts, awkward_docs
+from tests.llm.test_ngram_join import plain_components
+from tools.check_oracle import _digest
+
+pytestmark = pytest.mark.skipif(not HAVE_DATA, reason="driver test data not present")
+
+
+def test_every_operator_has_a_query():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert set(ORACLE_SQL) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_queries_match_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    want = con.execute(ORACLE_SQL[name])
+    names = [d[0] for d in want.description]
+    got = QUERIES[name](spark, SF)
+    assert sorted(got.columns) == sorted(names)
+    assert _digest(got.columns, [tuple(r) for r in got.collect()])[0] == _digest(names, want.fetchall())[0]
+
+
+def test_stages_do_what_their_operators_say(spark):
+    docs = table(spark, SF, "documents").cache()
+    columns, ids = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == columns
+        docs = docs.cache()
+        ids[name] = sorted(r.doc_id for r in docs.select("doc_id").collect())
+        if name == "quality":
+            before = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+        if name == "near_duplicates":
+            first = plain_components(before.items(), 5, 80, 100)
+            assert ids[name] == sorted(i for i, (_, c) in first.items() if i == c)
+    assert set(ids["mix"]) <= set(ids["decontaminate"]) <= set(ids["near_duplicates"]) <= set(ids["quality"])
+    assert len(ids["mix"]) > len(set(ids["mix"]))
+    rows = sorted(as_dicts(corpus_pipeline.STAGES[-1][1](spark, docs, SF)), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in rows] == ids["mix"]
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(rows, rows[1:], strict=False))
+
+
+def test_stages_on_awkward_rows(spark):
+    docs = awkward_docs(spark).select(*[c.split()[0] for c in DOCS.split(", ")])
+    for _, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF).collect()
+        stage(spark, docs.limit(0), SF).collect()
