@@ -27,12 +27,6 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], count_name: str = "n_rows
             .where(F.col(count_name) > 1))
 
 
-def proportion_unique(df: DataFrame, col: str, name: str = "proportion_unique") -> DataFrame:
-    """AGG3: distinct non-NULL values / non-NULL values (NULL on an empty column)."""
-    return df.agg(F.try_divide(F.count_distinct(F.col(col)).cast("double"),
-                               F.count(F.col(col)).cast("double")).alias(name))
-
-
 def frequency(df: DataFrame, cols: Sequence[str] | str, count_name: str = "n_rows") -> DataFrame:
     """AGG5: value counts, largest first (ties by value, so the order is total)."""
     cols = [cols] if isinstance(cols, str) else list(cols)
@@ -59,12 +53,6 @@ def top_value(counts: DataFrame, value_col: str, count_col: str, name: str = "to
     return counts.agg(F.max(F.struct(F.col(count_col), F.col(value_col)))[value_col].alias(name))
 
 
-def extent(df: DataFrame, col: str, prefix: str = "") -> DataFrame:
-    """AGG7: min, max and row total in one pass."""
-    return df.agg(F.min(col).alias(f"{prefix}min_{col}"), F.max(col).alias(f"{prefix}max_{col}"),
-                  F.count(F.lit(1)).alias(f"{prefix}n_rows"))
-
-
 def conditional_counts(df: DataFrame, predicates: Mapping[str, Column],
                        group_by: Sequence[str] = ()) -> DataFrame:
     """AGG8: ``count_if`` per named predicate (NULL predicate counts as false)."""
@@ -72,11 +60,6 @@ def conditional_counts(df: DataFrame, predicates: Mapping[str, Column],
     return df.groupBy(*group_by).agg(*aggs) if group_by else df.agg(*aggs)
 
 
-def distinct_count(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
-    """AGG9: exact COUNT(DISTINCT col)."""
-    return df.agg(F.count_distinct(F.col(col)).alias(name or f"n_distinct_{col}"))
-
-
 def sorted_distinct(df: DataFrame, col: str) -> DataFrame:
     """AGG9 / SRT2: distinct values in ascending order."""
     return df.select(col).distinct().orderBy(F.col(col).asc_nulls_first())
@@ -151,5 +134,5 @@ def ingest_summary(parts: Mapping[str, DataFrame], city_col: str | None = None)
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
-    days = F.when(F.col("n_cities") > 0, F.floor(F.col("n_rows") / F.col("n_cities"))).otherwise(F.lit(0))
+    days = F.when(F.col("n_cities") > 0, F.expr("n_rows div n_cities")).otherwise(F.lit(0))
     return out.withColumn("n_days", days.cast("long"))

@@ -56,6 +56,8 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence = (),
     pass a Column (e.g. ``F.col('x').asc_nulls_last()``) for another order.
     ``drop_null_keys`` (FLT2) filters rows whose listed key columns are NULL
     before ranking; NULL keys not listed group together, like SQL PARTITION BY.
+    With no ``order_by`` (WIN5) the pick is still deterministic, which that of
+    ``dropDuplicates`` is not: it keeps whichever row arrives first.
     """
     keys = list(keys)
     if drop_null_keys:
@@ -84,12 +86,3 @@ def keep_most_authoritative(df: DataFrame, keys: Sequence[str], weight_col: str,
                             ts_col: str, **kw) -> DataFrame:
     """WIN2: highest ``weight_col`` (e.g. votes), then latest ``ts_col``."""
     return keep_first(df, keys, [weight_col, ts_col], **kw)
-
-
-def keep_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """WIN5: one row per key with no business order -- still deterministic.
-
-    ``dropDuplicates`` keeps whichever row arrives first, which depends on
-    partitioning; ranking on all columns does not.
-    """
-    return keep_first(df, keys, ())

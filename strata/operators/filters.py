@@ -7,21 +7,9 @@ scan (``PushedFilters``) or, on a partition column, prunes whole directories
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from strata.functions._util import as_col
-
-
-def _lit_for(value):
-    if isinstance(value, _dt.datetime):
-        return F.lit(value)
-    if isinstance(value, _dt.date):
-        return F.lit(value)
-    return F.lit(value)
-
 
 def since(df: DataFrame, col: str, start) -> DataFrame:
     """FLT3 / FLT10: ``col >= start``, open above; on a partition column this
@@ -32,7 +20,7 @@ def since(df: DataFrame, col: str, start) -> DataFrame:
     if isinstance(start, str):
         start_lit = F.lit(start).cast(df.schema[col].dataType)
     else:
-        start_lit = _lit_for(start)
+        start_lit = F.lit(start)
     return df.where(c >= start_lit)
 
 
@@ -71,45 +59,37 @@ def filter_with_counts(df: DataFrame, predicate: Column, name: str = "filter"):
     return observed.where(pred), obs
 
 
-def is_true(c) -> Column:
-    """Three-valued helper: NULL counts as not true (FLT9)."""
-    return F.coalesce(as_col(c), F.lit(False))
-
+def within_extent(df: DataFrame, values_df: DataFrame, cols) -> DataFrame:
+    """Rows of ``df`` between the least and the largest value of ``values_df`` in each of ``cols``.
 
-# Largest number of distinct partition values turned into a literal IN filter;
-# beyond it the exact semi-join form is used instead (no pruning, same rows).
-MAX_PRUNE_VALUES = 10_000
+    One row of bounds comes to the driver, whatever the number of values, and
+    the literals become ``PartitionFilters`` / ``PushedFilters`` of the scan.
+    Rows with a NULL pass where ``values_df`` has a NULL in that column.
+    """
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    found = values_df.agg(*(f(c).alias(f"{n}{i}") for i, c in enumerate(cols)
+                            for n, f in (("lo", F.min), ("hi", F.max), ("nulls", lambda c: F.count_if(F.col(c).isNull()))))).first()
+    for i, c in enumerate(cols):
+        kind = values_df.schema[c].dataType
+        inside = F.col(c).between(F.lit(found[f"lo{i}"]).cast(kind), F.lit(found[f"hi{i}"]).cast(kind))
+        df = df.where(inside | F.col(c).isNull() if found[f"nulls{i}"] else inside)
+    return df
 
 
-def restrict_to_values(df: DataFrame, values_df: DataFrame, cols, max_values: int = MAX_PRUNE_VALUES):
-    """Rows of ``df`` whose ``cols`` take a value present in ``values_df`` (SRC9).
+def restrict_to_values(df: DataFrame, values_df: DataFrame, cols, nulls_match: bool = False) -> DataFrame:
+    """Rows of ``df`` whose ``cols`` take a combination of values present in ``values_df`` (SRC9).
 
-    Meant for partition columns: the distinct values (one row per touched
-    partition, read with ``limit(max_values + 1)`` so the driver never gets
-    more) become a literal ``IN`` list, which Spark applies as
-    ``PartitionFilters`` -- only those partition directories are listed and
-    read. Dynamic partition pruning would not fire here because the batch
-    side carries no selective predicate. With more than ``max_values``
-    distinct values the exact semi-join is used instead.
+    One plan at every size: the extent of the values prunes the scan, and a
+    semi-join on the distinct values (reduced map-side) decides. With
+    ``nulls_match`` a NULL matches a NULL, as when partitions are rewritten.
     """
-    from strata.operators.joins import semi_join
-
     cols = [cols] if isinstance(cols, str) else list(cols)
-    vals = values_df.select(*cols).distinct().limit(max_values + 1).collect()
-    if len(vals) > max_values:
-        return semi_join(df, values_df, cols)
-    if not vals:
-        return df.where(F.lit(False))
-    if len(cols) == 1:
-        present = [r[0] for r in vals if r[0] is not None]
-        return df.where(F.col(cols[0]).isin(present)) if present else df.where(F.lit(False))
-    cond = None
-    for r in vals:
-        if any(v is None for v in r):
-            continue  # '=' never matches NULL
-        term = None
-        for c, v in zip(cols, r):
-            t = F.col(c) == F.lit(v)
-            term = t if term is None else term & t
-        cond = term if cond is None else cond | term
-    return df.where(cond) if cond is not None else df.where(F.lit(False))
+    values = values_df.select(*cols).distinct()
+    if not nulls_match:
+        values = not_null(values, *cols)
+    near = within_extent(df, values_df, cols)
+    wanted = values.select(*(F.col(c).alias(f"__v_{c}") for c in cols))
+    same = F.lit(True)
+    for c in cols:
+        same = same & (F.col(c).eqNullSafe(F.col(f"__v_{c}")) if nulls_match else F.col(c) == F.col(f"__v_{c}"))
+    return near.join(wanted, same, "left_semi")

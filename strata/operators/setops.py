@@ -6,8 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from strata.operators.joins import anti_join
-
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """SET1: UNION ALL by column name; columns missing in a frame become NULL.
@@ -20,15 +18,6 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def difference_keep_duplicates(left: DataFrame, right: DataFrame, keys) -> DataFrame:
-    """SET2: rows of ``left`` whose key is not in ``right``; duplicates kept.
-
-    ``exceptAll``/``subtract`` compare whole rows and ``subtract`` also
-    de-duplicates, so the keyed anti-join is the faithful form.
-    """
-    return anti_join(left, right, keys)
-
-
 def head_sample(df: DataFrame, n: int = 5) -> DataFrame:
     """LIM1: the first ``n`` rows, used for cheap header/shape validation only."""
     return df.limit(n)

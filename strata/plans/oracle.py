@@ -555,11 +555,9 @@ FROM lineitem
 """
 
 ORACLE_SQL["set_union_all"] = """
-SELECT o_orderkey, o_orderdate, o_totalprice, 'early' AS slice
-FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'
-UNION ALL
-SELECT o_orderkey, o_orderdate, o_totalprice, 'late' AS slice
-FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01'
+SELECT o_orderkey, o_orderdate, o_totalprice,
+       CASE WHEN o_orderdate < TIMESTAMP '1997-01-01' THEN 'early' ELSE 'late' END AS slice
+FROM orders
 """
 
 ORACLE_SQL["prj_clean_text"] = f"""

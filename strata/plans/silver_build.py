@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.quality import run_checks
 from strata.plans import silver
-from strata.session import scratch_path
+from strata.session import staging
 from strata.sources.catalog import BronzeCatalog
 
 
@@ -28,11 +28,11 @@ def build_silver(spark: SparkSession, catalog: BronzeCatalog, out_root: str,
         out[name] = path
 
     restaurants_raw = catalog.source("raw_restaurants")
-    staged = scratch_path(spark, "restaurants-dedup")
-    silver.dedup_restaurants(restaurants_raw).write.parquet(staged)
-    deduped = spark.read.schema(restaurants_raw.schema).parquet(staged)
-    write("stg_restaurants", silver.stg_restaurants(restaurants_raw, deduped))
-    write("stg_restaurant_ratings", silver.stg_restaurant_ratings(restaurants_raw, deduped, start_date))
+    with staging(spark, "restaurants-dedup") as staged:
+        silver.dedup_restaurants(restaurants_raw).write.parquet(staged)
+        deduped = spark.read.schema(restaurants_raw.schema).parquet(staged)
+        write("stg_restaurants", silver.stg_restaurants(restaurants_raw, deduped))
+        write("stg_restaurant_ratings", silver.stg_restaurant_ratings(restaurants_raw, deduped, start_date))
     write("stg_orders", silver.stg_orders(catalog.source("raw_orders", start_date), start_date))
     write("stg_weather", silver.stg_weather(catalog.source("raw_weather")))
     write("stg_ipl_schedule", silver.stg_ipl_schedule(catalog.source("raw_ipl_schedule")))

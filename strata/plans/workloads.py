@@ -225,18 +225,22 @@ def jn_exists_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jn_exists_flag_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JN3 (major_only) / JN4: EXISTS a returned lineitem on two keys + predicate."""
-    from strata.operators import joins
+    """JN3 (major_only) / JN4: EXISTS a returned lineitem on the order, and one
+    shipped on the order's date (two keys).
 
+    One aggregate per order carries both facts: whether any line was returned,
+    and the distinct ship dates (a few lines an order), so lines are scanned,
+    and orders joined, once.
+    """
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", F.to_date("o_orderdate").alias("order_date"))
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", F.to_date("l_shipdate").alias("ship_date"), "l_returnflag")
-    flagged = joins.exists_flag(orders, li, [("o_orderkey", "l_orderkey")], "has_returned_line",
-                                right_where=F.col("l_returnflag") == "R")
-    # JN4: two keys -- same order shipped on its order date.
-    return joins.exists_flag(flagged, li, [("o_orderkey", "l_orderkey"), ("order_date", "ship_date")],
-                             "shipped_same_day")
+    lines = (read_table(spark, sf_dir, "lineitem").where(F.col("l_orderkey").isNotNull())
+             .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+             .agg(F.bool_or(F.col("l_returnflag") == "R").alias("returned"),
+                  F.collect_set(F.to_date("l_shipdate")).alias("ship_dates")))
+    return orders.join(lines, "o_orderkey", "left").select(
+        "o_orderkey", "order_date", F.coalesce("returned", F.lit(False)).alias("has_returned_line"),
+        F.coalesce(F.array_contains("ship_dates", F.col("order_date")), F.lit(False)).alias("shipped_same_day"))
 
 
 APPEND_BATCH_FROM = "1998-01-01"
@@ -250,31 +254,33 @@ def _lineitem_batches(spark, sf_dir):
     return batch, existing
 
 
+def _existing_near(batch, existing):
+    """Existing rows between the batch's first and last date: two literals that prune the scan (SRC9)."""
+    return filters.within_extent(existing, batch, ["ship_date"])
+
+
 def jn_append_new_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN5 / SET2 / SRC9 / INC4: batch rows whose key is not already landed.
 
-    Existing keys are looked up only for the batch's dates (SRC9: a semi-join
-    on the date column, which on a date-partitioned table becomes dynamic
-    partition pruning), then anti-joined; in-batch duplicates are kept.
+    Existing keys are looked up only between the batch's dates, then
+    anti-joined once on the key; in-batch duplicates are kept.
     """
     from strata.operators import joins
 
     batch, existing = _lineitem_batches(spark, sf_dir)
-    existing_for_dates = joins.semi_join(existing, batch, ["ship_date"])
-    return joins.anti_join(batch, existing_for_dates, LINE_KEYS)
+    return joins.anti_join(batch, _existing_near(batch, existing), LINE_KEYS)
 
 
 def agg_append_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG12: rows in the batch, processed (new) and rejected (already landed).
 
     One pass: each batch row is flagged by an existence join against the
-    date-pruned existing keys, then a single aggregate counts both outcomes.
+    existing keys between its dates, then a single aggregate counts both.
     """
     from strata.operators import joins
 
     batch, existing = _lineitem_batches(spark, sf_dir)
-    existing_for_dates = joins.semi_join(existing, batch, ["ship_date"])
-    flagged = joins.exists_flag(batch, existing_for_dates, LINE_KEYS, "_exists")
+    flagged = joins.exists_flag(batch.select(*LINE_KEYS), _existing_near(batch, existing), LINE_KEYS, "_exists")
     return flagged.agg(F.count(F.lit(1)).alias("rows_in_batch"),
                        F.count_if(~F.col("_exists")).alias("rows_processed"),
                        F.count_if(F.col("_exists")).alias("rows_rejected"))
@@ -360,19 +366,25 @@ def _upsert_sides(spark, sf_dir):
 
 
 def snk_upsert_result(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK7 / JN6 / WIN5: the table a MERGE of a changed, later batch leaves."""
+    """SNK7 / JN6 / WIN5: the table a MERGE of a changed, later batch leaves.
+
+    The reduced batch is staged once, as a load job would; the merge reads it twice.
+    """
+    from strata.session import scratch_path
     from strata.sinks.upsert import merge_frames
 
     target, source = _upsert_sides(spark, sf_dir)
-    return merge_frames(target, source, LINE_KEYS)
+    stage = scratch_path(spark, "upsert-batch")
+    dedup.keep_first(source, LINE_KEYS).write.parquet(stage)
+    return merge_frames(target, spark.read.schema(source.schema).parquet(stage), LINE_KEYS, dedup_source=False)
 
 
 def snk_upsert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK7 run facts: rows loaded, updated, inserted, affected."""
-    from strata.sinks.upsert import merge_counts, merge_frames
+    from strata.sinks.upsert import merge_counts
 
     target, source = _upsert_sides(spark, sf_dir)
-    return merge_counts(merge_frames(target, source, LINE_KEYS, with_op=True), source)
+    return merge_counts(target, source, LINE_KEYS)
 
 
 PROPS_SCHEMA = "struct<k: bigint>"
@@ -453,21 +465,20 @@ def src_csv_contract_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """INC4 as Structured Streaming: events landed twice (a full file set and
-    a re-sent later slice) stream through ``dropDuplicatesWithinWatermark``
-    on event_id; the sink holds each event once."""
+    """INC4 as Structured Streaming: events arrive in two batches, the second
+    with a slice sent again and with unseen ids of any age; the sink, which is
+    partitioned by day, holds each event once."""
     from strata.session import scratch_path
-    from strata.streaming.streams import dedup_stream
+    from strata.streaming.streams import append_new_stream
 
     ev = read_table(spark, sf_dir, "events")
-    src = scratch_path(spark, "events-stream-src")
-    ev.write.parquet(f"{src}/batch=1")
-    ev.where(F.col("ts") >= F.lit("2024-01-25").cast("timestamp_ntz")).write.parquet(f"{src}/batch=2")
-    sink = scratch_path(spark, "events-stream-sink")
-    # Re-sends arrive within days, so a 7-day delay bounds the dedup state to
-    # one week of keys however long the stream runs.
-    dedup_stream(spark, src, ev.schema, ["event_id"], "ts", "7 days", sink)
-    return spark.read.schema(ev.schema).parquet(sink)
+    src, sink = scratch_path(spark, "events-stream-src"), scratch_path(spark, "events-stream-sink")
+    late = F.col("event_id") % 5 == 0
+    ev.where(~late).coalesce(1).write.parquet(f"{src}/batch=1")
+    ev.where(late | (F.col("ts") >= F.lit("2024-01-25").cast("timestamp_ntz"))).coalesce(1).write.parquet(f"{src}/batch=2")
+    append_new_stream(spark, src, ev.schema, ["event_id"], "ts", sink, scratch_path(spark, "events-stream-progress"),
+                      max_files_per_trigger=1)
+    return spark.read.schema(ev.schema).parquet(sink).select(*ev.columns)
 
 
 # ---------------------------------------------------------------------------
@@ -610,19 +621,24 @@ def inc_next_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     State: the high-water mark of what landed earlier (click and view events
     through 2024-01-20); other sources are on their first run (7-day
-    look-back). A run date before a mark yields an empty range.
+    look-back). A run date before a mark yields an empty range. One count per
+    source and day, written once, feeds the sources, the state and the ranges.
     """
+    from strata.session import scratch_path
     from strata.streaming.incremental import next_ranges, rows_in_ranges
 
-    ev = read_table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("source_name"), F.to_date("ts").alias("event_date"))
+    daily = scratch_path(spark, "events-by-source-and-day")
+    (read_table(spark, sf_dir, "events")
+     .groupBy(F.col("event_type").alias("source_name"), F.to_date("ts").alias("event_date"))
+     .agg(F.count(F.lit(1)).alias("n")).write.parquet(daily))
+    ev = spark.read.schema("source_name string, event_date date, n bigint").parquet(daily)
     landed = ev.where((F.col("event_date") <= F.lit(INC_LANDED_THROUGH).cast("date"))
                       & F.col("source_name").isin(list(INC_LANDED_SOURCES)))
     state = landed.groupBy("source_name").agg(F.max("event_date").alias("watermark_date"))
     runs = F.explode(F.array(*[F.lit(d).cast("date") for d in INC_RUN_DATES]))
     sources = ev.select("source_name").distinct().withColumn("run_date", runs)
     ranges = next_ranges(sources, state, F.col("run_date"))
-    return rows_in_ranges(ev, ranges, "source_name", "event_date", group_cols=["run_date"]).select(
+    return rows_in_ranges(ev, ranges, "source_name", "event_date", group_cols=["run_date"], count_col="n").select(
         "source_name", "run_date", "last_date", "start_date", "end_date", "is_empty", "n_days", "n_rows")
 
 
@@ -654,14 +670,13 @@ def fn_safe_divide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def set_union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SET1: UNION ALL by name of two disjoint order slices (early and late)."""
+    """SET1: UNION ALL by name of two slices (early and late) that make up all orders."""
     from strata.operators.setops import union_all
 
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    early = o.where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")) \
-        .withColumn("slice", F.lit("early"))
-    late = o.where(F.col("o_orderdate") >= F.lit("1999-01-01").cast("timestamp_ntz")) \
-        .select("o_totalprice", "o_orderkey", "o_orderdate").withColumn("slice", F.lit("late"))
+    is_early = F.coalesce(F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz"), F.lit(False))
+    early = o.where(is_early).withColumn("slice", F.lit("early"))
+    late = o.where(~is_early).select("o_totalprice", "o_orderkey", "o_orderdate").withColumn("slice", F.lit("late"))
     return union_all([early, late])
 
 

@@ -61,6 +61,8 @@ TABLE_LAYOUT: dict[str, tuple[str | None, tuple[str, ...]]] = {
     "raw_festival_calendar": ("_ingestion_date", ("region",)),
     "pipeline_audit": (None, ()),
 }
+# Tables partitioned by the month of their partition column, and that column's name.
+MONTH_PARTITION: dict[str, str] = {"raw_orders": "order_month"}
 # Reads of raw_orders must constrain its partition column.
 REQUIRE_PARTITION_FILTER = {"raw_orders"}
 

@@ -7,6 +7,7 @@ wins over our local defaults.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import shutil
 import tempfile
@@ -36,24 +37,35 @@ _SHIPPED: set[str] = set()
 
 # AQE may replace a stage that produced no rows by an empty relation; the
 # ``Observation`` metrics collected inside that stage are then lost and
-# ``Observation.get`` fails. Run facts (rows landed / rejected) come from
-# observations, so that one adaptive rule is kept out.
-AQE_EXCLUDED_RULES = ("org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation",)
+# ``Observation.get`` fails. So writes that observe run without that rule.
+OBSERVED_EXCLUDED_RULE = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+_EXCLUDED = "spark.sql.adaptive.optimizer.excludedRules"
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply RUNTIME_SQL_CONF to ``spark`` where the session has not set a value."""
+    """Apply RUNTIME_SQL_CONF. The time zone is always set, as results depend on
+    it; the rest only where the session has no value."""
     for key, value in RUNTIME_SQL_CONF.items():
         if key == "spark.sql.session.timeZone" or spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
-    key = "spark.sql.adaptive.optimizer.excludedRules"
-    current = [r for r in (spark.conf.get(key, "") or "").split(",") if r]
-    missing = [r for r in AQE_EXCLUDED_RULES if r not in current]
-    if missing:
-        spark.conf.set(key, ",".join(current + missing))
     return spark
 
 
+@contextlib.contextmanager
+def observing(spark: SparkSession):
+    """For an action whose ``Observation`` is read afterwards; the session's rules come back after it."""
+    before = spark.conf.get(_EXCLUDED, None)
+    rules = [r for r in (before or "").split(",") if r]
+    spark.conf.set(_EXCLUDED, ",".join(dict.fromkeys([*rules, OBSERVED_EXCLUDED_RULE])))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_EXCLUDED)
+        else:
+            spark.conf.set(_EXCLUDED, before)
+
+
 def build_session(master: str | None = None, app_name: str = "strata",
                   shuffle_partitions: int | None = None) -> SparkSession:
     """Create (or reuse) a session with local-friendly defaults.
@@ -76,8 +88,9 @@ def build_session(master: str | None = None, app_name: str = "strata",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (a bare local test session) is a fresh
-    private folder created and registered, so ``DataFrame.checkpoint()`` works.
+    Only when the setting is absent in a local session is a fresh private folder
+    created and registered, so ``DataFrame.checkpoint()`` works. On a cluster,
+    where driver and executors would see different folders, that is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -89,6 +102,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(local)
     return local
@@ -101,6 +116,51 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system and path object of a uri."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _file_system(spark, path)
+    return fs.exists(at)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder (metadata only); none if it does not exist."""
+    fs, at = _file_system(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+
+
+def swap_in(spark: SparkSession, new: str, target: str) -> None:
+    """Put the finished folder ``new`` in the place of ``target`` by renames."""
+    fs, at = _file_system(spark, target)
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}.replaced-{uuid.uuid4().hex[:12]}")
+    if fs.exists(at) and not fs.rename(at, old):
+        raise OSError(f"{target} cannot be moved aside")
+    if not fs.rename(_file_system(spark, new)[1], at):
+        fs.rename(old, at)
+        raise OSError(f"{new} cannot be moved to {target}")
+    if fs.exists(old):
+        fs.delete(old, True)
+
+
+@contextlib.contextmanager
+def staging(spark: SparkSession, name: str):
+    """A scratch folder that is removed afterwards, whether or not the work succeeds."""
+    path = scratch_path(spark, name)
+    try:
+        yield path
+    finally:
+        remove_path(spark, path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once an application.
 

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.functions.temporal import month_start
+from strata.schemas import MONTH_PARTITION, TABLE_LAYOUT
+from strata.session import configure, observing
 
 
 def land(df: DataFrame, path: str, *, mode: str = "overwrite", fmt: str = "parquet",
@@ -30,24 +32,23 @@ def land(df: DataFrame, path: str, *, mode: str = "overwrite", fmt: str = "parqu
     third of the rows is split over several tasks / files instead of one.
     ``sort_within`` clusters rows inside each file (min/max skipping, SNK10).
     """
-    from strata.session import configure
-
-    configure(df.sparkSession)  # observed metrics must survive AQE's empty-stage pruning
-    obs = Observation("land")
+    configure(df.sparkSession)
+    obs = Observation()
     aggs = [F.count(F.lit(1)).alias("row_count")]
     for name, expr in (metrics or {}).items():
         aggs.append(expr.alias(name))
     out = df.observe(obs, *aggs)
     if partition_cols and rebalance:
         out = out.hint("rebalance", *partition_cols)
-    if sort_within:
-        out = out.sortWithinPartitions(*sort_within)
+    if sort_within:  # the partition first, as the writer asks for
+        out = out.sortWithinPartitions(*partition_cols, *sort_within)
     writer = out.write.mode(mode).format(fmt)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
         if mode == "overwrite":
             writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.save(path)
+    with observing(df.sparkSession):
+        writer.save(path)
     manifest = {k: (int(v) if isinstance(v, (int,)) else v) for k, v in obs.get.items()}
     manifest.update({"path": path, "mode": mode, "format": fmt, "partition_cols": list(partition_cols)})
     return manifest
@@ -75,10 +76,24 @@ def write_by_date(df: DataFrame, path: str, date_col: str = "order_date") -> dic
 
 def write_city_ranges(df: DataFrame, path: str, start: str, end: str,
                       city_col: str = "city") -> DataFrame:
-    """SNK3: ``{path}/city={c}/date_range={start}_{end}/`` plus per-city manifest rows."""
+    """SNK3: ``{path}/city={c}/date_range={start}_{end}/``; the manifest lists the files and their rows.
+
+    The manifest is read from what was written (file footers), not by
+    computing ``df`` again.
+    """
     tagged = df.withColumn("date_range", F.lit(f"{start}_{end}"))
     land(tagged, path, partition_cols=[city_col, "date_range"])
-    return tagged.groupBy(city_col, "date_range").agg(F.count(F.lit(1)).alias("rows"))
+    files = partition_manifest(df.sparkSession, path, [city_col, "date_range"], tagged.schema)
+    return files.where(F.col("date_range") == f"{start}_{end}")
+
+
+def land_table(df: DataFrame, name: str, path: str, mode: str = "overwrite",
+               metrics: Mapping[str, Column] | None = None) -> dict:
+    """SNK10: write a bronze table as ``TABLE_LAYOUT`` says: partitioned (orders by month), rows clustered in files."""
+    partition, cluster = TABLE_LAYOUT[name]
+    if name in MONTH_PARTITION:
+        df, partition = with_month_partition(df, partition, MONTH_PARTITION[name]), MONTH_PARTITION[name]
+    return land(df, path, mode=mode, partition_cols=[partition] if partition else [], sort_within=cluster, metrics=metrics)
 
 
 def with_month_partition(df: DataFrame, date_col: str = "order_date",

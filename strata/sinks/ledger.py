@@ -6,10 +6,11 @@ on the executors, and anti-joined with a ledger table of fingerprints already
 processed. Only new or changed files go on to be loaded; their fingerprints
 are appended to the ledger afterwards.
 
-``fingerprint='md5'`` reads file contents (one task per file, bounded by the
-file size); ``fingerprint='metadata'`` uses (length, modificationTime) and
-reads no content at all -- the ``binaryFile`` source prunes the content column
-when it is not selected.
+``fingerprint='md5'`` reads the contents of files up to ``MD5_LIMIT`` bytes (a
+row cannot hold more than 2 GB) and uses length and modification time for
+larger ones; ``fingerprint='metadata'`` uses these for all and reads no
+content -- the ``binaryFile`` source prunes the content column when it is not
+selected, and skips files that a filter on the length excludes.
 """
 
 from __future__ import annotations
@@ -26,16 +27,19 @@ LEDGER_SCHEMA = StructType([
 ])
 
 
+MD5_LIMIT = 1 << 30
+
+
 def file_fingerprints(spark: SparkSession, pattern: str, fingerprint: str = "md5") -> DataFrame:
-    files = spark.read.format("binaryFile").load(pattern)
-    if fingerprint == "md5":
-        fp = F.md5(F.col("content"))
-    elif fingerprint == "metadata":
-        fp = F.concat_ws(":", F.col("length").cast("string"),
-                         F.unix_micros(F.col("modificationTime")).cast("string"))
-    else:
+    if fingerprint not in ("md5", "metadata"):
         raise ValueError(fingerprint)
-    return files.select("path", fp.alias("fingerprint"), "length")
+    files = spark.read.format("binaryFile").load(pattern)
+    stamp = F.concat_ws(":", F.col("length").cast("string"), F.unix_micros(F.col("modificationTime")).cast("string"))
+    by_stamp = files.select("path", stamp.alias("fingerprint"), "length")
+    if fingerprint == "metadata":
+        return by_stamp
+    small = files.where(F.col("length") <= MD5_LIMIT).select("path", F.md5("content").alias("fingerprint"), "length")
+    return small.unionByName(by_stamp.where(F.col("length") > MD5_LIMIT))
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:

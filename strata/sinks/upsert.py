@@ -1,23 +1,24 @@
 """Keyed upsert (SNK7, JN6, WIN5) without a transactional table format.
 
-MERGE semantics: the staged source is first reduced to one row per key
-(deterministically, WIN5); every target row whose key matches a source row
-is replaced by that row (all columns); source rows that match nothing are
-inserted. Keys compare with SQL '=' -- a NULL key never matches, so a
-NULL-keyed source row is always inserted (JN6).
-
-Plan: one left join target -> staged source (matched rows take the source's
-values via a marker column, so NULL source values are kept, not coalesced
-away) and one left-anti join source -> target keys for the inserts, unioned.
-Both joins shuffle on the key; AQE broadcasts the staged side when its
-measured size is small and splits skewed keys otherwise.
-
-When the target is a partitioned table and the partition columns are part of
-the key, only the partitions the source touches are read (their values become
-a literal IN filter, i.e. static partition pruning) and only they are
-rewritten (dynamic partition overwrite). The merged partitions are first written to a staging
-folder under the shared checkpoint dir, which cuts lineage and avoids
-overwriting a path that is still being read (N10).
+MERGE semantics: the source is first reduced to one row per key (WIN5: the
+first under ``order_by``, then a total tie-break); every target row whose key
+matches a source row is replaced by that row (all columns); source rows that
+match nothing are inserted. Keys compare with SQL '=' -- a NULL key never
+matches, so a NULL-keyed source row is always inserted (JN6).
+
+Plan: the reduced source is staged once. One left join target -> source
+(matched rows take the source's values via a marker column, so NULL source
+values are kept, not coalesced away) and one left-anti join source -> target
+keys for the inserts, unioned. Both joins shuffle on the key; AQE broadcasts
+the staged side when its measured size is small and splits skewed keys
+otherwise.
+
+A partitioned target, whose partition columns are part of the key, is read and
+rewritten only where the source touches it (NULL partition values included), by
+dynamic partition overwrite, whose commit replaces partitions after all rows
+are written. An unpartitioned target is written beside the old one and swapped
+in by renames. Every read passes the source's types, so partition values are
+never guessed from folder names. Staging folders are removed in any case.
 """
 
 from __future__ import annotations
@@ -25,12 +26,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from strata.operators.dedup import keep_any
+from strata.operators.dedup import keep_first
 from strata.operators.filters import restrict_to_values
-from strata.session import scratch_path
+from strata.session import configure, observing, staging, swap_in
 
 OP_COL = "__merge_op"
 _MARK = "__merge_matched"
@@ -64,7 +67,7 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
     missing = [c for c in cols if c not in source.columns]
     if missing:
         raise ValueError(f"source lacks target columns {missing}")
-    staged = keep_any(source.select(*cols), keys) if dedup_source else source.select(*cols)
+    staged = keep_first(source.select(*cols), keys) if dedup_source else source.select(*cols)
     prefix = "__s_"
     s = staged.select(*[F.col(c).alias(f"{prefix}{c}") for c in cols], F.lit(True).alias(_MARK))
     joined = target.join(s, _key_cond(target, s, keys, prefix), "left")
@@ -81,80 +84,79 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return updated.unionByName(inserts)
 
 
-def merge_counts(merged_with_op: DataFrame, source: DataFrame) -> DataFrame:
-    """rows_loaded / rows_updated / rows_inserted / rows_affected in one row."""
-    loaded = source.select(F.count(F.lit(1))).scalar()
-    return merged_with_op.agg(
-        F.count_if(F.col(OP_COL) == "update").alias("rows_updated"),
-        F.count_if(F.col(OP_COL) == "insert").alias("rows_inserted"),
-    ).select(loaded.alias("rows_loaded"), "rows_updated", "rows_inserted",
-             (F.col("rows_updated") + F.col("rows_inserted")).alias("rows_affected"))
+def merge_counts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """rows_loaded / rows_updated / rows_inserted / rows_affected in one row.
+
+    Counted from the keys alone: one aggregate over the keys of both sides,
+    pre-aggregated map-side, instead of the merge itself.
+    """
+    sides = (target.select(*keys, F.lit(1).alias("t"), F.lit(0).alias("s"))
+             .unionByName(source.select(*keys, F.lit(0).alias("t"), F.lit(1).alias("s"))))
+    by_key = sides.groupBy(*keys).agg(F.sum("t").alias("t"), F.sum("s").alias("s"))
+    no_null = F.lit(True)
+    for k in keys:
+        no_null = no_null & F.col(k).isNotNull()
+    matched = no_null & (F.col("t") > 0) & (F.col("s") > 0)
+    counts = by_key.agg(F.coalesce(F.sum("s"), F.lit(0)).cast("long").alias("rows_loaded"),
+                        F.coalesce(F.sum(F.when(matched, F.col("t"))), F.lit(0)).cast("long").alias("rows_updated"),
+                        F.count_if((F.col("s") > 0) & ~matched).alias("rows_inserted"))
+    return counts.withColumn("rows_affected", F.col("rows_updated") + F.col("rows_inserted"))
+
+
+def _columns_of(spark: SparkSession, path: str, partition_cols: Sequence[str]) -> list[str] | None:
+    """Columns of the table at ``path``, from a file's footer; None where there is no table yet."""
+    try:
+        in_files = spark.read.option("recursiveFileLookup", "true").parquet(path).columns
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return [*(c for c in in_files if c not in partition_cols), *partition_cols]
 
 
 def upsert_parquet(spark: SparkSession, source: DataFrame, target_path: str, keys: Sequence[str],
-                   partition_cols: Sequence[str] = ()) -> UpsertResult:
+                   partition_cols: Sequence[str] = (), order_by: Sequence = ()) -> UpsertResult:
     """SNK7 against a parquet table at ``target_path`` (created when absent).
 
-    With ``partition_cols`` (all of which must be keys) only touched
-    partitions are read and rewritten.
+    ``order_by`` says which of several source rows of a key wins (largest
+    first, e.g. the fetch time). With ``partition_cols`` (all of which must be
+    keys) only touched partitions are read and rewritten. An empty source
+    changes nothing; it creates an empty table where there is none.
     """
-    from strata.session import configure
-
     configure(spark)
     partition_cols = list(partition_cols)
     if any(p not in keys for p in partition_cols):
         raise ValueError("partition columns must be part of the upsert key")
-    # 1. Stage the batch (like a load job into a staging table): cuts the
-    #    source's lineage and yields rows_loaded from the same pass.
-    loaded_obs = Observation("upsert_loaded")
-    stage_src = scratch_path(spark, "upsert-source")
-    source.observe(loaded_obs, F.count(F.lit(1)).alias("rows_loaded")).write.parquet(stage_src)
-    src = spark.read.parquet(stage_src)
-    # 2. Target rows that can be affected: all, or only touched partitions.
-    try:
-        target = spark.read.parquet(target_path)
-        exists = True
-    except Exception as exc:  # noqa: BLE001 - only "path does not exist" is expected
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-            raise
-        exists = False
-    if not exists:
-        target = spark.createDataFrame([], src.schema)
-    elif partition_cols:
-        # only the partitions the batch touches are listed and read
-        target = restrict_to_values(target, src, partition_cols)
-    src = src.select(*target.columns)
-    # 3. Merge into a staging folder, counting updates / inserts on the way.
-    merged = merge_frames(target, src, keys, with_op=True)
-    op_obs = Observation("upsert_ops")
-    merged = merged.observe(op_obs, F.count_if(F.col(OP_COL) == "update").alias("rows_updated"),
-                            F.count_if(F.col(OP_COL) == "insert").alias("rows_inserted"))
-    stage = scratch_path(spark, "upsert-merged")
-    writer = merged.write.mode("overwrite")
-    if partition_cols:
-        writer = writer.partitionBy(*partition_cols)
-    writer.parquet(stage)
-    # 4. Swap in: dynamic overwrite replaces only the partitions present.
-    out = spark.read.parquet(stage).drop(OP_COL).select(*target.columns)
-    w = out.write.mode("overwrite")
-    if partition_cols:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
-    w.parquet(target_path)
-    ops = op_obs.get
-    loaded = loaded_obs.get.get("rows_loaded", 0)
-    return UpsertResult(rows_loaded=int(loaded),
-                        rows_affected=int(ops["rows_updated"] + ops["rows_inserted"]),
+    loaded_obs, op_obs = Observation(), Observation()
+    with staging(spark, "upsert-source") as stage, observing(spark):
+        loaded = source.observe(loaded_obs, F.count(F.lit(1)).alias("rows_loaded"))
+        keep_first(loaded, keys, order_by).write.parquet(stage)
+        staged = spark.read.schema(source.schema).parquet(stage)
+        rows_loaded = int(loaded_obs.get["rows_loaded"])
+        cols = _columns_of(spark, target_path, partition_cols)
+        if rows_loaded == 0 and cols is not None:
+            return UpsertResult(0, 0, 0, 0, target_path)
+        if cols is None:
+            cols = [*(c for c in source.columns if c not in partition_cols), *partition_cols]
+            target = spark.createDataFrame([], source.select(*cols).schema)
+        else:
+            missing = [c for c in cols if c not in source.columns]
+            if missing:
+                raise ValueError(f"source lacks target columns {missing}")
+            target = spark.read.schema(StructType([source.schema[c] for c in cols])).parquet(target_path)
+            if partition_cols:
+                target = restrict_to_values(target, staged, partition_cols, nulls_match=True)
+        merged = merge_frames(target, staged.select(*cols), keys, with_op=True, dedup_source=False)
+        merged = merged.observe(op_obs, F.count_if(F.col(OP_COL) == "update").alias("rows_updated"),
+                                F.count_if(F.col(OP_COL) == "insert").alias("rows_inserted")).drop(OP_COL)
+        if partition_cols and rows_loaded:
+            (merged.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*partition_cols).parquet(target_path))
+        else:
+            beside = f"{target_path.rstrip('/')}.new-{stage.rpartition('-')[2]}"
+            merged.hint("rebalance").write.parquet(beside)
+            swap_in(spark, beside, target_path)
+        ops = op_obs.get
+    return UpsertResult(rows_loaded=rows_loaded, rows_affected=int(ops["rows_updated"] + ops["rows_inserted"]),
                         rows_updated=int(ops["rows_updated"]), rows_inserted=int(ops["rows_inserted"]),
                         target=target_path)
-
-
-def upsert_table(source: DataFrame, table: str, keys: Sequence[str]) -> None:
-    """SNK7 through ``DataFrame.mergeInto`` for catalogs that support MERGE
-    (Delta / Iceberg). Plain parquet tables do not (N11): use ``upsert_parquet``."""
-    staged = keep_any(source, keys)
-    cond = None
-    for k in keys:
-        c = F.col(f"{table}.{k}") == F.col(f"source.{k}")
-        cond = c if cond is None else cond & c
-    (staged.alias("source").mergeInto(table, cond)
-     .whenMatched().updateAll().whenNotMatched().insertAll().merge())

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
@@ -20,7 +21,7 @@ class SchemaValidationError(Exception):
 
 
 def header_columns(spark: SparkSession, path: str, encoding: str = "UTF-8") -> list[str]:
-    return (spark.read.option("header", True).option("encoding", encoding)
+    return (spark.read.option("header", True).option("encoding", encoding).option("escape", '"')
             .option("inferSchema", False).csv(path).columns)
 
 
@@ -34,20 +35,31 @@ def validate_contract(spark: SparkSession, path: str, required: Sequence[str],
     return cols
 
 
+#: Column with the number of a row's values that are there but do not parse.
+BAD_VALUES = "_bad_values"
+
+
 def read_csv(spark: SparkSession, path: str, declared: StructType, encoding: str = "UTF-8",
-             header_cols: Sequence[str] | None = None) -> DataFrame:
+             header_cols: Sequence[str] | None = None, multi_line: bool = False, count_bad: bool = False) -> DataFrame:
     """SRC1 / SRC2: header CSV with an explicit, header-ordered schema.
 
-    Latin-1 files use ``encoding='ISO-8859-1'``. Values that do not parse
-    under the declared type become NULL (PERMISSIVE), never a failed job.
+    Latin-1 files use ``encoding='ISO-8859-1'``. Quotes inside quoted fields
+    are doubled. ``multi_line`` allows line breaks inside quoted fields; such
+    files cannot be split between tasks. Values that do not parse under the
+    declared type become NULL, never a failed job; ``count_bad`` adds their
+    number in each row as ``_bad_values``, for the flow to report.
     """
     cols = list(header_cols) if header_cols is not None else header_columns(spark, path, encoding)
-    known = {f.name: f for f in declared.fields}
-    schema = StructType([known.get(c, StructField(c, StringType(), True)) for c in cols])
-    return (spark.read.schema(schema).option("header", True).option("encoding", encoding)
-            .option("mode", "PERMISSIVE").option("enforceSchema", True).csv(path))
-
-
-def read_ndjson(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """SRC7: newline-delimited JSON with the declared table schema."""
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+    known = {f.name: f.dataType for f in declared.fields}
+    raw = (spark.read.schema(StructType([StructField(c, StringType(), True) for c in cols]))
+           .option("header", True).option("encoding", encoding).option("quote", '"').option("escape", '"')
+           .option("multiLine", multi_line).option("mode", "PERMISSIVE").option("enforceSchema", True).csv(path))
+    typed = {c: F.col(f"`{c}`").try_cast(known.get(c, StringType())) for c in cols}
+    out = [typed[c].alias(c) for c in cols]
+    if count_bad:
+        bad = F.lit(0)
+        for c in cols:
+            if known.get(c, StringType()) != StringType():
+                bad = bad + (F.col(f"`{c}`").isNotNull() & (F.trim(f"`{c}`") != "") & typed[c].isNull()).cast("int")
+        out.append(bad.alias(BAD_VALUES))
+    return raw.select(*out)

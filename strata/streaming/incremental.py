@@ -6,9 +6,11 @@ state is a small keyed table (``source_name``, ``watermark_key``,
 it can advance per (source, key) -- e.g. per city -- and only for keys that
 actually landed (D10), not for the whole source when one city failed.
 
-Updates are DataFrame merges (the keyed upsert) written through a staging
-folder, so advancing marks per key never gathers keys on the driver; only
-point lookups of one source's mark return a single row to it.
+Updates are DataFrame merges (the keyed upsert), so advancing marks per key
+never gathers keys on the driver; only point lookups of one source's mark
+return a single row to it. Each update writes a new ``version=<n>`` folder;
+readers take the last one whose write was committed, so a crash at any point
+leaves the marks of before.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
 
+from strata.session import list_names, path_exists, remove_path
+
 # Fixed value: days looked back on a source's first run (run date included).
 FIRST_RUN_LOOKBACK_DAYS = 7
 ALL_KEYS = "*"
@@ -46,14 +50,21 @@ class WatermarkStore:
         self.spark = spark
         self.path = path
 
+    def _versions(self) -> list[int]:
+        """Numbers of the committed versions, ascending."""
+        names = [n for n in list_names(self.spark, self.path) if n.startswith("version=")]
+        return sorted(int(n[8:]) for n in names if path_exists(self.spark, f"{self.path}/{n}/_SUCCESS"))
+
     def _frame(self) -> DataFrame:
-        try:
-            return (self.spark.read.schema(_READ_SCHEMA).option("mode", "PERMISSIVE")
-                    .option("columnNameOfCorruptRecord", "_corrupt").json(self.path))
-        except Exception as exc:  # noqa: BLE001
-            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-                return self.spark.createDataFrame([], _READ_SCHEMA)
-            raise WatermarkError(f"watermark state at {self.path} is unreadable") from exc
+        versions = self._versions()
+        if not versions and not path_exists(self.spark, self.path):
+            return self.spark.createDataFrame([], _READ_SCHEMA)
+        at = self._version_path(versions[-1]) if versions else self.path
+        return (self.spark.read.schema(_READ_SCHEMA).option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", "_corrupt").json(at))
+
+    def _version_path(self, n: int) -> str:
+        return f"{self.path.rstrip('/')}/version={n:06d}"
 
     def get(self, source: str, key: str = ALL_KEYS) -> str | None:
         """Last recorded date for ``source`` (and key), or None if unset (point lookup)."""
@@ -93,19 +104,17 @@ class WatermarkStore:
     def merge(self, marks: DataFrame) -> None:
         """Upsert a DataFrame of marks into the state, entirely in Spark.
 
-        The merged state is written to a staging folder under the shared
-        checkpoint dir, then copied over the state path (never overwriting a
-        path that is still being read, N10).
+        The merged state is the next version; the one before is kept until the next update.
         """
-        from strata.session import scratch_path
         from strata.sinks.upsert import merge_frames
 
         self._check_corrupt()
         merged = merge_frames(self.as_frame(), marks.select(*STATE_SCHEMA.names),
                               ["source_name", "watermark_key"])
-        stage = scratch_path(self.spark, "watermark-stage")
-        merged.write.json(stage)
-        self.spark.read.schema(STATE_SCHEMA).json(stage).write.mode("overwrite").json(self.path)
+        versions = self._versions()
+        merged.write.mode("overwrite").json(self._version_path((versions or [0])[-1] + 1))
+        for n in versions[:-1]:
+            remove_path(self.spark, self._version_path(n))
 
     def advance_from(self, landed: DataFrame, source: str, key_col: str | None, date_col: str) -> DataFrame:
         """D10: per key, move the mark to the max date that actually landed.
@@ -120,13 +129,13 @@ class WatermarkStore:
                  .groupBy(key.alias("watermark_key")).agg(F.max(F.col(date_col)).alias("watermark_date"))
                  .select(F.lit(source).alias("source_name"), "watermark_key", "watermark_date",
                          F.lit(now).alias("updated_at")))
-        from strata.session import scratch_path
-
-        stage = scratch_path(self.spark, "watermark-marks")
-        marks.write.parquet(stage)          # computed once, reused by merge and caller
-        marks = self.spark.read.parquet(stage)
+        held = self.as_frame().where(F.col("source_name") == source).select("watermark_key", F.col("watermark_date").alias("held"))
+        # marks never move back when older days are sent again
+        marks = (marks.join(held, "watermark_key", "left").withColumn("watermark_date", F.greatest("watermark_date", "held"))
+                 .select(*STATE_SCHEMA.names))
         self.merge(marks)
-        return marks.select("watermark_key", "watermark_date")
+        return self.as_frame().where(F.col("source_name") == source).join(
+            marks.select("watermark_key"), "watermark_key", "left_semi").select("watermark_key", "watermark_date")
 
 
 def next_range(last: str | None, run_date: str,
@@ -162,14 +171,16 @@ def next_ranges(sources: DataFrame, state: DataFrame, run_date: Column | str,
 
 
 def rows_in_ranges(data: DataFrame, ranges: DataFrame, source_col: str, date_col: str,
-                   group_cols: Sequence[str] = ()) -> DataFrame:
+                   group_cols: Sequence[str] = (), count_col: str | None = None) -> DataFrame:
     """How many rows each next range would load.
 
     ``data`` is first reduced to counts per (source, date) -- a partial
     aggregate, so a source holding a third of all rows is pre-counted in
-    every map task -- and only that small table meets the ranges.
+    every map task -- and only that small table meets the ranges. Where the rows
+    of ``data`` are such counts already, ``count_col`` names them.
     """
-    daily = data.groupBy(F.col(source_col), F.col(date_col).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    n = F.count(F.lit(1)) if count_col is None else F.sum(count_col)
+    daily = data.groupBy(F.col(source_col), F.col(date_col).alias("_d")).agg(n.alias("_n"))
     keys = [source_col, *group_cols]
     cond = ((daily[source_col] == ranges[source_col]) & (daily["_d"] >= ranges["start_date"])
             & (daily["_d"] <= ranges["end_date"]))

@@ -7,6 +7,7 @@ import pytest
 
 from strata.plans import ingest
 from strata.schemas import RAW_ORDERS
+from strata.sinks.landing import land_table
 from strata.session import local_path, scratch_path
 from strata.streaming.incremental import WatermarkError, WatermarkStore, next_range, next_ranges
 from tests.fixtures import frame, order
@@ -60,7 +61,7 @@ def test_ingest_orders_appends_only_new_b5(spark):
     src = scratch_path(spark, "t-orders-src")
     bronze = scratch_path(spark, "t-orders-bronze")
     audit = scratch_path(spark, "t-orders-audit")
-    frame(spark, RAW_ORDERS, [order("o2", d, at, 10.0)]).write.partitionBy("order_date").parquet(bronze)
+    land_table(frame(spark, RAW_ORDERS, [order("o2", d, at, 10.0)]), "raw_orders", bronze)
     batch = frame(spark, RAW_ORDERS, [order(o, d, at, 10.0) for o in ("o1", "o2", "o3")])
     batch.write.partitionBy("order_date").parquet(src)
     r = ingest.ingest_orders(spark, src, bronze, audit)
@@ -71,3 +72,31 @@ def test_ingest_orders_appends_only_new_b5(spark):
     assert spark.read.parquet(bronze).count() == 3
     statuses = sorted(x["status"] for x in spark.read.parquet(audit).collect())
     assert statuses == ["PARTIAL", "PARTIAL"]
+
+
+def test_ingest_orders_of_other_file_types(spark):
+    """Ids as numbers and times as text, as a pandas writer lands them; an id that is no number is counted."""
+    src, bronze, audit = (scratch_path(spark, n) for n in ("t-typed-src", "t-typed-bronze", "t-typed-audit"))
+    (spark.createDataFrame([("a1", 7, 70, "2023-01-02T10:00:00", "2023-01-02", "5"), ("a2", 8, 80, "not a time", "2023-02-02", "x")],
+                           "order_id string, restaurant_id bigint, customer_id bigint, order_datetime string, order_date string, "
+                           "delivery_time_mins string").write.parquet(src))
+    r = ingest.ingest_orders(spark, src, bronze, audit)
+    assert (r["rows_processed"], r["rows_unparsed"], r["status"]) == (2, 1, "SUCCESS")
+    got = {x["order_id"]: x for x in spark.read.schema(RAW_ORDERS).parquet(bronze).collect()}
+    assert got["a1"]["customer_id"] == "70" and got["a1"]["order_datetime"] == dt.datetime(2023, 1, 2, 10)
+    assert got["a2"]["order_datetime"] is None and got["a2"]["delivery_time_mins"] is None
+    assert sorted(n for n in os.listdir(local_path(bronze)) if "=" in n) == ["order_month=2023-01-01", "order_month=2023-02-01"]
+
+
+def test_marks_survive_a_crash_and_never_move_back(spark):
+    path = scratch_path(spark, "t-wm-crash")
+    store = WatermarkStore(spark, path)
+    store.set("weather", "2023-01-10")
+    os.makedirs(os.path.join(local_path(path), "version=000099"))  # a write that was never committed
+    assert store.get("weather") == "2023-01-10"
+    older = spark.createDataFrame([("delhi", dt.date(2023, 1, 5))], "city string, d date")
+    store.set("weather", "2023-01-09", "delhi")
+    assert [r["watermark_date"] for r in store.advance_from(older, "weather", "city", "d").collect()] == [dt.date(2023, 1, 9)]
+    for d in ("2023-01-11", "2023-01-12"):
+        store.set("weather", d)
+    assert store.get("weather") == "2023-01-12" and len(store._versions()) == 2

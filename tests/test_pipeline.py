@@ -25,7 +25,7 @@ def catalog(spark):
     paths = {}
     for name, df in frames.items():
         paths[name] = f"{root}/{name}"
-        df.write.parquet(paths[name])
+        landing.land_table(df, name, paths[name])
     return BronzeCatalog(spark, paths)
 
 

@@ -152,6 +152,60 @@ def test_ingest_weather_incremental(spark, tmp_path):
     assert r3["status"] == "UP_TO_DATE"
 
 
+def test_a_failed_city_is_not_skipped(spark, tmp_path):
+    """Pune's payload fails on the first run and comes whole on the second: no day is lost."""
+    bronze, audit, marks = (scratch_path(spark, n) for n in ("t-w2", "t-audit4", "t-marks4"))
+    landing, tmp_path = tmp_path / "landing", tmp_path / "payloads"
+    run = lambda day: ingest.ingest_weather(spark, str(tmp_path), bronze, audit, marks, day, f"{day} 06:00:00",
+                                            landing_root=str(landing))
+    three = {"daily": {k: v[:3] for k, v in PAYLOAD["daily"].items()}}
+    land_payloads(str(tmp_path), {"delhi": three, "pune": {"error": "no data"}})
+    first = run("2024-01-03")
+    assert (first["rows"], first["quarantined"], first["status"]) == (3, 1, "PARTIAL")
+    land_payloads(str(tmp_path), {"delhi": three, "pune": three})
+    second = run("2024-01-04")
+    assert (second["rows"], second["rows_merged"]) == (3, 6)           # pune's days are new, delhi's came again
+    got = spark.read.parquet(bronze).groupBy("city").count().collect()
+    assert {r["city"]: r["count"] for r in got} == {"delhi": 3, "pune": 3}
+    land_payloads(str(tmp_path), {"delhi": PAYLOAD})
+    assert run("2024-01-03")["status"] == "UP_TO_DATE"
+    third = ingest.ingest_weather(spark, str(tmp_path), bronze, audit, marks, "2024-01-05", "2024-01-05 06:00:00")
+    assert third["rows"] == 1 and third["rows_ahead"] == 0
+
+
+def test_csv_quotes_line_breaks_and_bad_values(spark, tmp_path):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    from strata.sources.csv import read_csv
+
+    path = tmp_path / "q.csv"
+    path.write_text('id,address,n\n1,"Shop 3, ""Plaza"", Delhi",5\n2,"two\nlines",x\n3,,\n')
+    declared = StructType([StructField("id", LongType()), StructField("address", StringType()), StructField("n", LongType())])
+    got = [tuple(r) for r in read_csv(spark, str(path), declared, multi_line=True, count_bad=True).orderBy("id").collect()]
+    assert got == [(1, 'Shop 3, "Plaza", Delhi', 5, 0), (2, "two\nlines", None, 1), (3, None, None, 0)]
+
+
+def test_bad_dates_are_counted(spark, tmp_path):
+    header = ["festival_date", "festival_name", "festival_type", "region", "is_major"]
+    path = write_csv(tmp_path / "f.csv", header, [["2023-11-12", "A", "x", "all", "TRUE"], ["12/11/2023", "B", "x", "all", "TRUE"]])
+    bronze, audit, marks = (scratch_path(spark, n) for n in ("t-fest2", "t-audit5", "t-marks5"))
+    m = ingest.ingest_festivals(spark, path, bronze, audit, marks, "2024-02-01", INGESTED_AT, landing_root=str(tmp_path / "land"))
+    assert (m["row_count"], m["rows_rejected"], m["status"]) == (2, 1, "PARTIAL")
+    assert os.path.isdir(tmp_path / "land/festival_calendar/ingestion_date=2024-02-01")
+    assert spark.read.parquet(audit).first()["rows_rejected"] == 1
+
+
+def test_unchanged_restaurant_file_is_skipped(spark, tmp_path):
+    path = restaurant_csv(tmp_path)
+    root, bronze, audit, led = (scratch_path(spark, n) for n in ("t-l", "t-b", "t-a", "t-led"))
+    run = lambda: ingest.ingest_restaurants(spark, path, root, bronze, audit, "2024-02-01", INGESTED_AT, ledger_path=led)
+    first = run()
+    assert first["status"] == "SUCCESS" and len(first["fingerprint"]) == 32
+    assert run()["status"] == "UNCHANGED"
+    with open(path, "a") as f:
+        f.write("\n")
+    assert run()["status"] == "SUCCESS"
+
+
 def test_partition_pruning_in_plan(spark):
     from strata.plans.workloads import PRUNE_FROM
     from strata.operators.filters import since
