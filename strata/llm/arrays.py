@@ -90,20 +90,28 @@ class Words:
     hashes: np.ndarray
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words:
-    """Words of texts given as bytes and offsets (see :func:`text_bytes`)."""
+def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True, kinds: np.ndarray | None = None) -> Words:
+    """Words of texts given as bytes and offsets (see :func:`text_bytes`).
+
+    With ``kinds`` (a number for each byte value) words are also cut between a
+    byte of kind 1 and one of kind 2, in either order.
+    """
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return Words(data, none, none, np.zeros(len(offsets), np.int64), none.astype(_U))
     sep = _SEP[data]
+    cut = np.zeros(n - 1, dtype=bool)
+    if kinds is not None:
+        kind = kinds[data]
+        cut = kind[:-1] + kind[1:] == 3
     full = offsets[:-1] < offsets[1:]
     first, last = offsets[:-1][full], offsets[1:][full] - 1
     edge = np.empty(n, dtype=bool)
-    edge[0], edge[1:] = True, sep[:-1]
+    edge[0], edge[1:] = True, sep[:-1] | cut
     edge[first] = True
     starts = np.flatnonzero(edge & ~sep)
-    edge[-1], edge[:-1] = True, sep[1:]
+    edge[-1], edge[:-1] = True, sep[1:] | cut
     edge[last] = True
     ends = np.flatnonzero(edge & ~sep) + 1
     up, down = _sized(n)

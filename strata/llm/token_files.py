@@ -8,21 +8,25 @@ bit-packed by deltas (format version 2); row groups and pages have a set size,
 and page indexes are written, so readers can take the metadata alone, or the
 tokens of a range of documents, without the rest.
 
-Each distinct word of a batch is encoded once. A tokenizer whose pre-tokenizer
-drops white space treats words apart from each other, so the ids of a text are
-those of its words in order; :func:`words_stand_alone` tells whether that holds
-by the tokenizer's own definition, and whole texts are encoded otherwise.
+Each distinct word that a worker meets is encoded once. A tokenizer whose
+pre-tokenizer drops white space and parts letters from signs treats words, and
+letters and signs within them, apart from each other, so the ids of a text are
+those of these units in order. :func:`words_stand_alone` tells whether that
+holds by the tokenizer's own definition; whole texts are encoded otherwise.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,9 +46,9 @@ LAYOUT = {
     "compression": "zstd",
 }
 #: Text bytes of a file, about.
-FILE_BYTES = 64 << 20
+FILE_BYTES = 32 << 20
 #: Words whose ids a task keeps.
-KEPT_WORDS = 1 << 18
+KEPT_WORDS = 1 << 21
 
 
 @lru_cache(maxsize=4)
@@ -56,11 +60,13 @@ def tokenizer(path: str):
 
 @lru_cache(maxsize=4)
 def words_stand_alone(path: str) -> bool:
-    """Whether a tokenizer's ids of a text are those of its white-space-separated words, one after another.
+    """Whether a tokenizer's ids of a text are those of its words, cut between letters and signs.
 
-    So it is when a normalizer only composes, lower-cases and joins white
-    space, the first pre-tokenizer drops what lies between words, nothing is
-    put before the text, and no special token has white space in it.
+    So it is when the normalizer composes, lower-cases and joins white space,
+    and the first pre-tokenizer takes runs of letters and runs of signs
+    (apostrophes open contractions) and drops what lies between; when nothing
+    is put before the text; and when special tokens are without white space
+    and within ``<|`` and ``|>``, whose signs are not cut at.
     """
     def steps(x: dict | None, key: str) -> list[dict]:
         return [] if x is None else x[key] if x.get("type") == "Sequence" else [x]
@@ -69,52 +75,87 @@ def words_stand_alone(path: str) -> bool:
         made = json.load(f)
     normal = steps(made.get("normalizer"), "normalizers")
     before = steps(made.get("pre_tokenizer"), "pretokenizers")
-    return (all(x["type"] in ("NFC", "Lowercase") or x["type"] == "Replace" and x["pattern"] == {"Regex": "\\s+"} and x["content"] == " "
+    return ({"type": "Lowercase"} in normal and all(x["type"] in ("NFC", "Lowercase") or x["type"] == "Replace" and x["pattern"] == {"Regex": "\\s+"} and x["content"] == " "
                 for x in normal)
             and bool(before) and before[0]["type"] == "Split" and before[0]["behavior"] == "Removed" and before[0]["invert"]
-            and "\\s\\p{L}" in before[0]["pattern"].get("Regex", "") and "\\s+" not in before[0]["pattern"].get("Regex", "")
-            and all(not (x["lstrip"] or x["rstrip"] or any(c.isspace() for c in x["content"])) for x in made["added_tokens"]))
+            and before[0]["pattern"].get("Regex") == _WORDS_AND_SIGNS
+            and all(x["content"][:2] + x["content"][-2:] == "<||>" and not (x["lstrip"] or x["rstrip"] or any(c.isspace() for c in x["content"]))
+                    for x in made["added_tokens"]))
+
+
+#: Fixed value: the pre-tokenizer's pattern for which units stand alone.
+_WORDS_AND_SIGNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# letters of ASCII, and its signs but those of contractions and special tokens
+_KINDS = np.zeros(256, dtype=np.int8)
+_KINDS[[*range(65, 91), *range(97, 123)]] = 1
+_KINDS[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) not in "'<|>"]] = 2
+
+
+def _units(data: np.ndarray, offsets: np.ndarray) -> arrays.Words:
+    """Units that are encoded apart; those alike but for A-Z and a-z have one hash, save where a special token may be."""
+    units = arrays.words_of(data, offsets, lower=True, kinds=_KINDS)
+    bars, letters = (np.concatenate([[0], np.cumsum(x)]) for x in (data == ord("|"), _KINDS[data] == 1))
+    for i in np.flatnonzero((bars[units.ends] > bars[units.starts]) & (letters[units.ends] > letters[units.starts])).tolist():
+        units.hashes[i] = xxhash.xxh64_intdigest(data[units.starts[i]:units.ends[i]].tobytes())
+    return units
 
 
 class Encoder:
-    """Ids of batches of texts, with the end id after each."""
+    """Ids of batches of texts, with the end id after each.
+
+    Words met before are kept as sorted hashes beside their ids in one table,
+    about ``KEPT_WORDS`` of them; when there are more, the oldest table goes.
+    """
 
     def __init__(self, path: str, end_id: int = END_ID):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokens, self.by_word, self.end_id = tokenizer(path), words_stand_alone(path), end_id
-        self.known: dict[int, np.ndarray] = {}
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, dtype=np.int32) for x in self.tokens.encode_batch(texts, add_special_tokens=False)]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes, self.begins, self.lengths, self.table = (np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int32))
+
+    def _encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(flat ids, number of ids of each) of texts given as byte ranges."""
+        raw = data.tobytes()
+        said = self.tokens.encode_batch_fast([raw[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)],
+                                             add_special_tokens=False)
+        each = [x.ids for x in said]
+        length = np.fromiter(map(len, each), np.int64, len(each))
+        return np.fromiter(chain.from_iterable(each), np.int32, int(length.sum())), length
+
+    def _learn(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        flat, length = self._encode(data, starts, ends)
+        at = np.searchsorted(self.hashes, hashes)
+        self.begins = np.insert(self.begins, at, len(self.table) + np.cumsum(length) - length)
+        self.hashes, self.lengths = np.insert(self.hashes, at, hashes), np.insert(self.lengths, at, length)
+        self.table = np.concatenate([self.table, flat])
+
+    def _missing(self, hashes: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.hashes, hashes)
+        return np.flatnonzero((at == len(self.hashes)) | (np.append(self.hashes, np.uint64(0))[at] != hashes))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, offsets of each text's ids) of texts given as bytes."""
         n = len(offsets) - 1
         if not self.by_word:
-            raw = data.tobytes()
-            each = self._encode([raw[a:b].decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
-            count = np.array([len(x) for x in each], dtype=np.int64)
-            flat = np.concatenate([*each, np.zeros(0, np.int32)])
-            word_ends = np.cumsum(count)
+            flat, count = self._encode(data, offsets[:-1], offsets[1:])
+            text_ends = np.cumsum(count)
         else:
-            words = arrays.words_of(data, offsets, lower=False)
+            words = _units(data, offsets)
             unique, first, which = np.unique(words.hashes, return_index=True, return_inverse=True)
-            new = [i for i, h in enumerate(unique.tolist()) if h not in self.known]
-            if new:
-                if len(self.known) + len(new) > KEPT_WORDS:
-                    self.known, new = {}, list(range(len(unique)))
-                raw = data.tobytes()
-                at = first[new]
-                said = self._encode([raw[a:b].decode() for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)])
-                self.known.update(zip(unique[new].tolist(), said, strict=True))
-            each = [self.known[h] for h in unique.tolist()]
-            length = np.array([len(x) for x in each], dtype=np.int64)
-            table = np.concatenate([*each, np.zeros(0, np.int32)])
-            begin = np.cumsum(length) - length
-            size = length[which]
+            new = self._missing(unique)
+            if len(new) + len(self.hashes) > KEPT_WORDS:
+                self._forget()
+                new = np.arange(len(unique))
+            if len(new):
+                self._learn(unique[new], data, words.starts[first[new]], words.ends[first[new]])
+            at = np.searchsorted(self.hashes, unique)
+            begin, size = self.begins[at][which], self.lengths[at][which]
             ends = np.cumsum(size)
-            flat = table[np.repeat(begin[which] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-            word_ends = np.concatenate([[0], ends])[words.offsets[1:]]
-        out_offsets = np.concatenate([[0], word_ends + np.arange(1, n + 1)])
+            flat = self.table[np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+            text_ends = np.concatenate([[0], ends])[words.offsets[1:]]
+        out_offsets = np.concatenate([[0], text_ends + np.arange(1, n + 1)])
         out = np.empty(out_offsets[-1], dtype=np.int32)
         is_end = np.zeros(len(out), dtype=bool)
         is_end[out_offsets[1:] - 1] = True
@@ -122,6 +163,12 @@ class Encoder:
         return out, out_offsets
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str, end_id: int) -> Encoder:
+    """The encoder of this Python worker; tasks that follow each other share what it has met."""
+    return Encoder(path, end_id)
+
+
 def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                  end_id: int = END_ID) -> None:
     """Write the token files of ``docs`` to ``folder``.
@@ -135,12 +182,12 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str
     bounded_batches(docs.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path, end_id)
+        made = encoder(tokenizer_path, end_id)
         for batch in batches:
             data, offsets = arrays.text_bytes(batch.column(2))
             for a, b in arrays.row_slices(offsets):
                 o = offsets[a:b + 1]
-                ids, at = encoder.encode(data[o[0]:o[-1]], o - o[0])
+                ids, at = made.encode(data[o[0]:o[-1]], o - o[0])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(np.diff(at)),
                      pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))],
