@@ -125,28 +125,25 @@ def run_checks(df: DataFrame, checks: Sequence[Check], table: str | None = None)
     ('pass' or the check's severity).
     """
     parts: list[DataFrame] = []
-    row_checks = [c for c in checks if c.kind in ("row", "row_count")]
+    row_checks = [c for c in checks if c.kind in ("row", "row_count", "proportion_unique")]
     if row_checks:
         aggs = []
         for c in row_checks:
             if c.kind == "row":
                 aggs.append(F.count_if(F.coalesce(c.failing, F.lit(False))).alias(c.name))
-            else:
-                n = F.count(F.lit(1))
-                aggs.append(F.when(_bounded_fail(n, c.low, c.high), F.lit(1)).otherwise(F.lit(0))
-                            .cast("long").alias(c.name))
+                continue
+            value = F.count(F.lit(1))
+            if c.kind == "proportion_unique":
+                col = F.col(c.keys[0])
+                value = F.try_divide(F.count_distinct(col).cast("double"), F.count(col).cast("double"))
+            aggs.append(F.when(_bounded_fail(value, c.low, c.high), F.lit(1)).otherwise(F.lit(0))
+                        .cast("long").alias(c.name))
         one_pass = df.agg(*aggs)
         parts.append(one_pass.unpivot([], [c.name for c in row_checks], "check_name", "failing_rows"))
     for c in checks:
         if c.kind in ("unique", "relationship"):
             n = failing_rows(df, c).agg(F.count(F.lit(1)).alias("failing_rows"))
             parts.append(n.select(F.lit(c.name).alias("check_name"), "failing_rows"))
-        elif c.kind == "proportion_unique":
-            col = F.col(c.keys[0])
-            prop = F.try_divide(F.count_distinct(col).cast("double"), F.count(col).cast("double"))
-            parts.append(df.agg(F.when(_bounded_fail(prop, c.low, c.high), F.lit(1)).otherwise(F.lit(0))
-                                .cast("long").alias("failing_rows"))
-                         .select(F.lit(c.name).alias("check_name"), "failing_rows"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

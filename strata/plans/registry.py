@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from strata.plans import workloads as W
+from strata.plans.flow_workloads import FLOW_QUERIES
 
 QUERIES = {
     "md3_orders_clean": W.md3_orders_clean,
@@ -43,4 +44,5 @@ QUERIES = {
     "fn_safe_divide": W.fn_safe_divide,
     "set_union_all": W.set_union_all,
     "prj_clean_text": W.prj_clean_text,
+    **FLOW_QUERIES,
 }

@@ -33,7 +33,7 @@ from pyspark.sql.types import StructType
 
 from strata.operators.dedup import keep_first
 from strata.operators.filters import restrict_to_values
-from strata.session import configure, observing, staging, swap_in
+from strata.session import configure, observing, path_exists, staging, swap_in
 
 OP_COL = "__merge_op"
 _MARK = "__merge_matched"
@@ -105,10 +105,12 @@ def merge_counts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
 
 def _columns_of(spark: SparkSession, path: str, partition_cols: Sequence[str]) -> list[str] | None:
     """Columns of the table at ``path``, from a file's footer; None where there is no table yet."""
+    if not path_exists(spark, path):
+        return None
     try:
         in_files = spark.read.option("recursiveFileLookup", "true").parquet(path).columns
     except AnalysisException as exc:
-        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if exc.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without files
             return None
         raise
     return [*(c for c in in_files if c not in partition_cols), *partition_cols]
