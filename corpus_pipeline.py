@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.compression_quality import quality_scores
 from strata.llm.decontamination import without_contaminated
-from strata.llm.mixing import mix_sources
+from strata.llm.mixing import mix_sources, word_count
 from strata.llm.ngram_join import join_links
 from strata.llm.queries import table, tokenizer_path
 from strata.llm.tables import Scratch
@@ -44,9 +44,15 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; copies carry the document's id."""
-    taken = mix_sources(docs).where("taken > 0").select("doc_id", (F.col("taken") / F.col("size")).cast("int").alias("_copies"))
-    copies = F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
-    return docs.join(taken, "doc_id").select(*docs.columns, copies).drop("_copy")
+    # rows of one id meet their counts in order of source and size, on which alone the counts depend
+    taken = mix_sources(docs).select("doc_id", "source", "size", F.when(F.col("size") > 0, F.col("taken") / F.col("size")).cast("int").alias("_copies"))
+    placed = Window.partitionBy("doc_id").orderBy("source", "_size", F.desc("_copies"))
+    taken = taken.withColumnRenamed("size", "_size").withColumn("_place", F.row_number().over(placed)).select("doc_id", "_place", "_copies")
+    placed = Window.partitionBy("doc_id").orderBy("source", "_size", "text", "lang", "n_chars")
+    rows = docs.withColumn("_size", word_count(F.col("text"))).withColumn("_place", F.row_number().over(placed))
+    met = rows.alias("r").join(taken.alias("t"), F.col("r.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("r._place") == F.col("t._place")))
+    copies = F.explode(F.sequence(F.lit(1), F.col("_copies")))
+    return met.where("_copies > 0").select(*(F.col(f"r.{c}").alias(c) for c in docs.columns), copies.alias("_copy")).drop("_copy")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -69,11 +69,12 @@ class Band:
 
 
 def bands(num: int, den: int, up_to: int) -> list[Band]:
-    """Size bands covering ``1..up_to`` and one band beyond, for similarity ``num/den``."""
+    """Size bands covering ``1..up_to``, for similarity ``num/den``."""
     out: list[Band] = []
     low = 1
     while not out or out[-2 if len(out) > 1 else -1].high < up_to:
-        high = max(low, low * 3 // 2) if low > 6 else low * den // num
+        # partners of a band's sets lie in it or in the next one at most
+        high = max(low * den // num, low * 3 // 2 if low > 6 else low)
         k = 2 * high * (den - num) // (den + num)
         if k == 0:
             cut = (1, 1, 0, 0)
@@ -150,10 +151,10 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own included). Texts without words, empty and null ones have size 0 and
     link with nothing; texts of fewer than ``n`` words have their whole
     sequence as the one element. Repeated rows and repeated ids each give a
-    row; rows of one text share a component. A null id gives a null
-    component unless the row links with rows that have ids. Other columns of
-    ``docs`` are not read, whatever their names. An empty table gives an
-    empty result.
+    row; rows of one text share a component. A row without an id has the
+    component of rows of the same text that have one, else a null one, and
+    links with nothing. Other columns of ``docs`` are not read, whatever their
+    names. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -191,8 +192,7 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     classes = rows.where("n > 0").groupBy("cls").agg(F.min("id").alias("id"), F.first("n").alias("n"))
     wanted = buckets.select("cls").distinct().join(classes, "cls")
-    texts = base.join(wanted, "id").dropDuplicates(["cls"]).select("cls", "n", "text")
-    texts = scratch.save(_sketched(texts, n), "texts")
+    texts = scratch.save(_sketched(base.join(wanted, "id").select("cls", "n", "text"), n).dropDuplicates(["cls"]), "texts")
     alone = scratch.save(_own_elements(texts, n), "alone")
     member = (buckets.join(texts.drop("text"), "cls").join(alone, "cls", "left")
               .select("sig", "cls", "n", F.coalesce("alone", F.lit(0)).alias("alone"), *_SKETCH_COLUMNS)
@@ -211,7 +211,7 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _sketched(texts: DataFrame, n: int) -> DataFrame:
-    """``texts`` (cls, n, text) with the parity sketch of each set."""
+    """``texts`` (cls, n, text) with the parity sketch of each set, without texts of another class (rows of one id may differ)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = 64 * SKETCH
@@ -221,8 +221,9 @@ def _sketched(texts: DataFrame, n: int) -> DataFrame:
                 at = (arrays.mix(h + np.uint64(7)) % np.uint64(bits)).astype(np.int64)
                 odd = np.bincount(np.repeat(np.arange(b - a), np.diff(o)) * bits + at, minlength=(b - a) * bits) & 1
                 longs = np.packbits(odd.astype(np.uint8).reshape(-1, 64), axis=1).view(np.int64).reshape(-1, SKETCH)
-                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, *(pa.array(np.ascontiguousarray(x)) for x in longs.T)],
-                                                 ["cls", "n", "text", *_SKETCH_COLUMNS])
+                made = pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, *(pa.array(np.ascontiguousarray(x)) for x in longs.T)],
+                                                  ["cls", "n", "text", *_SKETCH_COLUMNS])
+                yield made.filter(pa.array(batch.column(0).to_numpy()[a:b] == set_classes(h, o)))
 
     return texts.mapInArrow(sketch, "cls long, n long, text string, " + ", ".join(f"{x} long" for x in _SKETCH_COLUMNS))
 

@@ -61,6 +61,15 @@ def test_awkward_rows(spark):
     assert join_links(no_docs(spark)).collect() == []
 
 
+def test_rows_of_one_id_with_other_texts_and_rows_without_id(spark):
+    rng = random.Random(3)
+    a, b = sentence(rng, 80).split(), sentence(rng, 80).split()
+    a2, b2 = [*a[:-1], "x"], [*b[:-1], "y"]
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join(a2)), (3, " ".join(b2)), (None, " ".join(a2)), (None, "all by itself")]
+    got = join_links(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in got), key=str) == sorted([(1, 1), (1, 1), (2, 1), (3, 1), (None, 1), (None, None)], key=str)
+
+
 @pytest.mark.parametrize("n,num", [(4, 85), (5, 80)])
 def test_large_group_of_edited_copies(spark, n, num):
     rng = random.Random(11)

@@ -53,3 +53,12 @@ def test_stages_on_awkward_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, docs, SF).collect()
         stage(spark, docs.limit(0), SF).collect()
+
+
+def test_mix_of_repeated_rows(spark):
+    docs = spark.createDataFrame([(i // 3, "w " * (1 + i % 7), "en", "a" if i % 2 else "b", i) for i in range(60)], DOCS)
+    docs = docs.unionByName(docs.limit(10))
+    mixed = corpus_pipeline.mix(spark, docs, SF)
+    words = sum(len(r.text.split()) for r in docs.collect())
+    assert abs(sum(len(r.text.split()) for r in mixed.collect()) - 1.5 * words) <= 7
+    assert mixed.columns == docs.columns
