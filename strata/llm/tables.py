@@ -6,6 +6,8 @@ executor rereads it. ``Scratch.drop`` removes what no later step reads.
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +43,18 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
+@contextlib.contextmanager
+def one_row_batches(spark: SparkSession):
+    """For an action over rows of several MB each: Python gets them one by one."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def connected_components(edges: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label): the smallest node that links reach, for every node of an edge.
 
