@@ -704,12 +704,18 @@ def jn_left_enrich_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN1: LEFT equi-join on two keys -- each line enriched with its day's class.
 
     The right side is the MD4 table (one row per (city, day) after its
-    dedup), so the left join cannot fan out; unmatched rows keep NULLs.
+    dedup), so the left join cannot fan out; unmatched rows keep NULLs. It is
+    written once: the planner then knows its size, and sends it to the lines
+    where that is under the broadcast threshold instead of shuffling these.
     """
     from strata.operators import joins
+    from strata.session import scratch_path
 
     lines = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", F.col("l_returnflag").alias("city"),
         F.to_date("l_shipdate").alias("ship_date"))
     daily = md4_weather_classify(spark, sf_dir).select("city", "weather_date", "weather_category", "season")
+    path = scratch_path(spark, "daily-weather")
+    daily.write.parquet(path)
+    daily = spark.read.schema(daily.schema).parquet(path)
     return joins.left_join(lines, daily, [("city", "city"), ("ship_date", "weather_date")])
