@@ -170,9 +170,10 @@ def identify(pages: DataFrame, model: TextModel, id_col: str = "page_id", url_co
     domains = domains.join(sums("suffix", "suffix"), F.col("in_suffix") == F.col("suffix_key"))
     shares = smoothed("domain", smoothed("suffix", [F.lit(x) for x in total]))
     domains = domains.select("domain_key", *(s.alias(f"d{i}") for i, s in enumerate(shares)))
-    joined = (known.join(sums("host", "host"), F.col("host") == F.col("host_key"))
-              .join(domains, F.col("domain") == F.col("domain_key"))
-              .join(said, F.col("declared") == F.col("said_key")))
+    # the levels meet on distinct hosts; pages meet these once
+    hosts = sums("host", "host").withColumn("domain", F.array_join(F.slice(F.reverse(F.split("host_key", r"\.")), 1, 2), "."))
+    hosts = hosts.join(domains, F.col("domain") == F.col("domain_key")).drop("domain", "domain_key")
+    joined = (rows.join(hosts, F.col("host") == F.col("host_key")).join(said, F.col("declared") == F.col("said_key")))
     prior = smoothed("host", [F.col(f"d{i}") for i in range(k)], p)
     # P(declared | language); a page without a declaration says nothing
     spread = AGREES + DIFFERS * k
