@@ -75,7 +75,10 @@ class TextModel:
 
 
 def fit_text(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> TextModel:
-    """Model of all rows with a language and a text; the driver gets ``BUCKETS`` sums a language."""
+    """Model of all rows with a language and a text; the driver gets ``BUCKETS`` sums a language.
+
+    Without any such row the one language is ``und``.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -100,7 +103,7 @@ def fit_text(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())
     languages = sorted(rows["lang"].unique())
     if not languages:
-        raise ValueError("no labelled text to fit the languages on")
+        return TextModel(["und"], np.zeros((1, BUCKETS)))
     counts = np.zeros((len(languages), BUCKETS))
     counts[np.searchsorted(languages, rows["lang"]), rows["bucket"].to_numpy()] = rows["n"]
     return TextModel(languages, counts)

@@ -39,6 +39,12 @@ def test_awkward_rows(spark, model):
     assert identify(pages.limit(0), model).collect() == []
 
 
+def test_no_labelled_text(spark):
+    none = fit_text(spark.createDataFrame([(1, None, "en"), (2, "x", None)], "doc_id long, text string, lang string"))
+    pages = spark.createDataFrame([(1, "http://a.org/x", "<html lang='en'>the dog", "h", "d", 0.0)], PAGES)
+    assert [(r["lang"], r["confidence"]) for r in as_dicts(identify(pages, none))] == [("und", 1.0)]
+
+
 def test_host_prior_decides_without_text(spark, model):
     rows = [(i, "http://x.example/", "<p>und der hund im haus", "h", "d", 0.0) for i in range(20)] + [(99, "http://x.example/q", "<p>?", "h", "d", 0.0)]
     rows += [(200 + i, f"http://y{i}.com/", "<p>the cat and that dog went", "h", "d", 0.0) for i in range(60)] + [(98, "http://z.com", "", "h", "d", 0.0)]
