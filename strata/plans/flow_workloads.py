@@ -111,7 +111,7 @@ FLOW_SQL["snk_audit_rows"] = f"""
 WITH n AS (SELECT count(*) FILTER (o_orderdate < TIMESTAMP '{FIRST_LOAD_BEFORE}') AS first,
                   count(*) FILTER (o_orderdate >= TIMESTAMP '{FIRST_LOAD_BEFORE}') AS new,
                   count(*) FILTER (o_orderdate >= TIMESTAMP '{SECOND_LOAD_FROM}' AND o_orderdate < TIMESTAMP '{FIRST_LOAD_BEFORE}') AS again FROM orders)
-SELECT 'orders' AS source_name, first AS rows_processed, 0 AS rows_rejected, 'SUCCESS' AS status, NULL AS error_message, true AS timed FROM n
+SELECT 'orders' AS source_name, first AS rows_processed, 0 AS rows_rejected, 'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS error_message, true AS timed FROM n
 UNION ALL SELECT 'orders', new, again, CASE WHEN again > 0 THEN 'PARTIAL' ELSE 'SUCCESS' END, NULL, true FROM n
 """
 
