@@ -15,18 +15,16 @@ projections while its thin partitions are no more than ``spare``: one partition
 that is not thin still agrees. A set with more of them signs all.
 
 Sets that share a signature are candidates, not yet links. Exact conditions
-thin them out before any text is compared: sizes, the number of elements that
-no other candidate set has (these all count as differences), and parity sketches
-(bit ``i`` is the parity of the number of elements hashed to ``i``; each bit in
-which two sketches differ takes a difference of its own). The rest are compared
-on their whole sets.
+thin them out before any text is compared: sizes, and parity sketches (bit ``i``
+is the parity of the number of elements hashed to ``i``; each bit in which two
+sketches differ takes a difference of its own). The rest are compared on their
+whole sets.
 
 Skew: equal sets collapse into one class by aggregation before anything else;
 each Arrow batch signs for a class once; buckets of the same members, as the many
 signatures of one group of copies make them, are one bucket. Inside a large bucket, members are
-compared with a bounded block of hubs first (the sets with the fewest elements
-of their own, such as the original of many edited copies); members whose
-component is already the hub's are not compared again. Blocks go on until every
+compared with a bounded block of hubs first; members whose component is already
+the hub's are not compared again. Blocks go on until every
 pair of a bucket is either compared, excluded by the conditions above, or in
 one component. So no link between different texts is lost, and copies are not
 expanded into all pairs.
@@ -51,8 +49,12 @@ LEAST_ELEMENTS = 2
 #: Longs of a parity sketch.
 SKETCH = 8
 _SKETCH_COLUMNS = [f"x{i}" for i in range(SKETCH)]
-#: Hubs of a bucket compared in the first and in each later block.
-HUB_BLOCKS = (64, 1024)
+#: Bits of a signature. Chance matches are no links, they only cost a look at two sketches.
+SIGNATURE_BITS = 48
+#: Hubs of a bucket compared in the first blocks and in each later one.
+HUB_BLOCKS = (8, 64, 1024)
+#: Members of a bucket up to which its pairs are looked through before texts are fetched.
+SMALL_BUCKET = 64
 
 
 @dataclass(frozen=True)
@@ -82,7 +84,7 @@ def bands(num: int, den: int, up_to: int) -> list[Band]:
             cut = (1, k + 4, k, 0)
         else:
             need = k // 2 + 1
-            spare = need // 3
+            spare = need // 4
             cut = (need + spare, 3, 1, spare)
         out.append(Band(len(out), low, high, *cut))
         low = high + 1
@@ -165,8 +167,8 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             for a, b, words in arrays.batches_of_words(batch.column(1)):
                 h, o = arrays.shingle_sets(words, n)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.diff(o)),
-                                                  pa.array(set_classes(h, o))], ["id", "n", "cls"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.diff(o)), pa.array(set_classes(h, o)),
+                                                  *map(pa.array, parity_sketches(h, o))], ["id", "n", "cls", *_SKETCH_COLUMNS])
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,9 +182,11 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 done = np.concatenate([done, cls[first]])
                 size = np.where(first, np.diff(o), 0)
                 sig, row = signatures(h[np.repeat(first, np.diff(o))], np.concatenate([[0], np.cumsum(size)]), num, den)
-                yield pa.RecordBatch.from_arrays([pa.array(arrays.signed(sig)), pa.array(cls[row])], ["sig", "cls"])
+                yield pa.RecordBatch.from_arrays([pa.array(arrays.signed(sig >> np.uint64(64 - SIGNATURE_BITS))), pa.array(cls[row])],
+                                                 ["sig", "cls"])
 
-    rows = scratch.save(base.mapInArrow(sizes, "id long, n long, cls long"), "rows")
+    sketched = ", ".join(f"{x} long" for x in _SKETCH_COLUMNS)
+    rows = scratch.save(base.mapInArrow(sizes, f"id long, n long, cls long, {sketched}"), "rows")
     by_sig = Window.partitionBy("sig")
     buckets = (base.select("text").mapInArrow(signed, "sig long, cls long")
                .withColumn("lo", F.min("cls").over(by_sig)).withColumn("hi", F.max("cls").over(by_sig))
@@ -190,18 +194,20 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                .where("lo < hi").select(F.xxhash64("lo", "hi", "all").alias("sig"), "cls").distinct())
     buckets = scratch.save(buckets, "buckets")
 
-    classes = rows.where("n > 0").groupBy("cls").agg(F.min("id").alias("id"), F.first("n").alias("n"))
-    wanted = buckets.select("cls").distinct().join(classes, "cls")
-    texts = scratch.save(_sketched(base.join(wanted, "id").select("cls", "n", "text"), n).dropDuplicates(["cls"]), "texts")
-    alone = scratch.save(_own_elements(texts, n), "alone")
-    member = (buckets.join(texts.drop("text"), "cls").join(alone, "cls", "left")
-              .select("sig", "cls", "n", F.coalesce("alone", F.lit(0)).alias("alone"), *_SKETCH_COLUMNS)
-              .where(den * F.col("alone") <= (den - num) * F.col("n")))
-    edges = _compare(scratch.save(member, "members"), texts, n, num, den, scratch)
-    scratch.drop(buckets, alone, texts)
+    facts = F.first(F.struct("n", *_SKETCH_COLUMNS)).alias("f")
+    classes = rows.where("n > 0").groupBy("cls").agg(F.min("id").alias("id"), facts).select("cls", "id", "f.*")
+    sizes_in = F.count(F.lit(1)).over(by_sig).alias("in_bucket")
+    members = scratch.save(buckets.join(classes, "cls").select("sig", *classes.columns, sizes_in), "members")
+    scratch.drop(buckets)
+    wanted = _plausible(members, num, den).join(members.select("cls", "id").distinct(), "cls")
+    texts = base.join(wanted, "id").select("cls", "text")
+    texts = scratch.save(_of_their_class(texts, n).dropDuplicates(["cls"]), "texts")
+    members = members.join(texts.select("cls"), "cls", "left_semi").select("sig", "cls", "n", *_SKETCH_COLUMNS)
+    edges = _compare(members, texts, n, num, den, scratch)
+    scratch.drop(texts)
 
     labels = connected_components(edges, scratch)
-    component = (classes.select("cls", "id").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+    component = (rows.where("n > 0").groupBy("cls").agg(F.min("id").alias("id")).join(labels.withColumnRenamed("node", "cls"), "cls", "left")
                  .withColumn("label", F.coalesce("label", "cls")))
     least = component.groupBy("label").agg(F.min("id").alias("component_id"))
     named = component.join(least, "label").select("cls", "component_id")
@@ -210,61 +216,55 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return full.unionByName(none).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
-def _sketched(texts: DataFrame, n: int) -> DataFrame:
-    """``texts`` (cls, n, text) with the parity sketch of each set, without texts of another class (rows of one id may differ)."""
+def parity_sketches(h: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """``SKETCH`` arrays of longs: for each set, the parities of its elements in ``64 * SKETCH`` places."""
+    bits, count = 64 * SKETCH, len(offsets) - 1
+    at = (arrays.mix(h + np.uint64(7)) % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(np.repeat(np.arange(count), np.diff(offsets)) * bits + at, minlength=count * bits) & 1
+    longs = np.packbits(odd.astype(np.uint8).reshape(-1, 64), axis=1).view(np.int64).reshape(-1, SKETCH)
+    return [np.ascontiguousarray(x) for x in longs.T]
 
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = 64 * SKETCH
-        for batch in batches:
-            for a, b, words in arrays.batches_of_words(batch.column(2)):
-                h, o = arrays.shingle_sets(words, n)
-                at = (arrays.mix(h + np.uint64(7)) % np.uint64(bits)).astype(np.int64)
-                odd = np.bincount(np.repeat(np.arange(b - a), np.diff(o)) * bits + at, minlength=(b - a) * bits) & 1
-                longs = np.packbits(odd.astype(np.uint8).reshape(-1, 64), axis=1).view(np.int64).reshape(-1, SKETCH)
-                made = pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, *(pa.array(np.ascontiguousarray(x)) for x in longs.T)],
-                                                  ["cls", "n", "text", *_SKETCH_COLUMNS])
-                yield made.filter(pa.array(batch.column(0).to_numpy()[a:b] == set_classes(h, o)))
 
-    return texts.mapInArrow(sketch, "cls long, n long, text string, " + ", ".join(f"{x} long" for x in _SKETCH_COLUMNS))
+def _plausible(members: DataFrame, num: int, den: int) -> DataFrame:
+    """(cls): classes that may have a link. Of small buckets those of a possible pair, of large ones all."""
+    small = members.where(F.col("in_bucket") <= SMALL_BUCKET)
+    a, b = small.alias("a"), small.alias("b")
+    pairs = a.join(b, (F.col("a.sig") == F.col("b.sig")) & (F.col("a.cls") < F.col("b.cls")) & _possible("a", "b", num, den))
+    either = pairs.select(F.explode(F.array("a.cls", "b.cls")).alias("cls"))
+    return either.unionByName(members.where(F.col("in_bucket") > SMALL_BUCKET).select("cls")).distinct()
 
 
-def _own_elements(texts: DataFrame, n: int) -> DataFrame:
-    """(cls, alone): how many elements of a class no other class of ``texts`` has."""
+def _of_their_class(texts: DataFrame, n: int) -> DataFrame:
+    """Rows (cls, text) whose text has that class; rows of one id may differ."""
 
-    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cls = batch.column(0).to_numpy()
             for a, b, words in arrays.batches_of_words(batch.column(1)):
-                h, o = arrays.shingle_sets(words, n)
-                yield pa.RecordBatch.from_arrays([pa.array(arrays.signed(h)), pa.array(np.repeat(cls[a:b], np.diff(o)))],
-                                                 ["h", "cls"])
+                yield batch.slice(a, b - a).filter(pa.array(batch.column(0).to_numpy()[a:b] == set_classes(*arrays.shingle_sets(words, n))))
 
-    each = texts.select("cls", "text").mapInArrow(elements, "h long, cls long")
-    single = each.groupBy("h").agg(F.count("*").alias("n"), F.min("cls").alias("cls")).where("n = 1")
-    return single.groupBy("cls").agg(F.count("*").alias("alone"))
+    return texts.mapInArrow(check, "cls long, text string")
 
 
 def _possible(a: str, b: str, num: int, den: int) -> Column:
-    """Whether sizes, own elements and sketches leave room for a link of two members."""
+    """Whether sizes and sketches leave room for a link of two members."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
     most = (den - num) * (na + nb)
     odd = sum(F.bit_count(F.col(f"{a}.{x}").bitwiseXOR(F.col(f"{b}.{x}"))) for x in _SKETCH_COLUMNS)
     return ((den * F.least(na, nb) >= num * F.greatest(na, nb))
-            & ((den + num) * (F.col(f"{a}.alone") + F.col(f"{b}.alone")) <= most)
             & ((den + num) * odd <= most))
 
 
 def _compare(members: DataFrame, texts: DataFrame, n: int, num: int, den: int, scratch: Scratch) -> DataFrame:
-    """Links (a, b) that connect all that is linked, from buckets (sig, cls, n, alone)."""
+    """Links (a, b) that connect all that is linked, from buckets (sig, cls, n, sketch)."""
     by_sig = Window.partitionBy("sig")
     edges = labels = tested = None
     block = 0
     left = members.withColumn("label", F.col("cls"))
     while True:
-        hubs = HUB_BLOCKS[min(block, 1)]
+        hubs = HUB_BLOCKS[min(block, len(HUB_BLOCKS) - 1)]
         left = (left.withColumn("lo", F.min("label").over(by_sig)).withColumn("hi", F.max("label").over(by_sig))
                 .where("lo < hi").drop("lo", "hi")
-                .withColumn("place", F.row_number().over(by_sig.orderBy("alone", "cls"))))
+                .withColumn("place", F.row_number().over(by_sig.orderBy("cls"))))
         left = scratch.save(left, "left")
         if left.isEmpty():
             break
