@@ -1,6 +1,6 @@
 """Similarity join of texts on word n-gram sets, by PartEnum signatures.
 
-Sets are put in size bands ``[l, r]``, ``r`` about 1.5 times ``l``. Two sets of
+Sets are put in size bands ``[l, r]`` with ``r = l den / num``. Two sets of
 Jaccard similarity at least ``num/den`` whose sizes are at most ``r`` differ in
 at most ``k = 2 r (den-num) / (den+num)`` elements. A band's domain of hashes is
 cut into ``n1`` partitions of ``n2`` parts each; a signature is the projection
@@ -75,8 +75,7 @@ def bands(num: int, den: int, up_to: int) -> list[Band]:
     out: list[Band] = []
     low = 1
     while not out or out[-2 if len(out) > 1 else -1].high < up_to:
-        # partners of a band's sets lie in it or in the next one at most
-        high = max(low * den // num, low * 3 // 2 if low > 6 else low)
+        high = low * den // num  # partners of a band's sets lie in it or in the next one
         k = 2 * high * (den - num) // (den + num)
         if k == 0:
             cut = (1, 1, 0, 0)
@@ -84,7 +83,7 @@ def bands(num: int, den: int, up_to: int) -> list[Band]:
             cut = (1, k + 4, k, 0)
         else:
             need = k // 2 + 1
-            spare = need // 4
+            spare = need // 8
             cut = (need + spare, 3, 1, spare)
         out.append(Band(len(out), low, high, *cut))
         low = high + 1
@@ -196,8 +195,8 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     facts = F.first(F.struct("n", *_SKETCH_COLUMNS)).alias("f")
     classes = rows.where("n > 0").groupBy("cls").agg(F.min("id").alias("id"), facts).select("cls", "id", "f.*")
-    sizes_in = F.count(F.lit(1)).over(by_sig).alias("in_bucket")
-    members = scratch.save(buckets.join(classes, "cls").select("sig", *classes.columns, sizes_in), "members")
+    counted = buckets.withColumn("in_bucket", F.count(F.lit(1)).over(by_sig))
+    members = scratch.save(counted.join(classes, "cls").select("sig", "in_bucket", *classes.columns), "members")
     scratch.drop(buckets)
     wanted = _plausible(members, num, den).join(members.select("cls", "id").distinct(), "cls")
     texts = base.join(wanted, "id").select("cls", "text")
