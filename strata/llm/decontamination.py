@@ -1,14 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
-
-Seeds are a test item's word n-grams that few documents hold: ``RARE`` at most,
-or not many times the lower quartile of those of the same item. So turns of
-phrase are no seeds, but every item that occurs at all keeps some, also one that
-leaked into much of the corpus. Seed hits of a document that lie near
-each other make a region; a region and an item with enough seeds in common are
-aligned word by word, from an item's length before the first hit to as much
-after the last. The score is the local alignment's, divided by what the whole
-item would give: 1 for an exact copy, less by every changed, left out or
-inserted word.
+"""Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment scores them.
+
+Seeds are all of a test item's word n-grams, however many documents hold them:
+an edited passage that much of the corpus repeats has no others. Seed hits of a
+document that lie near each other make a region; a region and an item with a
+seed in common are aligned word by word, from an item's length before the first
+hit to as much after the last, unless the region holds too few of the item's
+words for any alignment to reach the threshold. The score is the local
+alignment's, divided by what the whole item would give: 1 for an exact copy,
+less by every changed, left out or inserted word.
 """
 
 from __future__ import annotations
@@ -25,10 +24,6 @@ from strata.llm.bloom import HashFilter, hash_filter
 from strata.llm.tables import Scratch, bounded_batches
 
 SEED_WORDS = 3
-#: Documents that may hold a seed; and times the lower quartile of its item's n-grams.
-RARE, RARE_TIMES = 16, 4
-#: Distinct seeds that a region shares with an item before they are aligned (or all, if the item has fewer).
-LEAST_SEEDS = 2
 #: Share of an item's full score from which a passage counts as its copy.
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -80,22 +75,6 @@ def _items(items: DataFrame, n: int) -> DataFrame:
     return items.mapInArrow(read, "item long, words binary, hashes array<long>").where("size(hashes) > 0")
 
 
-def _document_counts(docs: DataFrame, lengths: list[int], keep: HashFilter) -> DataFrame:
-    """(h, n): in how many documents a seed is; summed up by batch before anything is shuffled."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, words in arrays.batches_of_words(batch.column(0)):
-                h, at = _seed_runs(words, lengths)
-                ok = keep.may_hold(h)
-                row = np.searchsorted(words.offsets, at[ok], side="right") - 1
-                each = np.unique(np.stack([h[ok], row.astype(np.uint64)], axis=1), axis=0)[:, 0]
-                h, n = np.unique(each, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(arrays.signed(h)), pa.array(n)], ["h", "n"])
-
-    return docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-
-
 def _regions(docs: DataFrame, lengths: list[int], keep: HashFilter, reach: int) -> DataFrame:
     """(id, first, hashes, words): regions of hits, their distinct seeds, and the words around them."""
 
@@ -145,30 +124,27 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     lengths, reach = sorted(facts.lengths) or [n], facts.longest or 1  # at most n lengths
 
     seeds = tests.select("item", F.explode("hashes").alias("h"))
-    held = _document_counts(texts, lengths, hash_filter(seeds, "h"))
-    counted = scratch.save(seeds.join(held, "h"), "counted")
-    limit = counted.groupBy("item").agg(F.greatest(F.lit(RARE), RARE_TIMES * F.percentile("n", 0.25)).alias("limit"))
-    rare = scratch.save(counted.join(limit, "item").where("n <= limit").select("item", "h"), "rare")
-
-    regions = scratch.save(_regions(texts, lengths, hash_filter(rare, "h"), reach), "regions")
-    least = rare.groupBy("item").agg(F.least(F.count("*"), F.lit(LEAST_SEEDS)).alias("least"))
+    regions = scratch.save(_regions(texts, lengths, hash_filter(seeds, "h"), reach), "regions")
     shared = (regions.select("id", "first", F.xxhash64("words").alias("key"), F.explode("hashes").alias("h"))
-              .join(rare, "h").groupBy("id", "first", "key", "item").agg(F.count("*").alias("n"))
-              .join(least, "item").where("n >= least").select("id", "first", "key", "item"))
+              .join(seeds, "h").select("id", "first", "key", "item").distinct())
     pairs = (shared.join(regions.select("id", "first", "words", F.xxhash64("words").alias("key")), ["id", "first", "key"])
              .join(tests.select("item", F.col("words").alias("item_words")), "item")
              .select("id", "first", "item", "words", "item_words"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for first, words, item in zip(*(batch.column(i).to_pylist() for i in (1, 3, 4)), strict=True):
-                item = np.frombuffer(item, np.uint64)
-                points, start, end = align(item, np.frombuffer(words, np.uint64))
+            found, rows = [], []
+            for i, (first, words, item) in enumerate(zip(*(batch.column(i).to_pylist() for i in (1, 3, 4)), strict=True)):
+                item, words = np.frombuffer(item, np.uint64), np.frombuffer(words, np.uint64)
+                if np.isin(item, words).sum() / len(item) < threshold:  # the score if all of these matched
+                    continue
+                points, start, end = align(item, words)
                 found.append((points / (MATCH * len(item)), first + start, first + end))
+                rows.append(i)
             score, start, end = (pa.array(x) for x in zip(*found, strict=True)) if found else (pa.array([], t) for t in (
                 pa.float64(), pa.int64(), pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), score, start, end],
+            rows = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(2).take(rows), score, start, end],
                                              ["id", "item", "score", "first_word", "last_word"])
 
     kinds = "id long, item long, score double, first_word long, last_word long"

@@ -64,6 +64,19 @@ def test_finds_edited_copies_and_nothing_else(spark, planted):
     assert sorted((r.doc_id for r in left.collect()), key=str) == sorted((d for d, _ in docs if d is None or d not in {h[0] for h in held}), key=str)
 
 
+def test_finds_an_edited_passage_of_many_documents_beside_one_exact_copy(spark):
+    rng = random.Random(6)
+    item = sentence(rng, 30, 300)
+    edited = item.split()
+    for k in range(2, len(edited), 7):
+        edited[k] = f"changed{k}"
+    passages = [item] + [" ".join(edited)] * 30
+    docs = [(i, f"{sentence(rng, 60, 300)} {p} {sentence(rng, 60, 300)}") for i, p in enumerate(passages)]
+    docs += [(100 + i, sentence(rng, 150, 300)) for i in range(20)]
+    got = as_dicts(contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item, 0.0)], ITEMS)))
+    assert {r["doc_id"]: round(r["score"], 1) for r in got} == {0: 1.0} | {i: 0.8 for i in range(1, 31)}
+
+
 def test_awkward_rows(spark):
     docs = awkward_docs(spark)
     tests = spark.createDataFrame([(1, "one", 0.0), (2, None, 0.0), (2, "Üb Éa ONE", 0.0)], ITEMS)
