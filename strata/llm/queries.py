@@ -1,4 +1,4 @@
-"""The ten operators on the driver tables, with production parameters, and their DuckDB SQL."""
+"""The operators on the driver tables, with production parameters, and their DuckDB SQL."""
 
 from __future__ import annotations
 
@@ -10,23 +10,28 @@ from strata.llm.chat_format import format_chats
 from strata.llm.compression_quality import quality_scores
 from strata.llm.decontamination import contaminated
 from strata.llm.language_id import fit_text, identify
+from strata.llm.merkle_manifest import as_hex, build, fold, leaf_digest, proof_digest, proofs
 from strata.llm.mixing import mix_sources
 from strata.llm.ngram_join import join_links
+from strata.llm.periodic_runs import find_runs
+from strata.llm.piece_chunks import decode_pieces, encode_pieces
 from strata.llm.token_files import tokens_round_trip
 from strata.llm.topk_search import search
 
 #: Name of the tokenizer file of ``op8_token_files``; its path is looked up when the query runs.
 TOKENIZER = "word_bpe_49k.json"
+#: Name of the model file of ``op11_sentencepiece``.
+PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,8 +86,61 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the pieces of every text of ``documents``, and of what they decode to."""
+    model = tokenizer_path(PIECES)
+    coded = encode_pieces(table(spark, sf_dir, "documents"), model)
+    told = coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), "ids")
+    return decode_pieces(told, model).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) in which every tenth text, by the hash of its id, repeats some of its words to its end.
+
+    Of a text with ``n`` words, all from word ``a`` on become repeats of ``p``
+    words from there; words are then joined by a space. Other texts stay.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.expr("h div 10")
+    cut = docs.select("doc_id", "text", h.alias("h")).withColumn(
+        "w", F.when(F.col("h") % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")))
+    placed = cut.withColumn("n", F.size("w")).withColumn("a", (g % F.col("n")).cast("int"))
+    placed = placed.withColumn("rest", F.col("n") - F.col("a"))
+    placed = placed.withColumn("p", (1 + F.floor(F.col("rest") / (3 + g % 8))).cast("int"))
+    again = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil(F.col("rest") / F.col("p")).cast("int")))
+    planted = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(again, F.lit(1), F.col("rest"))), " ")
+    return placed.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every text of ``documents``, in some of which periods are planted."""
+    found = find_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"], r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+                                                   r["period"].cast("string"), F.lit("\n")))
+    rows = found.withColumn("best", best)
+    return rows.select("doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), (-F.col("best.less")).alias("length"),
+                       F.col("best.period").alias("period"), F.expr("1000 * -best.less div best.period").alias("exponent_milli"),
+                       F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A proof for each of the ``documents``, and whether it holds after half of them lost their line breaks."""
+    docs = table(spark, sf_dir, "documents")
+    others = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    text = F.col("text")
+    cut = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace(text, F.lit("\n"), F.lit(""))).otherwise(text)
+    manifest = build(docs, leaf_digest(*others, text), keep={"tampered": F.unhex(leaf_digest(*others, cut))})
+    rows = proofs(manifest).withColumn("root", F.lit(manifest.root.hex() if manifest.root else None).cast("string"))
+    rows = rows.select(F.col("id").alias("doc_id"), as_hex(F.col("digest")).alias("leaf"), as_hex(F.col("top")).alias("subroot"), "root",
+                       proof_digest(F.col("path")).alias("proof_sha256"), fold(as_hex(F.col("tampered")), F.col("path")).alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_bm25_search, op3_url_filter, op4_decontamination, op5_line_dedup, op6_language_id,
-    op7_compression_quality, op8_token_files, op9_pivotal_mixing, op10_chat_format)}
+    op7_compression_quality, op8_token_files, op9_pivotal_mixing, op10_chat_format, op11_sentencepiece, op12_periodic_runs,
+    op13_merkle_manifest)}
 
 ORACLE_SQL = {"op3_url_filter": url_filter.SQL, "op5_line_dedup": line_dedup.SQL}
