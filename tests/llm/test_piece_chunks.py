@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import __spark_entry__ as entry
-from strata.llm import piece_chunks
+from strata.llm import arrays, piece_chunks
 from strata.llm.piece_chunks import chunks_stand_alone, decode_pieces, encode_pieces, processor
 from tests.llm.fixtures import HAVE_DATA, SF, awkward_docs, no_docs
 
@@ -56,13 +56,31 @@ def test_any_texts_are_spelt_out_of_their_chunks(texts):
     import pyarrow as pa
 
     chunks, counts = piece_chunks._chunks(pa.array(texts, pa.string()), True)
-    segment = next(piece_chunks._segment(MODEL)(iter([pa.RecordBatch.from_arrays([chunks.cast(pa.string())], ["chunk"])]))) if len(chunks) else None
-    ids = segment.column(1).to_pylist() if segment else []
-    ends = np.concatenate([[0], np.cumsum(counts)])
-    made = [sum(ids[a:b], []) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    told = chunks.dictionary_encode()
+    n = len(told.dictionary)
+    data, offsets = arrays.text_bytes(told.dictionary)
+    half = n // 2
+    rows = [(0, 0, 0, piece_chunks._packed(data[offsets[i]:offsets[j]], np.diff(np.arange(i, j), prepend=0), np.diff(offsets[i:j + 1])))
+            for i, j in ((0, half), (half, n))]
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], ["bucket", "block", "digest", "packed"])
+    packed = [x for b in piece_chunks._segment(MODEL)(iter([batch[:1], batch[1:]])) for x in b.column(2).to_pylist()]
+    made = [flat[a:b].tolist() for _, _, flat, o in piece_chunks._texts(counts, told.indices.to_numpy(), *piece_chunks._by_place(packed), None)
+            for a, b in zip(o[:-1], o[1:], strict=True)]
     assert made == [processor(MODEL).encode(t) for t in texts]
 
 
+def test_rows_that_change_between_two_reads_are_noticed(spark):
+    import pyarrow as pa
+
+    def other(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([os.urandom(4).hex() for _ in range(b.num_rows)])], ["doc_id", "text"])
+
+    docs = spark.range(300).mapInArrow(other, "doc_id long, text string")
+    with pytest.raises(Exception, match="write them to a table first"):
+        encode_pieces(docs, MODEL).collect()
+
+
 def test_whole_texts_where_chunks_do_not_stand_alone(spark, monkeypatch):
     monkeypatch.setattr(piece_chunks, "chunks_stand_alone", lambda path: False)
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
