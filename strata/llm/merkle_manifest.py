@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from strata.llm.tables import Scratch
 
 FAN = 3
+#: Heights after which the way down is written, so plans do not grow with the tree.
+STAGED = 4
 
 
 def as_hex(digest: Column) -> Column:
@@ -145,14 +147,17 @@ def proofs(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
     it. Also returns the group's top as ``top``. A request for no leaf gives no row.
     """
     fan, spark = manifest.fan, manifest.leaves.sparkSession
+    scratch = Scratch(spark, "merkle-proofs")
     path = "array<struct<left: binary, right: binary>>"
     if manifest.root is None:
         return manifest.leaves.select("*", F.lit(None).cast("binary").alias("top"), F.lit(None).cast(path).alias("path")).limit(0)
     rows = spark.createDataFrame([("", 0, manifest.root, [])], f"key string, rank long, digest binary, path {path}")
-    for records in reversed(manifest.above):
+    for i, records in enumerate(reversed(manifest.above), 1):
         rows = _step(rows, records, fan)
-    tops = (rows.select("rank", F.col("digest").alias("top"), "path").join(manifest.groups, "rank")
-            .where("top = digest").select("key", "height", "top", "path"))
+        if i % STAGED == 0:
+            rows = scratch.save(rows, f"above-{i}")
+    tops = scratch.save(rows.select("rank", F.col("digest").alias("top"), "path").join(manifest.groups, "rank")
+                        .where("top = digest").select("key", "height", "top", "path"), "tops")
     rows = None
     for height in range(len(manifest.records), -1, -1):
         begin = tops.where(F.col("height") == height).select("key", F.lit(0).cast("long").alias("rank"), F.col("top").alias("digest"), "path")
@@ -161,6 +166,8 @@ def proofs(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
             wanted = requests.select("key", F.expr(f"rank div {fan ** height}").alias("rank")).distinct()
             rows = rows.join(wanted, ["key", "rank"], "left_semi")
         if height:
+            if height % STAGED == 0:
+                rows = scratch.save(rows, f"down-{height}")
             rows = _step(rows, manifest.records[height - 1], fan)
     found = rows.select("key", "rank", F.col("digest").alias("_reached"), F.reverse("path").alias("path"))
     top = manifest.groups.select("key", F.col("digest").alias("top"))
@@ -175,3 +182,61 @@ def fold(leaf: Column, path: Column) -> Column:
 def proof_digest(path: Column) -> Column:
     """Hexadecimal digest of all digests of a path."""
     return F.sha2(F.array_join(F.transform(path, lambda s: F.concat(as_hex(s["left"]), as_hex(s["right"]))), ""), 256)
+
+
+#: DuckDB SQL of the query ``op13_merkle_manifest``; the checksum is computed bit by bit.
+SQL = """
+WITH RECURSIVE told AS (
+  SELECT *, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+      lambda c: list_concat([ascii(c)::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END) & 1 = 1 AS tampered
+  FROM documents),
+fields AS (
+  SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS most,
+    CASE WHEN tampered THEN replace(text, chr(10), '') ELSE text END AS cut
+  FROM told),
+digests AS (
+  SELECT doc_id, coalesce('=' || source, '') AS key, sha256(most || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(most || coalesce(strlen(cut) || ':' || cut, '-')) AS other
+  FROM fields),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank, count(*) OVER (PARTITION BY key) AS size
+  FROM digests),
+tree AS (
+  SELECT 0 AS height, key, size, rank, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT height + 1, key, (max(size) + 2) // 3, rank // 3, sha256(string_agg(digest, '' ORDER BY rank))
+  FROM tree WHERE size > 1 GROUP BY height, key, rank // 3),
+tops AS (
+  SELECT key, height AS top_height, digest, row_number() OVER (ORDER BY key) - 1 AS rank, count(*) OVER () AS size FROM tree WHERE size = 1),
+above AS (
+  SELECT 0 AS height, size, rank, digest FROM tops
+  UNION ALL
+  SELECT height + 1, (max(size) + 2) // 3, rank // 3, sha256(string_agg(digest, '' ORDER BY rank))
+  FROM above WHERE size > 1 GROUP BY height, rank // 3),
+segments AS (
+  SELECT l.key, l.rank, t.height AS level, t.rank AS place, t.digest, t.rank < l.rank // power(3, t.height)::BIGINT AS is_left
+  FROM leaves l JOIN tree t ON t.key = l.key AND t.size > 1 AND t.rank // 3 = l.rank // power(3, t.height + 1)::BIGINT
+    AND t.rank <> l.rank // power(3, t.height)::BIGINT
+  UNION ALL
+  SELECT l.key, l.rank, g.top_height + t.height, t.rank, t.digest, t.rank < g.rank // power(3, t.height)::BIGINT
+  FROM leaves l JOIN tops g ON g.key = l.key JOIN above t ON t.size > 1 AND t.rank // 3 = g.rank // power(3, t.height + 1)::BIGINT
+    AND t.rank <> g.rank // power(3, t.height)::BIGINT),
+paths AS (
+  SELECT key, rank, level, coalesce(string_agg(digest, '' ORDER BY place) FILTER (is_left), '') AS before,
+    coalesce(string_agg(digest, '' ORDER BY place) FILTER (NOT is_left), '') AS after
+  FROM segments GROUP BY key, rank, level),
+folded AS (
+  SELECT key, rank, 0 AS level, other AS digest FROM leaves
+  UNION ALL
+  SELECT f.key, f.rank, f.level + 1, sha256(coalesce(p.before, '') || f.digest || coalesce(p.after, ''))
+  FROM folded f JOIN tops g ON g.key = f.key LEFT JOIN paths p ON p.key = f.key AND p.rank = f.rank AND p.level = f.level
+  WHERE f.level < g.top_height + (SELECT max(height) FROM above)),
+proofs AS (SELECT key, rank, string_agg(before || after, '' ORDER BY level) AS proof FROM paths GROUP BY key, rank)
+SELECT l.doc_id, l.leaf, g.digest AS subroot, r.digest AS root, sha256(coalesce(p.proof, '')) AS proof_sha256,
+  f.digest AS folded_root, f.digest = r.digest AS verified
+FROM leaves l JOIN tops g ON g.key = l.key JOIN (SELECT digest FROM above WHERE size = 1) r ON true
+JOIN folded f ON f.key = l.key AND f.rank = l.rank AND f.level = g.top_height + (SELECT max(height) FROM above)
+LEFT JOIN proofs p ON p.key = l.key AND p.rank = l.rank
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import line_dedup, url_filter
+from strata.llm import line_dedup, merkle_manifest, url_filter
 from strata.llm.chat_format import format_chats
 from strata.llm.compression_quality import quality_scores
 from strata.llm.decontamination import contaminated
@@ -143,4 +143,4 @@ QUERIES = {f.__name__: f for f in (
     op7_compression_quality, op8_token_files, op9_pivotal_mixing, op10_chat_format, op11_sentencepiece, op12_periodic_runs,
     op13_merkle_manifest)}
 
-ORACLE_SQL = {"op3_url_filter": url_filter.SQL, "op5_line_dedup": line_dedup.SQL}
+ORACLE_SQL = {"op3_url_filter": url_filter.SQL, "op5_line_dedup": line_dedup.SQL, "op13_merkle_manifest": merkle_manifest.SQL}
