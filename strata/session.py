@@ -13,6 +13,7 @@ import shutil
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings that every plan in this package relies on. They are
@@ -138,6 +139,53 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file (metadata only)."""
+    fs, at = _file_system(spark, path)
+    out = fs.create(at, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file (metadata only)."""
+    fs, at = _file_system(spark, path)
+    stream = fs.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def folders_below(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Paths, relative to ``path``, of the folders ``depth`` levels below it (metadata only)."""
+    fs, at = _file_system(spark, path + "/*" * depth)
+    base = fs.makeQualified(_file_system(spark, path)[1]).toString()
+    return sorted(f.getPath().toString()[len(base) + 1:] for f in fs.globStatus(at) or () if f.isDirectory())
+
+
+def publish(spark: SparkSession, made: str, name: str) -> bool:
+    """Rename the finished file or folder ``made`` to ``name`` unless that is there; whether it was done.
+
+    The rename is one step of the file system (HDFS, and local ones but for a
+    moment between check and rename); an object store without such a step needs
+    a committer that has one.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    source, target = (jvm.org.apache.hadoop.fs.Path(x) for x in (made, name))
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf) if target.toUri().getScheme() else jvm.org.apache.hadoop.fs.FileContext.getFileContext(conf)
+    no_options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        files.rename(source, target, no_options)
+    except Py4JJavaError as exc:
+        if "FileAlreadyExistsException" in exc.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def swap_in(spark: SparkSession, new: str, target: str) -> None:
     """Put the finished folder ``new`` in the place of ``target`` by renames."""
     fs, at = _file_system(spark, target)

@@ -34,6 +34,7 @@ from pyspark.sql.types import StructType
 from strata.operators.dedup import keep_first
 from strata.operators.filters import restrict_to_values
 from strata.session import configure, observing, path_exists, staging, swap_in
+from strata.sinks.versions import Conflict, VersionedTable
 
 OP_COL = "__merge_op"
 _MARK = "__merge_matched"
@@ -116,6 +117,52 @@ def _columns_of(spark: SparkSession, path: str, partition_cols: Sequence[str]) -
     return [*(c for c in in_files if c not in partition_cols), *partition_cols]
 
 
+#: Times that an upsert is done again after another writer changed the same partitions.
+ATTEMPTS = 5
+
+
+def upsert_table(table: VersionedTable, source: DataFrame, keys: Sequence[str], order_by: Sequence = ()) -> UpsertResult:
+    """SNK7 on a table of versions: readers see the whole change or nothing of it, in all partitions.
+
+    As :func:`upsert_parquet`, but only the touched partitions' rows are written,
+    to a new folder, and one published record puts them in place. Where another
+    writer changed one of these partitions meanwhile, the merge is done again
+    on what it left.
+    """
+    spark = table.spark
+    snapshot = table.snapshot()
+    if any(p not in keys for p in snapshot.partition_cols):
+        raise ValueError("partition columns must be part of the upsert key")
+    missing = [c for c in snapshot.columns.names if c not in source.columns]
+    if missing:
+        raise ValueError(f"source lacks target columns {missing}")
+    loaded_obs = Observation()
+    with staging(spark, "upsert-source") as stage, observing(spark):
+        loaded = source.observe(loaded_obs, F.count(F.lit(1)).alias("rows_loaded"))
+        keep_first(loaded, keys, order_by).write.parquet(stage)
+        staged = spark.read.schema(source.schema).parquet(stage).select(*snapshot.columns.names)
+        rows_loaded = int(loaded_obs.get["rows_loaded"])
+        if not rows_loaded:
+            return UpsertResult(0, 0, 0, 0, table.root)
+        for attempt in range(ATTEMPTS):
+            op_obs = Observation()
+            target = table.read(snapshot)
+            if snapshot.partition_cols:
+                target = restrict_to_values(target, staged, snapshot.partition_cols, nulls_match=True)
+            merged = merge_frames(target, staged, keys, with_op=True, dedup_source=False)
+            merged = merged.observe(op_obs, F.count_if(F.col(OP_COL) == "update").alias("rows_updated"),
+                                    F.count_if(F.col(OP_COL) == "insert").alias("rows_inserted")).drop(OP_COL)
+            try:
+                table.replace(merged, snapshot, operation="upsert", whole=not snapshot.partition_cols)
+                break
+            except Conflict:
+                if attempt == ATTEMPTS - 1:
+                    raise
+                snapshot = table.snapshot()
+        ops = op_obs.get
+    return UpsertResult(rows_loaded, int(ops["rows_updated"] + ops["rows_inserted"]), int(ops["rows_updated"]), int(ops["rows_inserted"]), table.root)
+
+
 def upsert_parquet(spark: SparkSession, source: DataFrame, target_path: str, keys: Sequence[str],
                    partition_cols: Sequence[str] = (), order_by: Sequence = ()) -> UpsertResult:
     """SNK7 against a parquet table at ``target_path`` (created when absent).
