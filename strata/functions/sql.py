@@ -3,15 +3,16 @@
 ``CREATE TEMPORARY FUNCTION ... RETURN <expr>`` bodies are inlined by the
 analyzer, so a call compiles to the same generated code as the Column
 functions in this package -- no Python runs per row. Tests assert both forms
-agree. The existence macros (festival day, match day) are relational and stay
-DataFrame operators (``strata.plans.silver.is_festival_day`` /
-``is_ipl_match_day``).
+agree. The existence macros (festival day, match day) look up a table or view,
+named when they are registered, by a scalar subquery that Catalyst turns into one
+left join on the table's distinct keys, as the DataFrame operators do.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from strata.functions.keys import SURROGATE_KEY_NULL
 from strata.functions.text import CITY_CANONICAL_NAMES
 from strata.functions.weather import SILVER_THRESHOLDS
 
@@ -39,13 +40,26 @@ def sql_function_ddl() -> dict[str, str]:
             "CASE WHEN month(d) IN (12, 1, 2) THEN 'WINTER' WHEN month(d) IN (3, 4, 5) THEN 'SPRING' "
             "WHEN month(d) IN (6, 7, 8, 9) THEN 'MONSOON' WHEN month(d) IN (10, 11) THEN 'POST_MONSOON' END"),
         "day_of_week_mon0": "day_of_week_mon0(t TIMESTAMP_NTZ) RETURNS INT RETURN weekday(t)",
+        "surrogate_key": ("surrogate_key(fields ARRAY<STRING>) RETURNS STRING RETURN "
+                          f"md5(array_join(transform(fields, f -> coalesce(f, '{SURROGATE_KEY_NULL}')), '-'))"),
     }
 
 
-def register_sql_functions(spark: SparkSession) -> list[str]:
-    """Create (or replace) the temporary SQL functions in this session."""
+def existence_ddl(festivals: str, matches: str) -> dict[str, str]:
+    """Existence macros over a festival calendar and a match schedule (names of tables or views); a NULL date or city is no such day."""
+    return {
+        "is_festival_day": ("is_festival_day(d DATE, major_only BOOLEAN) RETURNS BOOLEAN RETURN "
+                            f"coalesce((SELECT max(if(f.is_major, 2, 1)) FROM {festivals} f WHERE f.festival_date = d), 0) >= if(major_only, 2, 1)"),
+        "is_match_day": ("is_match_day(d DATE, city STRING) RETURNS BOOLEAN RETURN coalesce("
+                         f"(SELECT max(m.is_service_city) FROM {matches} m WHERE m.match_date = d AND m.venue_city = city), false)"),
+    }
+
+
+def register_sql_functions(spark: SparkSession, festivals: str | None = None, matches: str | None = None) -> list[str]:
+    """Create (or replace) the temporary SQL functions in this session; the existence macros where their tables are named."""
     names = []
-    for name, ddl in sql_function_ddl().items():
+    both = existence_ddl(festivals, matches) if festivals and matches else {}
+    for name, ddl in {**sql_function_ddl(), **both}.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {ddl}")
         names.append(name)
     return names

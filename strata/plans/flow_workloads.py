@@ -14,15 +14,19 @@ from pyspark.sql.types import DateType, DoubleType, LongType, StringType, Struct
 from strata import functions as X
 from strata.functions.sql import register_sql_functions
 from strata.operators import aggregates, filters, quality, setops
-from strata.plans import ingest
+from strata.operators.lookup import append_unseen
+from strata.plans import ingest, silver
+from strata.plans.silver_refresh import refresh
 from strata.schemas import MONTH_PARTITION, RAW_FESTIVAL_CALENDAR, RAW_IPL_SCHEDULE, RAW_ORDERS, RAW_RESTAURANTS, RAW_WEATHER, conform
 from strata.session import scratch_path
 from strata.sinks.landing import (create_table_if_absent, land, land_table, materialize, partition_manifest,
                                   write_by_date, write_city_ranges)
-from strata.sinks.upsert import upsert_parquet
+from strata.sinks.upsert import upsert_table
+from strata.sinks.versions import VersionedTable
 from strata.sources.catalog import BronzeCatalog, load_ndjson, run_query
 from strata.sources.csv import read_csv
 from strata.sources.tables import read_table
+from strata.streaming.streams import upsert_table_stream
 
 INGESTED_AT = "2024-02-01 00:00:00"
 INGESTION_DATE = "2024-02-01"
@@ -42,13 +46,14 @@ def snk_upsert_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     zone = F.when(F.col("o_custkey") % 20 == 7, F.lit(None)).otherwise(F.lpad((F.col("o_custkey") % 20).cast("string"), 4, "0"))
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", zone.alias("zone"), "o_totalprice", "o_orderdate",
                                                         F.lit(0).alias("version"))
-    path, keys = scratch_path(spark, "orders-by-zone"), ["o_orderkey", "zone"]
-    upsert_parquet(spark, orders.where(F.col("o_orderdate") < _ntz(FIRST_LOAD_BEFORE)), path, keys, ["zone"])
+    table, keys = VersionedTable(spark, scratch_path(spark, "orders-by-zone")), ["o_orderkey", "zone"]
+    table.create(orders.schema, ["zone"])
+    upsert_table(table, orders.where(F.col("o_orderdate") < _ntz(FIRST_LOAD_BEFORE)), keys)
     later = orders.where(F.col("o_orderdate") >= _ntz(SECOND_LOAD_FROM))
     sent_again = later.withColumns({"o_totalprice": F.col("o_totalprice") + 1, "version": F.lit(1)})
-    upsert_parquet(spark, sent_again.unionByName(later), path, keys, ["zone"], order_by=["version"])
-    upsert_parquet(spark, orders.limit(0), path, keys, ["zone"], order_by=["version"])
-    return spark.read.schema(orders.schema).parquet(path).select("o_orderkey", "zone", "o_totalprice", "version")
+    upsert_table(table, sent_again.unionByName(later), keys, order_by=["version"])
+    upsert_table(table, orders.limit(0), keys, order_by=["version"])
+    return table.read().select("o_orderkey", "zone", "o_totalprice", "version")
 
 
 FLOW_SQL["snk_upsert_file"] = f"""
@@ -61,6 +66,99 @@ UNION ALL SELECT * FROM b
 """
 
 
+UNSEEN_BUT = 97
+
+
+def jn_append_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN5 / SRC9 / INC4 without a bound on dates: a batch of ids scattered over the whole table; those that it lacks are
+    appended, found by the Bloom filters of its key column."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    root = scratch_path(spark, "orders-keyed")
+    table = VersionedTable(spark, f"{root}/table")
+    table.create(orders.schema, bloom=["o_orderkey"])
+    table.append(orders.where("o_orderkey % 3 <> 0"))
+    batch = orders.where(F.col("o_orderkey") % UNSEEN_BUT == 0).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    _, n = append_unseen(table, batch, "o_orderkey", root)
+    return table.read().select("o_orderkey", "o_totalprice", F.lit(n).cast("long").alias("n_added"))
+
+
+FLOW_SQL["jn_append_unseen"] = f"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+  (SELECT count(*) FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % {UNSEEN_BUT} = 0) AS n_added
+FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % {UNSEEN_BUT} = 0
+"""
+
+CLUSTER_FILES, CLUSTER_PARTS = 64, 10
+
+
+def snk_cluster_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK10: lines in Z-order of two columns, read by a range of the second one, which opens fewer than half of the files."""
+    lines = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    table = VersionedTable(spark, scratch_path(spark, "lines-clustered"))
+    table.create(lines.schema, cluster_by=["l_shipdate", "l_partkey"], rows_per_file=max(1, lines.count() // CLUSTER_FILES))
+    table.append(lines)
+    some = table.read(ranges={"l_partkey": (1, CLUSTER_PARTS)})
+    few = 2 * len(some.inputFiles()) < len(table.read().inputFiles())
+    return some.withColumn("few_files", F.lit(few))
+
+
+FLOW_SQL["snk_cluster_ranges"] = f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, true AS few_files FROM lineitem WHERE l_partkey BETWEEN 1 AND {CLUSTER_PARTS}
+"""
+
+SILVER_FROM, NEW_DAY, AGAIN_FROM, AGAIN_TO = "1993-01-01", "1998-01-05", "1995-03-01", "1995-03-31"
+
+
+def snk_silver_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK11 / MD3: silver orders refreshed after a batch with a new day and orders of one other month sent again: only their
+    keys are computed, only their months are written, and the result is that of a full build."""
+    feed = conform(_orders_feed(spark, sf_dir).withColumn("order_amount_inr", F.col("order_amount_inr") / 30), RAW_ORDERS)
+    root, month = scratch_path(spark, "silver-refresh"), MONTH_PARTITION["raw_orders"]
+    monthly = lambda df: df.withColumn(month, F.trunc("order_date", "month"))
+    bronze, out = VersionedTable(spark, f"{root}/bronze"), VersionedTable(spark, f"{root}/silver")
+    at = lambda when: F.lit(when).cast(RAW_ORDERS["_generated_at"].dataType)
+    build = lambda: refresh(bronze, out, lambda raw: monthly(silver.stg_orders(raw, SILVER_FROM)), ["order_id"], [month])
+    day = F.col("order_date") == F.lit(NEW_DAY).cast("date")
+    first = monthly(feed.where(~day).withColumn("_generated_at", at("2024-01-01")))
+    bronze.create(first.schema, [month])
+    bronze.append(first)
+    build()
+    again = F.col("order_date").between(F.lit(AGAIN_FROM).cast("date"), F.lit(AGAIN_TO).cast("date")) & (F.substring("order_id", 2, 20).cast("long") % 3 == 0)
+    bronze.append(monthly(feed.where(day | again).withColumns({"order_amount_inr": F.col("order_amount_inr") + 500, "_generated_at": at("2024-01-02")})))
+    done = build()
+    return out.read().select("order_id", "order_date", "order_amount_inr", "order_status", "order_hour", "is_weekend",
+                             F.lit(done["built"]).alias("second_build"), F.lit(done["partitions"]).cast("long").alias("months_written"))
+
+
+FLOW_SQL["snk_silver_refresh"] = f"""
+WITH f AS (SELECT 'o' || o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date,
+             o_totalprice / 30 + CASE WHEN CAST(o_orderdate AS DATE) = DATE '{NEW_DAY}' OR CAST(o_orderdate AS DATE) BETWEEN DATE '{AGAIN_FROM}' AND DATE '{AGAIN_TO}' AND o_orderkey % 3 = 0 THEN 500 ELSE 0 END AS order_amount_inr,
+             upper(o_orderstatus) AS order_status, CAST(hour(o_orderdate) AS INTEGER) AS order_hour, isodow(o_orderdate) >= 6 AS is_weekend FROM orders)
+SELECT *, 'changes' AS second_build, 2 AS months_written FROM f WHERE order_date >= DATE '{SILVER_FROM}' AND order_amount_inr > 0 AND order_amount_inr <= 10000
+"""
+
+
+def stream_upsert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INC3 as Structured Streaming into a table of versions: two loads with a restart between them, each event's largest
+    version winning, and a restart that has lost its progress and sends all micro-batches again."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("event_date"), "value", F.lit(0).alias("version"))
+    root = scratch_path(spark, "events-upsert")
+    table = VersionedTable(spark, f"{root}/table")
+    table.create(ev.schema, ["event_date"])
+    twice = ev.where("event_id % 4 = 0").withColumns({"value": F.col("value") + 1, "version": F.lit(1)})
+    for n, rows in enumerate((ev.where("event_id % 7 <> 0"), ev.where("event_id % 7 = 0 or event_id % 4 = 0").unionByName(twice))):
+        rows.write.parquet(f"{root}/feed/load={n}")
+        upsert_table_stream(table, f"{root}/feed", ev.schema, ["event_id", "event_date"], f"{root}/progress", order_by=["version"])
+    upsert_table_stream(table, f"{root}/feed", ev.schema, ["event_id", "event_date"], f"{root}/progress-2", order_by=["version"])
+    return table.read()
+
+
+FLOW_SQL["stream_upsert_events"] = """
+SELECT event_id, CAST(ts AS DATE) AS event_date, CASE WHEN event_id % 4 = 0 THEN value + 1 ELSE value END AS value,
+  CASE WHEN event_id % 4 = 0 THEN 1 ELSE 0 END AS version FROM events
+"""
+
+
 # ---------------------------------------------------------------- orders
 
 def _orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -407,22 +505,36 @@ FROM part
 
 
 def udf_sql_macros(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """UDF1: the SQL-language macros over events, called from SQL."""
-    register_sql_functions(spark)
-    view = f"events_{scratch_path(spark, 'v').rpartition('-')[2]}"
+    """UDF1: the SQL-language macros over events, called from SQL; customers make a festival calendar and a match schedule."""
+    tag = scratch_path(spark, "v").rpartition("-")[2]
+    view, customer = f"events_{tag}", read_table(spark, sf_dir, "customer")
     read_table(spark, sf_dir, "events").createOrReplaceTempView(view)
+    day = lambda n: F.date_add(F.lit("2024-01-01").cast("date"), (F.col("c_custkey") % n).cast("int"))
+    (customer.where("c_custkey % 2 = 0").select(day(50).alias("festival_date"), (F.col("c_nationkey") == 0).alias("is_major"))
+     .createOrReplaceTempView(f"festivals_{tag}"))
+    (customer.where("c_custkey % 5 = 1").select(day(25).alias("match_date"), F.when(F.col("c_nationkey") < 9, "click").otherwise("view").alias("venue_city"),
+                                               (F.col("c_nationkey") % 4 == 0).alias("is_service_city")).createOrReplaceTempView(f"matches_{tag}"))
+    register_sql_functions(spark, f"festivals_{tag}", f"matches_{tag}")
     return spark.sql(f"SELECT event_id, safe_divide(value, user_id % 4) AS per_user, classify_weather(user_id % 20, value) AS weather, "
-                     f"standardise_city(concat(' ', event_type)) AS city, indian_season(to_date(ts)) AS season, day_of_week_mon0(ts) AS weekday FROM {view}")
+                     f"standardise_city(concat(' ', event_type)) AS city, indian_season(to_date(ts)) AS season, day_of_week_mon0(ts) AS weekday, "
+                     "is_festival_day(to_date(ts), false) AS festival, is_festival_day(to_date(ts), true) AS major_festival, "
+                     "is_match_day(to_date(ts), event_type) AS match_day, surrogate_key(array(event_type, cast(nullif(user_id % 3, 0) AS string))) AS skey "
+                     f"FROM {view}")
 
 
 FLOW_SQL["udf_sql_macros"] = """
+WITH fest AS (SELECT DATE '2024-01-01' + CAST(c_custkey % 50 AS INTEGER) AS d, bool_or(c_nationkey = 0) AS major FROM customer WHERE c_custkey % 2 = 0 GROUP BY 1),
+mat AS (SELECT DATE '2024-01-01' + CAST(c_custkey % 25 AS INTEGER) AS d, CASE WHEN c_nationkey < 9 THEN 'click' ELSE 'view' END AS city,
+          bool_or(c_nationkey % 4 = 0) AS ours FROM customer WHERE c_custkey % 5 = 1 GROUP BY 1, 2)
 SELECT event_id, CASE WHEN user_id % 4 = 0 THEN NULL ELSE value / (user_id % 4) END AS per_user,
   CASE WHEN user_id % 20 > 15 THEN 'heavy_rain' WHEN user_id % 20 > 2.5 THEN 'light_rain' WHEN value > 40 THEN 'extreme_heat'
        WHEN value > 35 THEN 'hot' ELSE 'normal' END AS weather,
   upper(substr(event_type, 1, 1)) || lower(substr(event_type, 2)) AS city,
   CASE WHEN month(ts) IN (12, 1, 2) THEN 'WINTER' WHEN month(ts) IN (3, 4, 5) THEN 'SPRING' WHEN month(ts) IN (6, 7, 8, 9) THEN 'MONSOON'
-       WHEN month(ts) IN (10, 11) THEN 'POST_MONSOON' END AS season, CAST(isodow(ts) - 1 AS INTEGER) AS weekday
-FROM events
+       WHEN month(ts) IN (10, 11) THEN 'POST_MONSOON' END AS season, CAST(isodow(ts) - 1 AS INTEGER) AS weekday,
+  fest.d IS NOT NULL AS festival, coalesce(fest.major, false) AS major_festival, coalesce(mat.ours, false) AS match_day,
+  md5(event_type || '-' || coalesce(CAST(nullif(user_id % 3, 0) AS VARCHAR), '_dbt_utils_surrogate_key_null_')) AS skey
+FROM events LEFT JOIN fest ON fest.d = CAST(ts AS DATE) LEFT JOIN mat ON mat.d = CAST(ts AS DATE) AND mat.city = event_type
 """
 
 
@@ -460,6 +572,6 @@ UNION ALL {_check_sql('lineitem', 'proportion_unique_l_returnflag', "SELECT CASE
 """
 
 FLOW_QUERIES = {f.__name__: f for f in (
-    snk_upsert_file, md7_restaurants_ingest, md8_orders_ingest, md9_weather_ingest, md10_matches_ingest, md11_festivals_ingest,
+    snk_upsert_file, jn_append_unseen, snk_cluster_ranges, snk_silver_refresh, stream_upsert_events, md7_restaurants_ingest, md8_orders_ingest, md9_weather_ingest, md10_matches_ingest, md11_festivals_ingest,
     snk_audit_rows, src_csv_text_round_trip, src_ndjson_load, src_catalog_sql, snk_partition_writes, snk_city_manifest,
     snk_table_and_views, srt_ranked_values, flt_recent_window, fn_text_flags, udf_sql_macros, dq_composite_keys)}

@@ -112,16 +112,20 @@ def ingest_orders(spark: SparkSession, orders_dir: str, bronze_path: str, audit_
     text) and conformed. The bronze table is partitioned by month; existing ids
     are looked up between the batch's first and last date only (FLT10), which
     prunes the months. An unreadable bronze table fails the run (D11); only an
-    absent one is empty. A value that does not conform counts as rejected.
+    absent one is empty. Rows that are there already are rejected; rows with a
+    value that does not conform are loaded with NULL in its place and count as
+    rejected too, each row once.
     """
     month = MONTH_PARTITION["raw_orders"]
     with audited(spark, audit_path, pipeline, "orders") as run:
-        files, obs, bad = spark.read.parquet(orders_dir), Observation(), Observation()
+        files, obs = spark.read.parquet(orders_dir), Observation()
         lost = F.lit(0)
         for f in RAW_ORDERS.fields:
             if f.name in files.columns:
                 lost = lost + (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).cast("int")
-        batch = conform(files.observe(bad, F.count_if(lost > 0).alias("n")), RAW_ORDERS).withColumn("order_date", F.coalesce("order_date", F.to_date("order_datetime")))
+        typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) if f.name in files.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                 for f in RAW_ORDERS.fields]
+        batch = files.select(*typed, (lost > 0).alias("_lost")).withColumn("order_date", F.coalesce("order_date", F.to_date("order_datetime")))
         batch = with_month_partition(batch, "order_date", month)
         written = StructType([*RAW_ORDERS.fields, StructField(month, DateType(), True)])
         existing = (spark.read.schema(written).parquet(bronze_path) if path_exists(spark, bronze_path)
@@ -131,13 +135,14 @@ def ingest_orders(spark: SparkSession, orders_dir: str, bronze_path: str, audit_
         existing_ids = within_extent(existing, bounds, [month, "order_date"]).select("order_id")
         marked = joins.exists_flag(batch, existing_ids, ["order_id"], "_exists")
         observed = marked.observe(obs, F.count(F.lit(1)).alias("batch_rows"),
-                                  F.count_if(F.col("_exists")).alias("rows_rejected"))
+                                  F.count_if(F.col("_exists")).alias("rows_known"), F.count_if(F.col("_lost")).alias("rows_unparsed"),
+                                  F.count_if(F.col("_exists") | F.col("_lost")).alias("rows_rejected"))
         new = observed.where(~F.col("_exists")).select(*RAW_ORDERS.names)
         land_table(new, "raw_orders", bronze_path, mode="append")
         got = obs.get
-        processed = int(got["batch_rows"] - got["rows_rejected"])
+        processed = int(got["batch_rows"] - got["rows_known"])
         run.update(processed=processed, rejected=int(got["rows_rejected"]))
-    return {"batch_rows": int(got["batch_rows"]), "rows_processed": processed, "rows_unparsed": int(bad.get["n"]),
+    return {"batch_rows": int(got["batch_rows"]), "rows_processed": processed, "rows_unparsed": int(got["rows_unparsed"]),
             "rows_rejected": int(got["rows_rejected"]), "status": run_status(run)}
 
 
@@ -176,9 +181,9 @@ def ingest_weather(spark: SparkSession, payload_path: str, bronze_path: str, aud
         result = upsert_parquet(spark, kept, bronze_path, ["city", "weather_date"],
                                 partition_cols=["weather_date"], order_by=["_fetched_at"])
         counts, payload_counts = dated.get, found.get
-        # this run's rows, as they are in the table now
-        landed = spark.read.schema(RAW_WEATHER).parquet(bronze_path).where(
-            (F.col("weather_date") <= last) & (F.col("_fetched_at") == F.lit(fetched_at).cast("timestamp")))
+        # this run's rows, as they are in the table now; its days prune the partitions
+        landed = within_extent(spark.read.schema(RAW_WEATHER).parquet(bronze_path), kept, "weather_date").where(
+            F.col("_fetched_at") == F.lit(fetched_at).cast("timestamp"))
         new = (landed.join(due.select("city", "start_date", "end_date"), "city")
                .where(F.col("weather_date").between(F.col("start_date"), F.col("end_date")))
                .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("city").alias("cities")).first())

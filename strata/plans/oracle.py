@@ -264,8 +264,8 @@ WITH ents AS (
   SELECT CAST(d AS DATE) AS order_date
   FROM unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY)) t(d)
 ), rain AS (
-  SELECT CAST(ts AS DATE) AS weather_date, avg(value) > 60.0 AS is_rainy
-  FROM events WHERE event_type = 'view' GROUP BY 1
+  SELECT CAST(ts AS DATE) AS weather_date, avg(value) > 50.0 AS is_rainy
+  FROM events GROUP BY 1
 ), wet AS (
   SELECT weather_date AS order_date, bool_or(coalesce(is_rainy, false)) AS r FROM rain GROUP BY 1
 ), demand AS (

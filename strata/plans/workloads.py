@@ -312,14 +312,14 @@ DEMAND_END = "2024-01-30"
 # Our workload's stand-in for city multipliers: keyed by the driver's nation names.
 NATION_DEMAND_MULTIPLIERS = {"NATION_0": 1.8, "NATION_1": 2.0, "NATION_2": 2.2, "NATION_3": 1.4,
                              "NATION_4": 1.6, "NATION_5": 1.5}
-RAINY_VIEW_VALUE = 60.0
+RAINY_VALUE = 50.0
 
 
 def _daily_rain_from_events(spark, sf_dir) -> DataFrame:
-    """Per (nation, date) 'weather': rainy when the day's views average above a level."""
-    ev = read_table(spark, sf_dir, "events").where(F.col("event_type") == "view")
+    """Per date 'weather': rainy when the values of all the day's events average above a level."""
+    ev = read_table(spark, sf_dir, "events")
     return (ev.groupBy(F.to_date("ts").alias("weather_date"))
-            .agg((F.avg("value") > F.lit(RAINY_VIEW_VALUE)).alias("is_rainy")))
+            .agg((F.avg("value") > F.lit(RAINY_VALUE)).alias("is_rainy")))
 
 
 def jn_spine_expected_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -474,10 +474,10 @@ def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     src, sink = scratch_path(spark, "events-stream-src"), scratch_path(spark, "events-stream-sink")
     late = F.col("event_id") % 5 == 0
-    ev.where(~late).coalesce(1).write.parquet(f"{src}/batch=1")
-    ev.where(late | (F.col("ts") >= F.lit("2024-01-25").cast("timestamp_ntz"))).coalesce(1).write.parquet(f"{src}/batch=2")
-    append_new_stream(spark, src, ev.schema, ["event_id"], "ts", sink, scratch_path(spark, "events-stream-progress"),
-                      max_files_per_trigger=1)
+    progress = scratch_path(spark, "events-stream-progress")
+    for n, rows in enumerate((ev.where(~late), ev.where(late | (F.col("ts") >= F.lit("2024-01-25").cast("timestamp_ntz"))))):
+        rows.write.parquet(f"{src}/batch={n}")
+        append_new_stream(spark, src, ev.schema, ["event_id"], "ts", sink, progress)
     return spark.read.schema(ev.schema).parquet(sink).select(*ev.columns)
 
 

@@ -121,13 +121,13 @@ def _columns_of(spark: SparkSession, path: str, partition_cols: Sequence[str]) -
 ATTEMPTS = 5
 
 
-def upsert_table(table: VersionedTable, source: DataFrame, keys: Sequence[str], order_by: Sequence = ()) -> UpsertResult:
+def upsert_table(table: VersionedTable, source: DataFrame, keys: Sequence[str], order_by: Sequence = (), properties: dict | None = None) -> UpsertResult:
     """SNK7 on a table of versions: readers see the whole change or nothing of it, in all partitions.
 
     As :func:`upsert_parquet`, but only the touched partitions' rows are written,
     to a new folder, and one published record puts them in place. Where another
     writer changed one of these partitions meanwhile, the merge is done again
-    on what it left.
+    on what it left. ``properties`` go into the record.
     """
     spark = table.spark
     snapshot = table.snapshot()
@@ -153,7 +153,7 @@ def upsert_table(table: VersionedTable, source: DataFrame, keys: Sequence[str],
             merged = merged.observe(op_obs, F.count_if(F.col(OP_COL) == "update").alias("rows_updated"),
                                     F.count_if(F.col(OP_COL) == "insert").alias("rows_inserted")).drop(OP_COL)
             try:
-                table.replace(merged, snapshot, operation="upsert", whole=not snapshot.partition_cols)
+                table.replace(merged, snapshot, operation="upsert", whole=not snapshot.partition_cols, properties=properties)
                 break
             except Conflict:
                 if attempt == ATTEMPTS - 1:

@@ -54,6 +54,7 @@ class Snapshot:
     partition_cols: list[str]
     cluster_by: list[str]
     bloom: list[str]
+    rows_per_file: int
     operation: str
     parts: dict[str, list[str]] = field(default_factory=dict)
     changed: list[str] = field(default_factory=list)
@@ -98,23 +99,25 @@ class VersionedTable:
             remove_path(self.spark, made)
         return done
 
-    def create(self, schema: StructType, partition_cols: Sequence[str] = (), cluster_by: Sequence[str] = (), bloom: Sequence[str] = ()) -> bool:
+    def create(self, schema: StructType, partition_cols: Sequence[str] = (), cluster_by: Sequence[str] = (), bloom: Sequence[str] = (),
+               rows_per_file: int = 0) -> bool:
         """Version 0, without rows, unless there is a table; whether it was made.
 
         ``cluster_by`` columns order the rows over files; ``bloom`` columns get
         Parquet Bloom filters, by which row groups without a sought value are passed over.
+        ``rows_per_file`` bounds files by rows; else AQE sizes them.
         """
         if self.versions():
             return False
         ordered = StructType([*(f for f in schema.fields if f.name not in partition_cols), *(schema[c] for c in partition_cols)])
-        return self._publish(Snapshot(0, ordered.json(), list(partition_cols), list(cluster_by), list(bloom), "create"))
+        return self._publish(Snapshot(0, ordered.json(), list(partition_cols), list(cluster_by), list(bloom), rows_per_file, "create"))
 
     def _commit(self, base: Snapshot, operation: str, change: Callable[[dict], dict], touched: set[str] | frozenset | None, changed: Iterable[str],
                 added: str | None, properties: Mapping | None) -> Snapshot:
         """Publish the version after ``base`` or after a newer one that did not change what is ``touched`` (None: nothing is)."""
         while True:
             parts = {p: c for p, c in change(base.parts).items() if c}
-            new = Snapshot(base.number + 1, base.schema, base.partition_cols, base.cluster_by, base.bloom, operation, parts, sorted(changed), added,
+            new = Snapshot(base.number + 1, base.schema, base.partition_cols, base.cluster_by, base.bloom, base.rows_per_file, operation, parts, sorted(changed), added,
                            {**base.properties, **(properties or {})})
             if self._publish(new):
                 return new
@@ -209,7 +212,7 @@ class VersionedTable:
         return commit, parts
 
     def _write(self, rows: DataFrame, folder: str, base: Snapshot) -> None:
-        writer = rows.write
+        writer = rows.write.option("maxRecordsPerFile", base.rows_per_file)
         for c in base.bloom:
             writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
         if base.partition_cols:

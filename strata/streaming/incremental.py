@@ -8,21 +8,24 @@ actually landed (D10), not for the whole source when one city failed.
 
 Updates are DataFrame merges (the keyed upsert), so advancing marks per key
 never gathers keys on the driver; only point lookups of one source's mark
-return a single row to it. Each update writes a new ``version=<n>`` folder;
-readers take the last one whose write was committed, so a crash at any point
-leaves the marks of before.
+return a single row to it. Each update writes a folder of its own and then
+renames it to the next ``version=<n>``; readers take the last one, so a crash at
+any point leaves the marks of before. The rename is done only where that version
+is not there yet: of two updates at once the second merges again, into what the
+first left.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
 
-from strata.session import list_names, path_exists, remove_path
+from strata.session import list_names, path_exists, publish, remove_path
 
 # Fixed value: days looked back on a source's first run (run date included).
 FIRST_RUN_LOOKBACK_DAYS = 7
@@ -101,18 +104,27 @@ class WatermarkStore:
                 for (s, k), d in marks.items()]
         self.merge(self.spark.createDataFrame(rows, STATE_SCHEMA))
 
-    def merge(self, marks: DataFrame) -> None:
+    def merge(self, marks: DataFrame, forward_only: bool = False) -> None:
         """Upsert a DataFrame of marks into the state, entirely in Spark.
 
         The merged state is the next version; the one before is kept until the next update.
+        With ``forward_only`` a mark keeps a date later than the given one.
         """
         from strata.sinks.upsert import merge_frames
 
-        self._check_corrupt()
-        merged = merge_frames(self.as_frame(), marks.select(*STATE_SCHEMA.names),
-                              ["source_name", "watermark_key"])
-        versions = self._versions()
-        merged.write.mode("overwrite").json(self._version_path((versions or [0])[-1] + 1))
+        keys = ["source_name", "watermark_key"]
+        while True:
+            self._check_corrupt()
+            versions, state, new = self._versions(), self.as_frame(), marks.select(*STATE_SCHEMA.names)
+            if forward_only:
+                held = state.select(*keys, F.col("watermark_date").alias("held"))
+                new = (new.join(held, keys, "left").withColumn("watermark_date", F.greatest("watermark_date", "held"))
+                       .select(*STATE_SCHEMA.names))
+            made = f"{self.path.rstrip('/')}/new-{uuid.uuid4().hex}"
+            merge_frames(state, new, keys).write.json(made)
+            if publish(self.spark, made, self._version_path((versions or [0])[-1] + 1)):
+                break
+            remove_path(self.spark, made)
         for n in versions[:-1]:
             remove_path(self.spark, self._version_path(n))
 
@@ -129,11 +141,7 @@ class WatermarkStore:
                  .groupBy(key.alias("watermark_key")).agg(F.max(F.col(date_col)).alias("watermark_date"))
                  .select(F.lit(source).alias("source_name"), "watermark_key", "watermark_date",
                          F.lit(now).alias("updated_at")))
-        held = self.as_frame().where(F.col("source_name") == source).select("watermark_key", F.col("watermark_date").alias("held"))
-        # marks never move back when older days are sent again
-        marks = (marks.join(held, "watermark_key", "left").withColumn("watermark_date", F.greatest("watermark_date", "held"))
-                 .select(*STATE_SCHEMA.names))
-        self.merge(marks)
+        self.merge(marks, forward_only=True)  # also when older days are sent again
         return self.as_frame().where(F.col("source_name") == source).join(
             marks.select("watermark_key"), "watermark_key", "left_semi").select("watermark_key", "watermark_date")
 

@@ -8,7 +8,11 @@
   micro-batch is merged into a parquet table with the keyed upsert (SNK7);
   ``order_by`` decides between rows of one batch.
 
-Both run with ``trigger(availableNow=True)`` for batch-like catch-up and keep
+* ``upsert_table_stream`` -- the same on a table of versions: a micro-batch shows as a
+  whole, and its number goes into the record, so one that is run again after its
+  commit is known by it and not merged twice (rows with a NULL key would be).
+
+All run with ``trigger(availableNow=True)`` for batch-like catch-up and keep
 their progress in the checkpoint that the caller names, on shared storage: a
 restarted query resumes there. A micro-batch that is run again after a failure
 finds its keys in the sink, so nothing is written twice.
@@ -27,7 +31,8 @@ from strata.operators.filters import restrict_to_values
 from strata.operators.joins import anti_join
 from strata.session import observing, path_exists, staging
 from strata.sinks.landing import land
-from strata.sinks.upsert import upsert_parquet
+from strata.sinks.upsert import upsert_parquet, upsert_table
+from strata.sinks.versions import VersionedTable
 
 #: Partition column of an append-only sink: the date of the event time.
 DATE_COL = "event_date"
@@ -80,3 +85,20 @@ def upsert_stream(spark: SparkSession, source_path: str, schema: StructType, key
     (file_stream(spark, source_path, schema, fmt, max_files_per_trigger).writeStream.foreachBatch(merge_batch)
      .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
     return results
+
+
+def upsert_table_stream(table: VersionedTable, source_path: str, schema: StructType, keys: Sequence[str], checkpoint: str,
+                        order_by: Sequence = (), fmt: str = "parquet", max_files_per_trigger: int | None = None) -> list[dict]:
+    """INC3 as a stream into a table of versions: each micro-batch is one version, merged once however often it is run."""
+    results: list[dict] = []
+    mark = f"stream:{checkpoint}"
+
+    def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        if table.snapshot().properties.get(mark, -1) >= batch_id:
+            return
+        r = upsert_table(VersionedTable(batch.sparkSession, table.root), batch, keys, order_by, {mark: batch_id})
+        results.append({"batch_id": batch_id, "rows_loaded": r.rows_loaded, "rows_affected": r.rows_affected})
+
+    (file_stream(table.spark, source_path, schema, fmt, max_files_per_trigger).writeStream.foreachBatch(merge_batch)
+     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
+    return results

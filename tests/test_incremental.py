@@ -81,7 +81,11 @@ def test_ingest_orders_of_other_file_types(spark):
                            "order_id string, restaurant_id bigint, customer_id bigint, order_datetime string, order_date string, "
                            "delivery_time_mins string").write.parquet(src))
     r = ingest.ingest_orders(spark, src, bronze, audit)
-    assert (r["rows_processed"], r["rows_unparsed"], r["status"]) == (2, 1, "SUCCESS")
+    assert (r["rows_processed"], r["rows_unparsed"], r["status"]) == (2, 1, "PARTIAL") and r["rows_rejected"] == 1
+    audited = spark.read.parquet(audit).first()
+    assert (audited["rows_processed"], audited["rows_rejected"], audited["status"]) == (2, 1, "PARTIAL")
+    again = ingest.ingest_orders(spark, src, bronze, audit)  # there already, one of them unparsed as well
+    assert (again["rows_processed"], again["rows_rejected"], again["rows_unparsed"]) == (0, 2, 1)
     got = {x["order_id"]: x for x in spark.read.schema(RAW_ORDERS).parquet(bronze).collect()}
     assert got["a1"]["customer_id"] == "70" and got["a1"]["order_datetime"] == dt.datetime(2023, 1, 2, 10)
     assert got["a2"]["order_datetime"] is None and got["a2"]["delivery_time_mins"] is None
@@ -100,3 +104,26 @@ def test_marks_survive_a_crash_and_never_move_back(spark):
     for d in ("2023-01-11", "2023-01-12"):
         store.set("weather", d)
     assert store.get("weather") == "2023-01-12" and len(store._versions()) == 2
+
+
+def test_two_updates_at_once_keep_both_marks(spark):
+    path = scratch_path(spark, "t-wm-two")
+    WatermarkStore(spark, path).set("weather", "2023-01-01", "delhi")
+    first, second = WatermarkStore(spark, path), WatermarkStore(spark, path)
+    listed, plain = [], first._versions
+
+    def late():  # the other run comes between this one's listing and its write
+        found = plain()
+        if not listed:
+            listed.append(1)
+            second.set("weather", "2023-01-05", "pune")
+        return found
+
+    first._check_corrupt = lambda: None
+    first._versions = late
+    first.set("weather", "2023-01-07", "agra")
+    store = WatermarkStore(spark, path)
+    assert {k: store.get("weather", k) for k in ("delhi", "pune", "agra")} == {"delhi": "2023-01-01", "pune": "2023-01-05", "agra": "2023-01-07"}
+    # a mark that moved on meanwhile is not set back
+    landed = spark.createDataFrame([("pune", dt.date(2023, 1, 3))], "city string, d date")
+    assert [r["watermark_date"] for r in store.advance_from(landed, "weather", "city", "d").collect()] == [dt.date(2023, 1, 5)]
