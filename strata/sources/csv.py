@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from strata.sources.csv_records import csv_records
+
 
 class SchemaValidationError(Exception):
     """A source file lacks required columns."""
@@ -35,31 +37,43 @@ def validate_contract(spark: SparkSession, path: str, required: Sequence[str],
     return cols
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 #: Column with the number of a row's values that are there but do not parse.
 BAD_VALUES = "_bad_values"
 
 
 def read_csv(spark: SparkSession, path: str, declared: StructType, encoding: str = "UTF-8",
-             header_cols: Sequence[str] | None = None, multi_line: bool = False, count_bad: bool = False) -> DataFrame:
+             header_cols: Sequence[str] | None = None, multi_line: bool = False, count_bad: bool = False,
+             split: bool = True) -> DataFrame:
     """SRC1 / SRC2: header CSV with an explicit, header-ordered schema.
 
     Latin-1 files use ``encoding='ISO-8859-1'``. Quotes inside quoted fields
     are doubled. ``multi_line`` allows line breaks inside quoted fields; such
-    files cannot be split between tasks. Values that do not parse under the
+    files are split between tasks too (``csv_records``), unless ``split`` is
+    False: one task then reads a file, which also takes lone quotes inside
+    unquoted fields. Values that do not parse under the
     declared type become NULL, never a failed job; ``count_bad`` adds their
     number in each row as ``_bad_values``, for the flow to report.
     """
     cols = list(header_cols) if header_cols is not None else header_columns(spark, path, encoding)
     known = {f.name: f.dataType for f in declared.fields}
-    raw = (spark.read.schema(StructType([StructField(c, StringType(), True) for c in cols]))
-           .option("header", True).option("encoding", encoding).option("quote", '"').option("escape", '"')
-           .option("multiLine", multi_line).option("mode", "PERMISSIVE").option("enforceSchema", True).csv(path))
-    typed = {c: F.col(f"`{c}`").try_cast(known.get(c, StringType())) for c in cols}
+    texts = StructType([StructField(c, StringType(), True) for c in cols])
+    if multi_line and split:
+        options = {"quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE"}
+        parsed = F.from_csv("record", ", ".join(f"{_quoted(c)} string" for c in cols), options)
+        raw = csv_records(spark, path, encoding).select(parsed.alias("r")).select("r.*")
+    else:
+        raw = (spark.read.schema(texts).option("header", True).option("encoding", encoding).option("quote", '"').option("escape", '"')
+               .option("multiLine", multi_line).option("mode", "PERMISSIVE").option("enforceSchema", True).csv(path))
+    typed = {c: F.col(_quoted(c)).try_cast(known.get(c, StringType())) for c in cols}
     out = [typed[c].alias(c) for c in cols]
     if count_bad:
         bad = F.lit(0)
         for c in cols:
             if known.get(c, StringType()) != StringType():
-                bad = bad + (F.col(f"`{c}`").isNotNull() & (F.trim(f"`{c}`") != "") & typed[c].isNull()).cast("int")
+                bad = bad + (F.col(_quoted(c)).isNotNull() & (F.trim(_quoted(c)) != "") & typed[c].isNull()).cast("int")
         out.append(bad.alias(BAD_VALUES))
     return raw.select(*out)

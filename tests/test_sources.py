@@ -13,6 +13,7 @@ from strata.schemas import RESTAURANT_CSV_COLUMNS
 from strata.session import scratch_path
 from strata.sources.csv import SchemaValidationError, validate_contract
 from strata.sources.json_payload import flatten_weather, read_payloads, split_valid
+from tests.conftest import rows
 
 INGESTED_AT = "2024-02-01 00:00:00"
 
@@ -221,3 +222,39 @@ def test_partition_pruning_in_plan(spark):
     with pytest.raises(ValueError):
         since(spark.read.parquet(path), "d", None)
     assert spark.read.parquet(path).where(F.col("d") == "2024-01-01").count() == 5
+
+
+@pytest.mark.parametrize("encoding", ["UTF-8", "ISO-8859-1"])
+def test_multi_line_files_are_read_by_many_tasks(spark, tmp_path, encoding):
+    import csv as plain
+    import random
+
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    from strata.sources.csv import read_csv
+
+    rng = random.Random(3)
+    cell = lambda: "".join(rng.choice(['a', 'é', ',', '"', '\n', '\r\n', ' ', 'long text ' * 3]) for _ in range(rng.randrange(12)))
+    cols = ["id", "odd `name`", "text"]
+    for name, n in (("one", 400), ("two", 1), ("none", 0), ("big", 60)):
+        with open(tmp_path / f"{name}.csv", "w", encoding=encoding, newline="") as f:
+            out = plain.writer(f, lineterminator=rng.choice(["\n", "\r\n"]))
+            out.writerow(cols)
+            for i in range(n):
+                out.writerow([i, cell(), ("\n" * 5000 + "x" * 3000) if name == "big" and i % 20 == 7 else cell()])
+                if i % 9 == 0:
+                    f.write("\n")
+    declared = StructType([StructField("id", LongType())])
+    read = lambda split: read_csv(spark, str(tmp_path), declared, encoding, cols, multi_line=True, count_bad=True, split=split)
+    want = rows(read(False))
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "700b")
+        got = read(True)
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 30 and rows(got) == want and len(want) == 461
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert rows(read(True)) == want
