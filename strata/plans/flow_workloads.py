@@ -14,6 +14,7 @@ from pyspark.sql.types import DateType, DoubleType, LongType, StringType, Struct
 from strata import functions as X
 from strata.functions.sql import register_sql_functions
 from strata.operators import aggregates, filters, quality, setops
+from strata.operators.footers import table_extent
 from strata.operators.lookup import append_unseen
 from strata.plans import ingest, silver
 from strata.plans.silver_refresh import refresh
@@ -25,6 +26,7 @@ from strata.sinks.upsert import upsert_table
 from strata.sinks.versions import VersionedTable
 from strata.sources.catalog import BronzeCatalog, load_ndjson, run_query
 from strata.sources.csv import read_csv
+from strata.sources.json_payload import flatten_weather, read_drifting_payloads, split_valid
 from strata.sources.tables import read_table
 from strata.streaming.streams import upsert_table_stream
 
@@ -279,6 +281,45 @@ def md9_weather_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "weather_category")
 
 
+def src_payload_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC5 / SRC6: payloads of which one type has a renamed field, one a field of another type and one a field more; one has no
+    days and one is no JSON. Days of the usable ones, and the others with the reason."""
+    ev = read_table(spark, sf_dir, "events")
+    daily = (ev.groupBy(F.col("event_type").alias("city"), F.to_date("ts").cast("string").alias("time"))
+             .agg(F.max("value").alias("high"), F.count("*").alias("n")))
+    packed = daily.groupBy("city").agg(F.array_sort(F.collect_list(F.struct("time", "high", "n"))).alias("d"))
+    place = packed.withColumn("place", F.row_number().over(Window.orderBy("city")) % 5)  # a row a type
+
+    def body(*fields):
+        return F.to_json(F.struct(F.struct(*fields).alias("daily")))
+
+    time, high, code = F.col("d.time").alias("time"), F.col("d.high").alias("temperature_2m_max"), F.col("d.n").alias("weathercode")
+    words = F.transform("d.n", lambda n: F.concat(F.lit("code "), n.cast("string"))).alias("weathercode")
+    text = (F.when(F.col("place") == 1, body(time, F.col("d.high").alias("temp_max"), code)).when(F.col("place") == 2, body(time, high, words))
+            .when(F.col("place") == 3, body(time, high, code, F.col("d.n").alias("humidity"))).when(F.col("place") == 4, body(high, code))
+            .otherwise(F.lit("<html>busy</html>")))
+    root = scratch_path(spark, "payload-drift")
+    place.select("city", text.alias("value")).write.partitionBy("city").text(root)
+    valid, bad = split_valid(read_drifting_payloads(spark, root))
+    days = flatten_weather(valid.select(F.struct("city", F.array_join("drift", " ").alias("drift")).alias("city"), "daily"), f"{INGESTED_AT}")
+    columns = ["city", "drift", "weather_date", "temperature_max", "weather_code", "reason"]
+    return (days.select("city.city", "city.drift", "weather_date", "temperature_max", F.col("weather_code").cast("long").alias("weather_code"),
+                        F.lit(None).cast("string").alias("reason"))
+            .unionByName(bad.selectExpr("city", "array_join(drift, ' ') as drift", "reason"), allowMissingColumns=True).select(*columns))
+
+
+_OTHERS = "missing:precipitation_sum missing:temperature_2m_min"
+FLOW_SQL["src_payload_drift"] = f"""
+WITH e AS (SELECT event_type AS city, CAST(ts AS DATE) AS weather_date, max(value) AS high, count(*) AS n FROM events GROUP BY 1, 2),
+p AS (SELECT city, row_number() OVER (ORDER BY city) % 5 AS place FROM (SELECT DISTINCT city FROM e))
+SELECT city, CASE place WHEN 1 THEN 'extra:temp_max missing:precipitation_sum missing:temperature_2m_max missing:temperature_2m_min missing:windspeed_10m_max'
+    WHEN 2 THEN '{_OTHERS} missing:windspeed_10m_max type:weathercode' ELSE 'extra:humidity {_OTHERS} missing:windspeed_10m_max' END AS drift,
+  weather_date, CASE WHEN place <> 1 THEN high END AS temperature_max, CASE WHEN place <> 2 THEN n END AS weather_code, CAST(NULL AS VARCHAR) AS reason
+FROM e JOIN p USING (city) WHERE place IN (1, 2, 3)
+UNION ALL SELECT city, CASE place WHEN 4 THEN '{_OTHERS} missing:time missing:windspeed_10m_max' END, NULL, NULL, NULL,
+  CASE place WHEN 4 THEN 'no days' ELSE 'not json' END FROM p WHERE place IN (4, 0)
+"""
+
 _CODES = ", ".join(f"({k}, '{v}')" for k, v in X.weather.WMO_WEATHER_CODES.items())
 FLOW_SQL["md9_weather_ingest"] = f"""
 WITH d AS (SELECT event_type AS city, CAST(ts AS DATE) AS weather_date, max(value) AS temperature_max, min(value) AS temperature_min,
@@ -455,6 +496,22 @@ SELECT p_brand, count(*) AS n_parts, round(sum(p_retailprice), 2) AS total, coun
 """
 
 
+FOOTER_COLUMNS = ("l_orderkey", "l_partkey", "l_linenumber")
+
+
+def agg_footer_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG7, SRC11: row count and extents of all lines, landed as a table, from the footers of its files."""
+    lines = read_table(spark, sf_dir, "lineitem").select(*FOOTER_COLUMNS)
+    path = scratch_path(spark, "lines-table")
+    land(lines, path)
+    return spark.createDataFrame([table_extent(spark, path, lines.schema, FOOTER_COLUMNS)])
+
+
+FLOW_SQL["agg_footer_extent"] = f"""
+SELECT count(*) AS n_rows, {', '.join(f'{f}({c}) AS {f}_{c}' for c in FOOTER_COLUMNS for f in ('min', 'max'))} FROM lineitem
+"""
+
+
 # ---------------------------------------------------------------- operators without a workload of their own
 
 def srt_ranked_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -572,6 +629,6 @@ UNION ALL {_check_sql('lineitem', 'proportion_unique_l_returnflag', "SELECT CASE
 """
 
 FLOW_QUERIES = {f.__name__: f for f in (
-    snk_upsert_file, jn_append_unseen, snk_cluster_ranges, snk_silver_refresh, stream_upsert_events, md7_restaurants_ingest, md8_orders_ingest, md9_weather_ingest, md10_matches_ingest, md11_festivals_ingest,
+    snk_upsert_file, jn_append_unseen, snk_cluster_ranges, snk_silver_refresh, stream_upsert_events, md7_restaurants_ingest, md8_orders_ingest, md9_weather_ingest, src_payload_drift, agg_footer_extent, md10_matches_ingest, md11_festivals_ingest,
     snk_audit_rows, src_csv_text_round_trip, src_ndjson_load, src_catalog_sql, snk_partition_writes, snk_city_manifest,
     snk_table_and_views, srt_ranked_values, flt_recent_window, fn_text_flags, udf_sql_macros, dq_composite_keys)}

@@ -13,10 +13,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.types import StructType
 
 from strata.operators.filters import since
+from strata.operators.footers import table_extent
 from strata.schemas import BRONZE_SCHEMAS, REQUIRE_PARTITION_FILTER, TABLE_LAYOUT
 
 
@@ -71,13 +72,14 @@ class BronzeCatalog:
         return done
 
     def row_count(self, name: str) -> int:
-        """SRC11: row count, 0 when the table does not exist.
+        """SRC11: row count, 0 when the table does not exist; from the files' footers alone."""
+        return self.extent(name)["n_rows"]
 
-        Counting parquet needs only footers and row-group metadata.
-        """
+    def extent(self, name: str, *columns: str) -> Row:
+        """AGG7: row count and least and largest values of columns; from footers where these are exact."""
         if not self.exists(name):
-            return 0
-        return self.spark.read.schema(self.schemas[name]).parquet(self.paths[name]).count()
+            return Row("n_rows", *(f"{f}_{c}" for c in columns for f in ("min", "max")))(0, *(None for _ in range(2 * len(columns))))
+        return table_extent(self.spark, self.paths[name], self.schemas[name], columns)
 
 
 def run_query(spark: SparkSession, sql: str, **args) -> DataFrame:

@@ -34,12 +34,42 @@ def read_payloads(spark: SparkSession, path: str, multiline: bool = True) -> Dat
     return spark.read.schema(WEATHER_PAYLOAD).option("multiLine", multiline).json(path)
 
 
+def read_drifting_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """SRC5 / SRC6 for payloads whose form drifts: every line is a payload, parsed as VARIANT, and none is lost.
+
+    Returns the partition columns of the folders, ``daily`` as :func:`flatten_weather`
+    takes it, ``reason`` (why a payload cannot be used: ``not json``, ``no daily
+    block`` or ``no days``; else NULL), ``drift`` (fields that are not as declared, in order
+    of their names: ``extra:``, ``missing:`` or ``type:`` and the name) and the ``payload`` as text.
+    A field that is missing or no list is NULL on all its days, an element that does not cast on its day.
+    """
+    raw = spark.read.text(path)
+    known = {f.name: f.dataType.simpleString() for f in WEATHER_PAYLOAD["daily"].dataType.fields}
+    parsed = raw.withColumn("v", F.try_parse_json("value"))
+    block = F.try_variant_get("v", "$.daily", "map<string, variant>")
+    told = parsed.withColumn("fields", F.map_keys(block)).withColumns(
+        {f"_{name}": F.try_variant_get("v", f"$.daily.{name}", kind) for name, kind in known.items()})
+    has = lambda name: F.array_contains("fields", name)
+    given = {n: F.try_variant_get("v", f"$.daily.{n}", "array<variant>") for n in known}
+    lost = {n: F.exists(F.arrays_zip(F.col(f"_{n}").alias("value"), given[n].alias("given")),
+                        lambda x: x["value"].isNull() & ~F.is_variant_null(x["given"])) for n in known}
+    drift = [F.when(has(n) & (F.col(f"_{n}").isNull() | lost[n]), F.lit(f"type:{n}")).when(~has(n), F.lit(f"missing:{n}")) for n in known]
+    extra = F.transform(F.array_except("fields", F.array(*map(F.lit, known))), lambda n: F.concat(F.lit("extra:"), n))
+    reason = (F.when(F.col("v").isNull(), "not json").when(F.col("fields").isNull(), "no daily block").when(F.col("_time").isNull(), "no days"))
+    others = [c for c in raw.columns if c != "value"]
+    # as many NULLs as there are days, so that the days stay
+    nulls = {n: F.array_repeat(F.try_element_at(F.col(f"_{n}"), F.lit(1)), F.size("_time")) for n in known}
+    daily = F.when(reason.isNull(), F.struct(*(F.coalesce(F.col(f"_{n}"), nulls[n]).alias(n) for n in known)))
+    return told.select(*others, daily.alias("daily"), reason.alias("reason"),
+                       F.array_sort(F.concat(F.array_compact(F.array(*drift)), extra)).alias("drift"), F.col("value").alias("payload"))
+
+
 def split_valid(payloads: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """SRC6: (payloads with a daily block, payloads without one).
 
     ``strict`` makes a missing block fail the job (``raise_error``).
     """
-    missing = F.col("daily").isNull()
+    missing = F.col("reason").isNotNull() if "reason" in payloads.columns else F.col("daily").isNull()
     if strict:
         checked = payloads.withColumn(
             "daily", F.when(missing, F.raise_error(F.lit("payload is missing 'daily' key")))

@@ -258,3 +258,46 @@ def test_multi_line_files_are_read_by_many_tasks(spark, tmp_path, encoding):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert rows(read(True)) == want
+
+
+def test_payloads_that_drift_are_kept_or_counted(spark, tmp_path):
+    from strata.sources.json_payload import read_drifting_payloads
+
+    lines = ['{"daily": {"time": ["2024-01-01", "x"], "temperature_2m_max": [1.5, null], "temperature_2m_min": ["2", "3"], "precipitation_sum": [0, 1],'
+             ' "windspeed_10m_max": [1, 2], "weathercode": [3, 4], "zz": 1}, "other": {}}',
+             '{"daily": {"time": ["2024-01-02"], "temperature_2m_max": "warm"}}', '{"daily": []}', '{"x": 1}', '{"daily": {"time": 7, "a`b": 1}}', 'no', '', '[1]']
+    (tmp_path / "city=a b").mkdir()
+    (tmp_path / "city=a b" / "p.json").write_text("\n".join(lines))
+    found = read_drifting_payloads(spark, str(tmp_path)).cache()
+    got = {r.payload: r for r in found.collect()}
+    assert len(got) == len(lines) and {r.city for r in got.values()} == {"a b"}
+    assert [got[x].reason for x in lines] == [None, None, "no daily block", "no daily block", "no days", "not json", "not json", "no daily block"]
+    assert got[lines[0]].drift == ["extra:zz"] and "type:temperature_2m_max" in got[lines[1]].drift and "missing:weathercode" in got[lines[1]].drift
+    valid, bad = split_valid(found)
+    days = flatten_weather(valid, INGESTED_AT).select("temperature_max", "temperature_min", "weather_code").collect()
+    assert sorted(map(tuple, days), key=repr) == sorted([(1.5, 2.0, 3), (None, 3.0, 4), (None, None, None)], key=repr) and bad.count() == 6
+    with pytest.raises(Exception, match="missing 'daily'"):
+        split_valid(found, strict=True)[0].collect()
+
+
+def test_extents_come_from_footers(spark):
+    from pyspark.sql import Row
+
+    from strata.operators.footers import _extent, pushed_aggregates, table_extent
+    from strata.sources.catalog import BronzeCatalog
+
+    df = spark.range(1000).selectExpr("id as k", "date_add(date'2024-01-01', cast(id % 7 as int)) as d", "cast(id as string) as s", "if(id = 3, null, id) as n")
+    path = scratch_path(spark, "t-footers")
+    df.repartition(4).write.parquet(path)
+    with pushed_aggregates(spark):
+        plan = _extent(spark.read.schema(df.schema).parquet(path), ["k", "d", "n"])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(k), MAX(k)" in plan
+    assert "useV1SourceList" not in plan and "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+    want = _extent(df, ["k", "d", "n"]).first()
+    assert table_extent(spark, path, df.schema, ["k", "d", "n"]) == want
+    assert table_extent(spark, path, df.schema, ["s", "k"]) == _extent(df, ["s", "k"]).first()
+    empty = scratch_path(spark, "t-footers-empty")
+    df.limit(0).write.parquet(empty)
+    assert table_extent(spark, empty, df.schema, ["k"]) == Row(n_rows=0, min_k=None, max_k=None)
+    catalog = BronzeCatalog(spark, {"t": path}, {"t": df.schema})
+    assert catalog.row_count("t") == 1000 and catalog.row_count("absent") == 0 and catalog.extent("absent", "k") == (0, None, None)
