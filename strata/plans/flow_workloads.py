@@ -13,11 +13,11 @@ from pyspark.sql.types import DateType, DoubleType, LongType, StringType, Struct
 
 from strata import functions as X
 from strata.functions.sql import register_sql_functions
-from strata.operators import aggregates, filters, quality, setops
+from strata.operators import aggregates, filters, joins, quality, setops
 from strata.operators.footers import table_extent
 from strata.operators.lookup import append_unseen
 from strata.plans import ingest, silver
-from strata.plans.silver_refresh import refresh
+from strata.plans.silver_refresh import refresh, refresh_from
 from strata.schemas import MONTH_PARTITION, RAW_FESTIVAL_CALENDAR, RAW_IPL_SCHEDULE, RAW_ORDERS, RAW_RESTAURANTS, RAW_WEATHER, conform
 from strata.session import scratch_path
 from strata.sinks.landing import (create_table_if_absent, land, land_table, materialize, partition_manifest,
@@ -140,6 +140,35 @@ SELECT *, 'changes' AS second_build, 2 AS months_written FROM f WHERE order_date
 """
 
 
+COVERAGE_CUTS = ("2024-01-10", "2024-01-20")
+
+
+def jn_coverage_kept_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MD12 / DQ14 / JN2: purchases without a view of the same user and day, kept up over three batches of purchases, whose views
+    come a batch late; the result is that of the whole tables."""
+    ev = read_table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("event_date"), "event_type")
+    root, first, second = scratch_path(spark, "coverage"), *(F.lit(c).cast("date") for c in COVERAGE_CUTS)
+    batch = F.when(F.col("event_date") < first, 0).when(F.col("event_date") < second, 1).otherwise(2)
+    purchases, views, out = (VersionedTable(spark, f"{root}/{n}") for n in ("purchases", "views", "coverage"))
+    bought, seen = (ev.where(F.col("event_type") == t).select("user_id", "event_date", batch.alias("batch")) for t in ("purchase", "view"))
+    for table, rows in ((purchases, bought), (views, seen)):
+        table.create(rows.drop("batch").schema, ["event_date"])
+    gaps = lambda p, v: joins.coverage_gap(p, v, ["user_id", "event_date"], "purchases_without_view")
+    for n in range(4):
+        purchases.append(bought.where(F.col("batch") == n).drop("batch"))
+        views.append(seen.where(F.col("batch") == n - 1).drop("batch"))
+        done = refresh_from([(purchases, ["event_date"]), (views, ["event_date"])], out, gaps, ["event_date"], ["event_date"])
+    return out.read().withColumn("last_build", F.lit(done["built"]))
+
+
+FLOW_SQL["jn_coverage_kept_up"] = """
+WITH e AS (SELECT user_id, CAST(ts AS DATE) AS event_date, event_type FROM events)
+SELECT p.user_id, p.event_date, count(*) AS purchases_without_view, 'changes' AS last_build FROM e p
+WHERE p.event_type = 'purchase' AND NOT EXISTS (SELECT 1 FROM e v WHERE v.event_type = 'view' AND v.user_id = p.user_id AND v.event_date = p.event_date)
+GROUP BY 1, 2
+"""
+
+
 def stream_upsert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """INC3 as Structured Streaming into a table of versions: two loads with a restart between them, each event's largest
     version winning, and a restart that has lost its progress and sends all micro-batches again."""
@@ -629,6 +658,6 @@ UNION ALL {_check_sql('lineitem', 'proportion_unique_l_returnflag', "SELECT CASE
 """
 
 FLOW_QUERIES = {f.__name__: f for f in (
-    snk_upsert_file, jn_append_unseen, snk_cluster_ranges, snk_silver_refresh, stream_upsert_events, md7_restaurants_ingest, md8_orders_ingest, md9_weather_ingest, src_payload_drift, agg_footer_extent, md10_matches_ingest, md11_festivals_ingest,
+    snk_upsert_file, jn_append_unseen, snk_cluster_ranges, snk_silver_refresh, jn_coverage_kept_up, stream_upsert_events, md7_restaurants_ingest, md8_orders_ingest, md9_weather_ingest, src_payload_drift, agg_footer_extent, md10_matches_ingest, md11_festivals_ingest,
     snk_audit_rows, src_csv_text_round_trip, src_ndjson_load, src_catalog_sql, snk_partition_writes, snk_city_manifest,
     snk_table_and_views, srt_ranked_values, flt_recent_window, fn_text_flags, udf_sql_macros, dq_composite_keys)}

@@ -1,4 +1,4 @@
-"""Incremental silver (SNK11, MD1-MD6): only what a bronze change touches is computed and written again.
+"""Incremental silver (SNK11, MD1-MD6, MD12): only what a bronze change touches is computed and written again.
 
 Bronze and silver are tables of versions. The silver table's record says which
 bronze version it shows. A refresh compares the bronze folders of that version
@@ -46,36 +46,54 @@ def changed_keys(source: VersionedTable, first: int, last: int, keys: Sequence[s
     return differ.select(*keys)
 
 
-def refresh(source: VersionedTable, target: VersionedTable, model: Callable[[DataFrame], DataFrame], keys: Sequence[str],
-            partition_cols: Sequence[str] = ()) -> dict:
-    """Bring ``target`` to the last version of ``source``; the first time, and only then, all of it is built.
+def refresh_from(sources: Sequence[tuple[VersionedTable, Sequence[str]]], target: VersionedTable, model: Callable[..., DataFrame], keys: Sequence[str],
+                 partition_cols: Sequence[str] = ()) -> dict:
+    """Bring ``target`` to the last versions of its ``sources``; the first time, and only then, all of it is built.
 
+    Each source comes with the names that the target's ``keys`` have in it, and
+    ``model`` gets a DataFrame of each. A key is touched where its rows changed
+    in any source, so a join or an anti-join is kept up like a single table.
     Another refresh that was first is a conflict, and the table stays as that left it.
     """
-    now = source.snapshot()
+    keys, now = list(keys), [table.snapshot() for table, _ in sources]
+    rows = [table.read(at) for (table, _), at in zip(sources, now, strict=True)]
     held = target.snapshot()
     if held is None:
-        target.create(model(source.read(now)).schema, partition_cols)
+        target.create(model(*rows).schema, partition_cols)
         held = target.snapshot()
-    before = held.properties.get(SOURCE_VERSION)
-    mark = {SOURCE_VERSION: now.number}
-    if before == now.number:
+    before, mark = held.properties.get(SOURCE_VERSION), {SOURCE_VERSION: [at.number for at in now]}
+    if before == mark[SOURCE_VERSION]:
         return {"built": "nothing", "keys": 0, "partitions": 0}
     if before is None:
-        made = target.replace(model(source.read(now)), held, operation="build", whole=True, properties=mark)
+        made = target.replace(model(*rows), held, operation="build", whole=True, properties=mark)
         return {"built": "all", "keys": None, "partitions": len(made.changed)}
-    spark, keys = source.spark, list(keys)
+    spark, touched = target.spark, None
+    for (table, own), first, last in zip(sources, before, now, strict=True):
+        if first != last.number:
+            found = changed_keys(table, first, last.number, list(own)).toDF(*keys)
+            touched = found if touched is None else touched.unionByName(found)
     with staging(spark, "refresh-keys") as at_keys:
-        changed_keys(source, before, now.number, keys).write.parquet(at_keys)
-        touched = spark.read.schema(source.read(now).select(*keys).schema).parquet(at_keys)
+        touched.distinct().write.parquet(at_keys)
+        touched = spark.read.schema(touched.schema).parquet(at_keys)
         n = touched.count()
-        fresh = model(source.read(now).join(touched, keys, "left_semi"))
-        owners = target.parts_with(held, lambda rows: rows.join(touched, keys, "left_semi"))
+        some = [r.join(touched.toDF(*own), list(own), "left_semi") for r, (_, own) in zip(rows, sources, strict=True)]
+        owners = target.parts_with(held, lambda old: old.join(touched, keys, "left_semi"))
         rest = target.read_parts(held, owners).join(touched, keys, "left_anti")
-        made = target.replace(rest.unionByName(fresh), held, gone=owners, operation="refresh", properties=mark, keep_others=True)
+        made = target.replace(rest.unionByName(model(*some)), held, gone=owners, operation="refresh", properties=mark, keep_others=True)
     return {"built": "changes", "keys": n, "partitions": len(made.changed)}
 
 
+def refresh(source: VersionedTable, target: VersionedTable, model: Callable[[DataFrame], DataFrame], keys: Sequence[str],
+            partition_cols: Sequence[str] = ()) -> dict:
+    """:func:`refresh_from` one source, in which the keys have the same names."""
+    return refresh_from([(source, keys)], target, model, keys, partition_cols)
+
+
+def refresh_coverage(orders: VersionedTable, weather: VersionedTable, target: VersionedTable) -> dict:
+    """MD12 / DQ14 kept up: orders without weather by city and day, of which only days with a change in either table are counted again."""
+    return refresh_from([(orders, ["order_date"]), (weather, ["weather_date"])], target, silver.weather_coverage, ["order_date"], ["order_date"])
+
+
 def refresh_silver(spark: SparkSession, bronze: Mapping[str, VersionedTable], out_root: str, start_date: str = silver.START_DATE) -> dict[str, dict]:
     """Refresh every silver table whose bronze table is given, at ``out_root/<model>``."""
     dated = {"stg_orders": lambda raw: silver.stg_orders(raw, start_date),

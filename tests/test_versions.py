@@ -223,10 +223,35 @@ def test_silver_is_refreshed_for_changed_keys_alone(spark):
     second = out.snapshot()
     same = {p for p in first.parts if second.parts.get(p) == first.parts[p]}
     assert len(same) == 9 - 4 and second.parts["order_date=2023-01-02"][0] == first.parts["order_date=2023-01-02"][0]
-    assert refresh(bronze, out, silver.stg_orders, ["order_id"])["built"] == "nothing"
+    assert refresh(bronze, out, silver.stg_orders, ["order_id"]) == {"built": "nothing", "keys": 0, "partitions": 0}
     # the same rows loaded anew change nothing, whatever their files
     bronze.replace(bronze.read().repartition(3), bronze.snapshot(), whole=True)
     assert refresh(bronze, out, silver.stg_orders, ["order_id"]) == {"built": "changes", "keys": 0, "partitions": 0}
     bronze.replace(bronze.read().where("order_date < '2023-01-05'"), bronze.snapshot(), whole=True)
     refresh(bronze, out, silver.stg_orders, ["order_id"])
     assert rows(out.read()) == full() and "order_date=2023-01-20" not in out.snapshot().parts
+
+
+def test_coverage_is_kept_up_from_both_sides(spark):
+    from strata.plans.silver import weather_coverage
+    from strata.plans.silver_refresh import refresh_coverage
+
+    root, day = scratch_path(spark, "test-coverage"), (lambda n: dt.date(2023, 1, n))
+    orders, weather, out = (VersionedTable(spark, f"{root}/{n}") for n in ("orders", "weather", "out"))
+    o = lambda *r: spark.createDataFrame(list(r), "order_id string, city string, order_date date")
+    w = lambda *r: spark.createDataFrame(list(r), "city string, weather_date date")
+    orders.create(o().schema, ["order_date"])
+    weather.create(w().schema)
+    orders.append(o(*((f"o{i}", "ab"[i % 2], day(1 + i % 6)) for i in range(30)), ("n", None, day(1)), ("m", "a", None)))
+    weather.append(w(("a", day(1)), ("b", day(2)), ("a", day(2))))
+    full = lambda: rows(weather_coverage(orders.read(), weather.read()).where("order_date is not null").select(*out.read().columns))
+    kept = lambda: rows(out.read().where("order_date is not null"))
+    assert refresh_coverage(orders, weather, out)["built"] == "all" and kept() == full()
+    weather.append(w(("a", day(3)), ("b", day(4))))   # late weather closes gaps
+    got = refresh_coverage(orders, weather, out)
+    assert (got["built"], got["keys"]) == ("changes", 2) and kept() == full()
+    orders.append(o(("x", "a", day(9)), ("y", "b", day(2))))  # a new day and one that is covered
+    assert refresh_coverage(orders, weather, out)["keys"] == 2 and kept() == full()
+    weather.replace(weather.read().where("weather_date > '2023-01-02'"), weather.snapshot(), whole=True)  # weather that is taken back
+    assert refresh_coverage(orders, weather, out)["keys"] == 2 and kept() == full()
+    assert refresh_coverage(orders, weather, out)["built"] == "nothing"
