@@ -21,9 +21,9 @@ from strata.llm import arrays
 from strata.llm.bloom import HashFilter, hash_filter
 from strata.llm.tables import Scratch, bounded_batches
 
-#: Sites from which a line counts as boilerplate, and words below which a line is never removed.
+#: Sites from which a line counts as boilerplate, and words below which a line is never removed (lines without words stay).
 LEAST_SITES = 5
-LEAST_WORDS = 4
+LEAST_WORDS = 1
 #: log2 of the sketches' registers: a standard error of 3.3 %; estimates within the margin are counted.
 REGISTERS_LOG2 = 10
 MARGIN = 0.25
@@ -96,10 +96,10 @@ def without_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """One row a document: id, ``n_lines``, ``n_removed`` and the text without lines that many sites share.
 
     Lines end at line feeds; what is left is joined by line feeds. Lines of
-    fewer than ``least_words`` words stay. Every line of a text counts once for
+    fewer than ``least_words`` words stay (by default those without any). Every line of a text counts once for
     the text's site, null being a site. A null text stays null with 0 lines, an
     empty one has one empty line. Repeated rows give a row each. Other columns
-    are not read. An empty table gives an empty result.
+    are not read. Null ids are ids like others. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -121,10 +121,11 @@ def without_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     key = F.xxhash64("id", "text").alias("key")
     found = (rows.where("text is not null").select(key, "text").mapInArrow(places, "key long, line long, number long")
              .join(shared, "line", "left_semi").groupBy("key").agg(F.collect_set("number").alias("gone")))
-    lines = F.split("text", "\n")
-    kept = F.filter(lines, lambda x, i: ~F.array_contains("gone", i.cast("long")))
-    return (rows.withColumn("key", key).join(found, "key", "left")
-            .select(F.col("id").alias(id_col), F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+    # numbers of lines that stay, in one pass over both lists
+    stay = F.array_except(F.sequence(F.lit(0).cast("long"), F.size("lines") - F.lit(1).cast("long")), F.col("gone"))
+    kept = F.transform(stay, lambda i: F.get("lines", i.cast("int")))
+    return (rows.withColumn("key", key).join(found, "key", "left").withColumn("lines", F.split("text", "\n"))
+            .select(F.col("id").alias(id_col), F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
                     F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed"),
                     F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text")))
 
@@ -137,7 +138,7 @@ WITH l AS (
   FROM (SELECT row, doc_id, site, unnest(lines) AS line, generate_subscripts(lines, 1) AS n
         FROM (SELECT row_number() OVER () AS row, doc_id, coalesce(source, chr(1)) AS site, string_split(text, chr(10)) AS lines
               FROM documents))),
-shared AS (SELECT words FROM l WHERE len(words) >= 4 GROUP BY words HAVING count(DISTINCT site) >= 5),
+shared AS (SELECT words FROM l WHERE len(words) >= 1 GROUP BY words HAVING count(DISTINCT site) >= 5),
 marked AS (SELECT l.*, shared.words IS NOT NULL AS gone FROM l LEFT JOIN shared ON l.words = shared.words)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
   coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '') AS text

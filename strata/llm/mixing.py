@@ -12,8 +12,9 @@ Documents are dealt to groups of about ``GROUP`` by a hash and rounded from the
 longest to the shortest, so that what is left over tends to be short. Each
 group's one rest goes on to the next level, ``GROUP`` groups to one, until a
 source has one rest. That is rounded to the nearer side, and as one long document
-may be much of a small source, documents of the last group are then turned round
-from the longest to the shortest where that brings the sum nearer to its target.
+may be much of a small source, documents of the last group are then turned round,
+those or the two whose turn brings the sum nearest to its target, until none does;
+of a few documents every choice is looked at.
 A source of a third of all documents is so many more groups. Random numbers come from hashes of the
 ids, so reruns agree, however Spark cuts the data.
 """
@@ -33,6 +34,8 @@ from strata.llm.tables import Scratch
 WEIGHTS = (5, 2, 1)
 #: Documents that one task rounds at once.
 GROUP = 4096
+#: Documents of a last group up to which every choice of turns is looked at.
+EVERY_CHOICE = 14
 _STATE = "src string, id long, size long, key long, p double, whole long"
 
 
@@ -114,11 +117,26 @@ def settle(size: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarra
     """``after`` with its rest rounded, and turned round where that brings ``sum(size * p)`` nearer to that of ``before``."""
     q = np.round(after)
     off = float((size * q).sum() - (size * before).sum())
-    for i in np.flatnonzero((before > 0) & (before < 1)):
-        turn = float(size[i]) * (1 - 2 * q[i])
-        if abs(off + turn) < abs(off):
-            q[i], off = 1 - q[i], off + turn
-    return q
+    free = np.flatnonzero((before > 0) & (before < 1))
+    if len(free) <= EVERY_CHOICE:
+        turned = np.arange(1 << len(free))[:, None] >> np.arange(len(free)) & 1
+        best = turned[np.argmin(np.abs(off + turned @ (size[free] * (1 - 2 * q[free]))))].astype(bool)
+        q[free[best]] = 1 - q[free[best]]
+        return q
+    while True:
+        turn = size[free] * (1 - 2 * q[free])
+        order = np.argsort(turn, kind="stable")
+        # for each one the other whose turn makes up best for what is left; a turn with itself counts as one alone
+        near = np.clip(np.searchsorted(turn[order], -off - turn)[:, None] + np.arange(-1, 2), 0, len(free) - 1)
+        pair = turn[:, None] + np.where(order[near] == np.arange(len(free))[:, None], 0, turn[order][near])
+        i, j = np.unravel_index(np.argmin(np.abs(off + pair)), pair.shape)
+        one = int(np.argmin(np.abs(off + turn)))
+        chosen = {one} if abs(off + turn[one]) <= abs(off + pair[i, j]) else {int(i), int(order[near[i, j]])}
+        step = float(turn[list(chosen)].sum())
+        if abs(off + step) >= abs(off) - 1e-6:
+            return q
+        at = free[list(chosen)]
+        q[at], off = 1 - q[at], off + step
 
 
 def _rounded(seed: int, last: bool):

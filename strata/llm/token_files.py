@@ -8,7 +8,8 @@ bit-packed by deltas (format version 2); row groups and pages have a set size,
 and page indexes are written, so readers can take the metadata alone, or the
 tokens of a range of documents, without the rest.
 
-Each distinct word that a worker meets is encoded once. A tokenizer whose
+Each distinct word that a worker meets is encoded once; words are found by a
+hash and told apart by their bytes. A tokenizer whose
 pre-tokenizer drops white space and parts letters from signs treats words, and
 letters and signs within them, apart from each other, so the ids of a text are
 those of these units in order. :func:`words_stand_alone` tells whether that
@@ -100,11 +101,28 @@ def _units(data: np.ndarray, offsets: np.ndarray) -> arrays.Words:
     return units
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def _same_bytes(a: np.ndarray, a_starts: np.ndarray, a_sizes: np.ndarray, b: np.ndarray, b_starts: np.ndarray, b_sizes: np.ndarray) -> np.ndarray:
+    """Whether byte range ``i`` of ``a`` is that of ``b``, but for A-Z and a-z."""
+    same = a_sizes == b_sizes
+    size = np.where(same, a_sizes, 0)
+    ends = np.cumsum(size)
+    inside = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size, size)
+    differ = _LOWER[a[np.repeat(a_starts, size) + inside]] != _LOWER[b[np.repeat(b_starts, size) + inside]]
+    if differ.any():
+        same[np.unique(np.searchsorted(ends, np.flatnonzero(differ), side="right"))] = False
+    return same
+
+
 class Encoder:
     """Ids of batches of texts, with the end id after each.
 
-    Words met before are kept as sorted hashes beside their ids in one table,
-    about ``KEPT_WORDS`` of them; when there are more, the oldest table goes.
+    Words met before are kept as sorted hashes beside their bytes and ids in one
+    table, about ``KEPT_WORDS`` of them; when there are more, the oldest table
+    goes. A word of another one's hash is encoded on its own, each time.
     """
 
     def __init__(self, path: str, end_id: int = END_ID):
@@ -114,6 +132,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.hashes, self.begins, self.lengths, self.table = (np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int32))
+        self.spelt, self.at, self.sizes = (np.zeros(0, t) for t in (np.uint8, np.int64, np.int64))
 
     def _encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, number of ids of each) of texts given as byte ranges."""
@@ -130,6 +149,10 @@ class Encoder:
         self.begins = np.insert(self.begins, at, len(self.table) + np.cumsum(length) - length)
         self.hashes, self.lengths = np.insert(self.hashes, at, hashes), np.insert(self.lengths, at, length)
         self.table = np.concatenate([self.table, flat])
+        size = ends - starts
+        places = np.cumsum(size) - size
+        self.at, self.sizes = np.insert(self.at, at, len(self.spelt) + places), np.insert(self.sizes, at, size)
+        self.spelt = np.concatenate([self.spelt, data[np.repeat(starts - places, size) + np.arange(size.sum())]])
 
     def _missing(self, hashes: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.hashes, hashes)
@@ -150,10 +173,15 @@ class Encoder:
                 new = np.arange(len(unique))
             if len(new):
                 self._learn(unique[new], data, words.starts[first[new]], words.ends[first[new]])
-            at = np.searchsorted(self.hashes, unique)
-            begin, size = self.begins[at][which], self.lengths[at][which]
+            at = np.searchsorted(self.hashes, unique)[which]
+            begin, size, table = self.begins[at], self.lengths[at], self.table
+            other = np.flatnonzero(~_same_bytes(data, words.starts, words.ends - words.starts, self.spelt, self.at[at], self.sizes[at]))
+            if len(other):
+                more, count = self._encode(data, words.starts[other], words.ends[other])
+                begin[other], size[other] = len(table) + np.cumsum(count) - count, count
+                table = np.concatenate([table, more])
             ends = np.cumsum(size)
-            flat = self.table[np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+            flat = table[np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
             text_ends = np.concatenate([[0], ends])[words.offsets[1:]]
         out_offsets = np.concatenate([[0], text_ends + np.arange(1, n + 1)])
         out = np.empty(out_offsets[-1], dtype=np.int32)
@@ -217,19 +245,20 @@ def token_index(spark, folder: str, id_col: str = "doc_id") -> DataFrame:
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(2)
+            ids = batch.column(3)
             flat, at = ids.flatten().to_numpy().astype("<u4"), np.asarray(ids.offsets) - ids.offsets[0].as_py()
             crc = [zlib.crc32(flat[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.diff(at).astype(np.int64)),
-                                              pa.array(crc, pa.int64())], ["id", "shard", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.diff(at).astype(np.int64)), pa.array(crc, pa.int64())],
+                                             ["id", "shard", "place", "n_tokens", "ids_crc32"])
 
     files = read_tokens(spark, folder)
-    rows = files.select("id", "shard", "ids").mapInArrow(check, "id long, shard int, n_tokens long, ids_crc32 long")
+    rows = (files.select("id", "shard", F.col("_metadata.row_index").alias("place"), "ids")
+            .mapInArrow(check, "id long, shard int, place long, n_tokens long, ids_crc32 long"))
     # one number a file
     sizes = files.groupBy("shard").agg(F.sum("n_tokens").alias("size"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("shard", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("begin"))
-    within = Window.partitionBy("shard").orderBy("id", "ids_crc32").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("shard").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     return (rows.withColumn("skip", F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).join(starts, "shard")
             .select(F.col("id").alias(id_col), (F.col("begin") + F.col("skip")).alias("start"), "n_tokens", "ids_crc32"))
 

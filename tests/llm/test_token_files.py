@@ -32,8 +32,24 @@ def test_ids_are_those_of_the_library(path, alone):
         assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == plain(path, TEXTS)
 
 
+def test_words_of_one_hash_keep_their_own_ids():
+    import pyarrow as pa
+
+    parity = [bin(i).count("1") & 1 for i in range(1024)]
+    one, two = ("".join("ab"[p ^ flip] for p in parity) for flip in (0, 1))
+    data, offsets = arrays.text_bytes(pa.array([one, two]))
+    assert len(set(arrays.words_of(data, offsets).hashes.tolist())) == 1  # else this tests nothing
+    texts = [f"{one} and {two}", two, one.upper(), f"x {two.upper()} {one}"]
+    encoder = Encoder(WORD)
+    for some in (texts[:1], texts[1:], texts[::-1], texts):
+        ids, at = encoder.encode(*arrays.text_bytes(pa.array(some)))
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == plain(WORD, some)
+
+
 def test_round_trip_of_awkward_rows(spark):
     docs = awkward_docs(spark)
+    nulls = spark.createDataFrame([(None, "no id"), (None, None)], "doc_id long, text string")
+    assert [(r.start, r.n_tokens) for r in sorted(tokens_round_trip(nulls, WORD).collect(), key=lambda r: r.start)] == [(0, 1), (1, 3)]
     rows = sorted(((r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()))
     want, start = [], 0
     for (i, _), ids in zip(rows, plain(WORD, [t for _, t in rows]), strict=True):
