@@ -37,6 +37,8 @@ SPEAKERS = {
     "assistant": ("assistant", "ai", "bot", "gpt", "model", "answer", "agent", "a"),
 }
 PIECE = 4096
+#: Bytes of text of a task, about.
+PART_BYTES = 32 << 20
 #: Values of each feature: marker (none or a role), length in powers of two, lines, question mark.
 FEATURES = {"marker": len(ROLES) + 1, "size": 20, "lines": 6, "asks": 2}
 _ROLE_OF = {name: i for i, names in enumerate(SPEAKERS.values()) for name in names}
@@ -147,8 +149,8 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     ``role`` is recovered; the given roles of conversations whose crc32 of the
     id is not divisible by 5 are used to fit, and none to decode. ``rendered``
     is ``<|im_start|>role``, a line feed, the trimmed text and ``<|im_end|>``.
-    Rows alike in conversation, turn and text count once; rows of one turn
-    are ordered by text. Null texts are empty segments; rows without a
+    Every row is a turn, repeated rows too; rows of one conversation and turn
+    number are ordered by text, then by given role. Null texts are empty segments; rows without a
     conversation id form one conversation, and those without a turn number
     come first. Unknown and null roles do not take part in the fit. Other
     columns are not read. An empty table gives an empty result.
@@ -158,9 +160,11 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     scratch = Scratch(spark, "chat-format")
     rows = turns.select(F.col(conv_col).cast("long").alias("conv"), F.col(turn_col).cast("long").alias("turn"),
                         F.lower(F.col(role_col)).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.groupBy("conv", "turn", "text").agg(F.min("role").alias("role"))
-    parts = max(1, spark.sparkContext.defaultParallelism)
-    ordered = rows.repartitionByRange(parts, "conv", "turn", F.xxhash64("text")).sortWithinPartitions("conv", "turn", "text")
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, spark.sparkContext.defaultParallelism, total // PART_BYTES)
+    # equal rows may be parted too
+    ordered = (rows.withColumn("any", F.monotonically_increasing_id()).repartitionByRange(parts, "conv", "turn", F.xxhash64("text"), "role", "any")
+               .sortWithinPartitions("conv", "turn", "text", "role"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, piece, before, in_piece = None, -1, None, 0
@@ -192,7 +196,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
              .withColumn("before", F.coalesce("lag", "start")))
     model = fit(known)
 
-    sorted_cells = cells.select("pid", "piece", "conv", "number", "seen").repartition("pid", "piece").sortWithinPartitions("pid", "piece", "number")
+    sorted_cells = cells.select("pid", "piece", "conv", "number", "seen").repartition(parts, "pid", "piece").sortWithinPartitions("pid", "piece", "number")
     long_ones = alone.where("n > 1").select(F.col("conv").alias("long_conv"))
 
     def sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +206,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
                                              ["pid", "piece", "conv", "matrix"])
 
     in_long = sorted_cells.join(long_ones, F.col("conv").eqNullSafe(F.col("long_conv")), "left_semi")
-    matrices = (in_long.repartition("pid", "piece").sortWithinPartitions("pid", "piece", "number")
+    matrices = (in_long.repartition(parts, "pid", "piece").sortWithinPartitions("pid", "piece", "number")
                 .mapInArrow(sum_up, "pid int, piece long, conv long, matrix array<double>"))
 
     def chain(rows: pa.Table) -> pa.Table:
@@ -228,7 +232,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
                                              ["pid", "piece", "number", "found"])
 
     roles = (sorted_cells.join(ends, ["pid", "piece"], "left").select("pid", "piece", "enter", "leave", "number", "seen")
-             .repartition("pid", "piece").sortWithinPartitions("pid", "piece", "number")
+             .repartition(parts, "pid", "piece").sortWithinPartitions("pid", "piece", "number")
              .mapInArrow(recover, "pid int, piece long, number long, found string"))
     rendered = F.concat(F.lit("<|im_start|>"), F.col("found"), F.lit("\n"), F.col("said"), F.lit("<|im_end|>"))
     return (cells.join(roles, ["pid", "piece", "number"])

@@ -39,6 +39,25 @@ def test_pieces_give_the_path_of_one_pass():
         assert path == whole and int(sums[-1].argmax()) == whole[-1]
 
 
+def test_decoding_finds_the_best_of_all_paths():
+    from itertools import product
+    from types import SimpleNamespace
+
+    rng = np.random.default_rng(4)
+    n = len(ROLES)
+    for size in [1, 2, 3, 5, 6] * 8:
+        shown = rng.normal(size=(size, n))
+        score = SimpleNamespace(step=rng.normal(size=(n + 1, n)), emissions=lambda seen, shown=shown: shown)
+        worth = lambda p, enter: score.step[enter][p[0]] + shown[0][p[0]] + sum(score.step[a][b] + shown[i + 1][b] for i, (a, b) in enumerate(zip(p, p[1:], strict=False)))
+        enter = int(rng.integers(n + 1))
+        best = max(product(range(n), repeat=size), key=lambda p: worth(p, enter))
+        assert tuple(chat_format.decode(score, np.zeros(size), enter, None)) == best
+        for leave in range(n):
+            ends = [p for p in product(range(n), repeat=size) if p[-1] == leave]
+            assert tuple(chat_format.decode(score, np.zeros(size), enter, leave)) == max(ends, key=lambda p: worth(p, enter))
+            assert chat_format.transfer(score, np.zeros(size))[enter, leave] == pytest.approx(max(worth(p, enter) for p in ends))
+
+
 def conversations(n, seed=1):
     rng = random.Random(seed)
     rows = []
@@ -62,13 +81,13 @@ def test_long_conversations_cut_into_pieces(spark, monkeypatch):
 def test_awkward_rows(spark):
     rows = conversations(30) + [(900, 0, None, None), (900, 0, None, None), (900, 1, "user", ""), (None, None, "user", "hello?"), (None, 2, "tool", "x"),
                                 (901, 0, "user", "User: a b\nAssistant: c\nUser: d?"), (902, 5, "assistant", "w " * 50000), (903, 1, "USER", "b"),
-                                (903, 1, "user", "a")]
+                                (903, 1, "user", "a"), (903, 1, "assistant", "a")]
     got = as_dicts(format_chats(frame(spark, rows)))
     by = {(r["conv_id"], r["turn"], r["part"]): r for r in got if r["conv_id"] != 903}
     assert [by[901, 0, i]["role"] for i in range(3)] == ["user", "assistant", "user"]
     assert by[901, 0, 2]["rendered"] == "<|im_start|>user\nd?<|im_end|>"
-    assert by[900, 0, 0]["rendered"].endswith("\n<|im_end|>") and (None, None, 0) in by and len([r for r in got if r["conv_id"] == 900]) == 2
-    assert len([r for r in got if r["conv_id"] == 903]) == 2
+    assert by[900, 0, 0]["rendered"].endswith("\n<|im_end|>") and (None, None, 0) in by and len([r for r in got if r["conv_id"] == 900]) == 3
+    assert len([r for r in got if r["conv_id"] == 903]) == 3 and len(got) == len(rows) + 2  # a row of three segments
     assert format_chats(frame(spark, [])).collect() == []
 
 
