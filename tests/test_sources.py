@@ -29,12 +29,12 @@ def write_csv(path, header, data, encoding="utf-8"):
 def restaurant_csv(tmp_path, drop=()):
     header = [c for c in RESTAURANT_CSV_COLUMNS if c not in drop]
     base = {
-        1: [1, " Le Petit Soufflé ", 1, "New Delhi", "Addr 1", "Loc 1", "Loc 1, ND", 77.2, 28.6,
-            "North Indian", 1000, "Rs", "Yes", "No", "No", "No", 3, 4.5, "Green", "Excellent", 500],
-        2: [2, "Restaurant B", 1, "Mumbai", "Addr 2", "", "x", 72.8, 18.9, "Chinese", 500, "Rs", "No", "Yes",
-            "No", "No", 2, 4.0, "Green", "Very Good", 300],
-        3: [3, "Restaurant C", 216, "Manama", "Addr 3", "Loc 3", "y", 50.5, 26.2, "Arabic", 300, "BD", "No",
-            "No", "No", "No", 1, 3.5, "Yellow", "Good", 100],
+        40: [40, "\tCafé Zoë, Koramangala  ", 1, "Bengaluru", "12/1, 4th \"A\" Cross", "Koramangala", " ", 77.62, 12.93,
+             "Café, Desserts", 0, "Rs", "No", "Yes", "Yes", "No", 2, 0.0, "White", "Not rated", 0],
+        17: [17, "Öl & Brot", 30, "Curitiba", "Rua 9", "Centro", "Centro, Curitiba", -49.27, -25.43, "German", 80, "R$", "Yes",
+             "No", "No", "No", 3, 3.9, "Yellow", "Good", 7],
+        63: [63, "Jalsa", 1, "Pune", "", "   ", "Baner, Pune", 73.79, 18.56, "Mughlai", 1450, "Rs", "Yes", "No",
+             "No", "No", 4, 4.1, "Green", "Very Good", 2041],
     }
     idx = [RESTAURANT_CSV_COLUMNS.index(c) for c in header]
     data = [[row[i] for i in idx] for row in base.values()]
@@ -58,11 +58,12 @@ def test_ingest_restaurants_a1(spark, tmp_path):
     assert {"restaurant_id", "average_cost_for_two", "has_online_delivery", "locality_verbose"} <= set(
         landed.columns)
     got = {r["restaurant_id"]: r for r in spark.read.parquet(bronze).collect()}
-    assert sorted(got) == [1, 2]
-    assert got[1]["restaurant_name"] == "Le Petit Soufflé"      # trimmed, Latin-1 decoded
-    assert got[2]["locality"] is None                                # blank -> NULL
-    assert got[1]["has_table_booking"] is True and got[2]["has_table_booking"] is False  # D8
-    assert got[1]["_source_file"] == "restaurants.csv" and got[1]["_ingestion_date"] == dt.date(2024, 2, 1)
+    assert sorted(got) == [40, 63]
+    assert got[40]["restaurant_name"] == "Café Zoë, Koramangala"      # trimmed, Latin-1 decoded
+    assert got[40]["address"] == '12/1, 4th "A" Cross' and got[63]["address"] is None
+    assert got[63]["locality"] is None                                # blank -> NULL
+    assert got[63]["has_table_booking"] is True and got[40]["has_table_booking"] is False  # D8
+    assert got[40]["_source_file"] == "restaurants.csv" and got[40]["_ingestion_date"] == dt.date(2024, 2, 1)
     assert spark.read.parquet(audit).first()["status"] == "SUCCESS"
 
 
