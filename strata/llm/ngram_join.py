@@ -36,6 +36,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial, reduce
 from itertools import combinations
 
 import numpy as np
@@ -143,7 +144,7 @@ def set_classes(h: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4,
-               num: int = 85, den: int = 100) -> DataFrame:
+               num: int = 85, den: int = 100, passes: int = 1) -> DataFrame:
     """Components of the documents under ``den * |A & B| >= num * |A | B|`` of their ``n``-word sets.
 
     Returns one row per input row: the id (named ``id_col``), ``n_shingles``
@@ -155,6 +156,9 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     component of rows of the same text that have one, else a null one, and
     links with nothing. Other columns of ``docs`` are not read, whatever their
     names. An empty table gives an empty result.
+
+    Signatures and elements are shuffled in ``passes`` parts by hash, one part
+    after the other: so much less disk is needed, and texts are read so much oftener.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -168,7 +172,7 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.diff(o)),
                                                   pa.array(set_classes(h, o))], ["id", "n", "cls"])
 
-    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def signed(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = np.zeros(0, np.int64)
             for _, _, words in arrays.batches_of_words(batch.column(0)):
@@ -180,25 +184,33 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 done = np.concatenate([done, cls[first]])
                 size = np.where(first, np.diff(o), 0)
                 sig, row = signatures(h[np.repeat(first, np.diff(o))], np.concatenate([[0], np.cumsum(size)]), num, den)
-                yield pa.RecordBatch.from_arrays([pa.array(arrays.signed(sig)), pa.array(cls[row])], ["sig", "cls"])
+                now = sig % np.uint64(passes) == turn
+                yield pa.RecordBatch.from_arrays([pa.array(arrays.signed(sig[now])), pa.array(cls[row[now]])], ["sig", "cls"])
 
     rows = scratch.save(base.mapInArrow(sizes, "id long, n long, cls long"), "rows")
     by_sig = Window.partitionBy("sig")
-    buckets = (base.select("text").mapInArrow(signed, "sig long, cls long")
-               .withColumn("lo", F.min("cls").over(by_sig)).withColumn("hi", F.max("cls").over(by_sig))
-               .withColumn("all", F.sum(F.xxhash64("cls").bitwiseAND(F.lit((1 << 32) - 1))).over(by_sig))
-               .where("lo < hi").select(F.xxhash64("lo", "hi", "all").alias("sig"), "cls").distinct())
-    buckets = scratch.save(buckets, "buckets")
+    parts = [scratch.save(base.select("text").mapInArrow(partial(signed, turn=turn), "sig long, cls long")
+                          .withColumn("lo", F.min("cls").over(by_sig)).withColumn("hi", F.max("cls").over(by_sig))
+                          .withColumn("all", F.sum(F.xxhash64("cls").bitwiseAND(F.lit((1 << 32) - 1))).over(by_sig))
+                          .where("lo < hi").select(F.xxhash64("lo", "hi", "all").alias("sig"), "cls").distinct(), "buckets")
+             for turn in range(passes)]
+    buckets = reduce(DataFrame.unionByName, parts)
+    buckets = buckets if passes == 1 else buckets.distinct()
 
     classes = rows.where("n > 0").groupBy("cls").agg(F.min("id").alias("id"), F.first("n").alias("n"))
     wanted = buckets.select("cls").distinct().join(classes, "cls")
-    texts = scratch.save(_sketched(base.join(wanted, "id").select("cls", "n", "text"), n).dropDuplicates(["cls"]), "texts")
-    alone = scratch.save(_own_elements(texts, n), "alone")
+    again = Window.partitionBy("id", "cls", "_same").orderBy("n")  # equal rows of one id, which the join has brought together
+    met = (base.join(wanted, "id").withColumn("_same", F.xxhash64("text"))
+           .withColumn("_place", F.row_number().over(again)).where("_place = 1"))
+    texts = scratch.save(_sketched(met.select("cls", "n", "text"), n), "texts")
+    alone = scratch.save(_own_elements(texts, n, passes, scratch), "alone")
     member = (buckets.join(texts.drop("text"), "cls").join(alone, "cls", "left")
               .select("sig", "cls", "n", F.coalesce("alone", F.lit(0)).alias("alone"), *_SKETCH_COLUMNS)
               .where(den * F.col("alone") <= (den - num) * F.col("n")))
-    edges = _compare(scratch.save(member, "members"), texts, n, num, den, scratch)
-    scratch.drop(buckets, alone, texts)
+    member = scratch.save(member, "members")
+    scratch.drop(*parts, alone)
+    edges = _compare(member, texts, n, num, den, scratch)
+    scratch.drop(texts)
 
     labels = connected_components(edges, scratch)
     component = (classes.select("cls", "id").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
@@ -228,20 +240,24 @@ def _sketched(texts: DataFrame, n: int) -> DataFrame:
     return texts.mapInArrow(sketch, "cls long, n long, text string, " + ", ".join(f"{x} long" for x in _SKETCH_COLUMNS))
 
 
-def _own_elements(texts: DataFrame, n: int) -> DataFrame:
-    """(cls, alone): how many elements of a class no other class of ``texts`` has."""
+def _own_elements(texts: DataFrame, n: int, passes: int, scratch: Scratch) -> DataFrame:
+    """(cls, alone): how many elements of a class no other row of ``texts`` has (fewer than its own where a class has two rows)."""
 
-    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def elements(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cls = batch.column(0).to_numpy()
             for a, b, words in arrays.batches_of_words(batch.column(1)):
                 h, o = arrays.shingle_sets(words, n)
-                yield pa.RecordBatch.from_arrays([pa.array(arrays.signed(h)), pa.array(np.repeat(cls[a:b], np.diff(o)))],
+                now = h % np.uint64(passes) == turn
+                yield pa.RecordBatch.from_arrays([pa.array(arrays.signed(h[now])), pa.array(np.repeat(cls[a:b], np.diff(o))[now])],
                                                  ["h", "cls"])
 
-    each = texts.select("cls", "text").mapInArrow(elements, "h long, cls long")
-    single = each.groupBy("h").agg(F.count("*").alias("n"), F.min("cls").alias("cls")).where("n = 1")
-    return single.groupBy("cls").agg(F.count("*").alias("alone"))
+    counted = []
+    for turn in range(passes):
+        each = texts.select("cls", "text").mapInArrow(partial(elements, turn=turn), "h long, cls long")
+        single = each.groupBy("h").agg(F.count("*").alias("n"), F.min("cls").alias("cls")).where("n = 1")
+        counted.append(scratch.save(single.groupBy("cls").agg(F.count("*").alias("alone")), "own"))
+    return reduce(DataFrame.unionByName, counted).groupBy("cls").agg(F.sum("alone").alias("alone"))
 
 
 def _possible(a: str, b: str, num: int, den: int) -> Column:
@@ -259,13 +275,15 @@ def _compare(members: DataFrame, texts: DataFrame, n: int, num: int, den: int, s
     by_sig = Window.partitionBy("sig")
     edges = labels = tested = None
     block = 0
-    left = members.withColumn("label", F.col("cls"))
+    left, before = members.withColumn("label", F.col("cls")), members
     while True:
         hubs = HUB_BLOCKS[min(block, 1)]
         left = (left.withColumn("lo", F.min("label").over(by_sig)).withColumn("hi", F.max("label").over(by_sig))
                 .where("lo < hi").drop("lo", "hi")
                 .withColumn("place", F.row_number().over(by_sig.orderBy("alone", "cls"))))
         left = scratch.save(left, "left")
+        scratch.drop(before)
+        before = left
         if left.isEmpty():
             break
         hub, other = left.where(F.col("place") <= (1 if block == 0 else hubs)).alias("hub"), left.alias("other")
@@ -289,7 +307,7 @@ def _compare(members: DataFrame, texts: DataFrame, n: int, num: int, den: int, s
                 .withColumn("label", F.coalesce("label", "cls")))
         block += 1
     if edges is None:
-        return members.sparkSession.createDataFrame([], "a long, b long")
+        return texts.sparkSession.createDataFrame([], "a long, b long")
     return edges
 
 

@@ -11,7 +11,7 @@ import contextlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import scratch_path
+from strata.session import remove_path, scratch_path
 
 
 class Scratch:
@@ -19,22 +19,36 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.base, self.made = spark, scratch_path(spark, name), 0
+        self.paths: list[tuple[DataFrame, str]] = []
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` written and read back."""
+        """``df`` written and read back; the shuffle files of the write go when it is done."""
         self.made += 1
         path = f"{self.base}/{self.made}-{name}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        with shuffles_removed(self.spark):
+            df.write.parquet(path)
+        saved = self.spark.read.schema(df.schema).parquet(path)
+        self.paths.append((saved, path))
+        return saved
 
     def drop(self, *tables: DataFrame) -> None:
-        """Remove tables that :meth:`save` returned."""
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        for t in tables:
-            for f in {f.rpartition("/")[0] for f in t.inputFiles()}:
-                if f"/{self.base.rpartition('/')[2]}/" in f:
-                    path = jvm.org.apache.hadoop.fs.Path(f)
-                    path.getFileSystem(conf).delete(path, True)
+        """Remove tables that :meth:`save` returned; others stay."""
+        for saved, path in self.paths:
+            if any(saved is t for t in tables):
+                remove_path(self.spark, path)
+        self.paths = [x for x in self.paths if not any(x[0] is t for t in tables)]
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession):
+    """For an action that nothing but its written result is read of: its shuffle files go at its end, not with the driver's garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def bounded_batches(spark: SparkSession) -> None:

@@ -1,6 +1,10 @@
+import random
+from collections import Counter
+
 import pytest
 
 import corpus_pipeline
+from strata.llm.compression_quality import fit
 from strata.llm.queries import ORACLE_SQL, QUERIES, table
 from tests.llm.fixtures import DOCS, HAVE_DATA, SF, as_dicts, awkward_docs
 from tests.llm.test_ngram_join import plain_components
@@ -62,3 +66,24 @@ def test_mix_of_repeated_rows(spark):
     words = sum(len(r.text.split()) for r in docs.collect())
     assert abs(sum(len(r.text.split()) for r in mixed.collect()) - 1.5 * words) <= 7
     assert mixed.columns == docs.columns
+
+
+def test_rows_of_one_id_and_without_an_id_are_documents(spark):
+    words = ["".join(random.Random(i).choices("abcdefgh", k=5)) for i in range(200)]
+    texts = [" ".join(words[i * 40:(i + 1) * 40]) for i in range(5)]
+    rows = [(1, texts[0], "en", "a", 1), (1, texts[1], "en", "a", 1), (None, texts[2], "en", "a", 1), (None, texts[3], "en", None, 1),
+            (2, texts[0], "en", "a", 1), (None, texts[1], "en", "a", 1), (3, texts[4], "en", "a", 1), (3, texts[4], "en", "a", 1),
+            (None, texts[4] + " more", "en", "a", 1), (4, None, "en", "a", 1), (4, "", "en", "a", 1), (None, " ", None, None, None)]
+    docs = spark.createDataFrame(rows, DOCS)
+    left = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert left.columns == docs.columns
+    assert Counter(tuple(r) for r in left.collect()) == Counter(rows[i] for i in (0, 1, 2, 3, 6, 9, 10, 11))
+
+    model = fit(docs, table(spark, SF, "labels"))
+    kept = corpus_pipeline.quality(spark, docs, SF)
+    want = [tuple(r)[:5] for r in model.score(docs, "text", tuple(docs.columns)).where("score >= 0.3").collect()]
+    assert Counter(tuple(r) for r in kept.collect()) == Counter(want)
+
+    item = table(spark, SF, "benchmark").where("length(text) > 100").first().text
+    docs = spark.createDataFrame([*rows, (1, f"{texts[3]} {item} {texts[2]}", "en", "a", 1), (None, item, "en", "a", 1)], DOCS)
+    assert Counter(tuple(r) for r in corpus_pipeline.decontaminate(spark, docs, SF).collect()) == Counter(rows)

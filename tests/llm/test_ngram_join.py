@@ -83,3 +83,9 @@ def test_large_group_of_edited_copies(spark, n, num):
     rows += [(1000 + i, sentence(rng, rng.randrange(1, 40), 12)) for i in range(100)]
     got = as_dicts(join_links(spark.createDataFrame(rows, "doc_id long, text string"), n=n, num=num))
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain_components(rows, n, num, 100)
+
+
+def test_passes_find_the_same(spark):
+    docs = awkward_docs(spark)
+    found = [sorted(tuple(r) for r in join_links(docs, passes=p).collect()) for p in (1, 3)]
+    assert found[0] == found[1]
