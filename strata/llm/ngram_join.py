@@ -157,8 +157,9 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links with nothing. Other columns of ``docs`` are not read, whatever their
     names. An empty table gives an empty result.
 
-    Signatures and elements are shuffled in ``passes`` parts by hash, one part
-    after the other: so much less disk is needed, and texts are read so much oftener.
+    Signatures, elements and pairs with their texts are shuffled in ``passes``
+    parts by hash, one part after the other: so much less disk is needed, and
+    texts are read so much oftener.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -209,7 +210,7 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               .where(den * F.col("alone") <= (den - num) * F.col("n")))
     member = scratch.save(member, "members")
     scratch.drop(*parts, alone)
-    edges = _compare(member, texts, n, num, den, scratch)
+    edges = _compare(member, texts, n, num, den, passes, scratch)
     scratch.drop(texts)
 
     labels = connected_components(edges, scratch)
@@ -270,7 +271,7 @@ def _possible(a: str, b: str, num: int, den: int) -> Column:
             & ((den + num) * odd <= most))
 
 
-def _compare(members: DataFrame, texts: DataFrame, n: int, num: int, den: int, scratch: Scratch) -> DataFrame:
+def _compare(members: DataFrame, texts: DataFrame, n: int, num: int, den: int, passes: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) that connect all that is linked, from buckets (sig, cls, n, alone)."""
     by_sig = Window.partitionBy("sig")
     edges = labels = tested = None
@@ -297,7 +298,7 @@ def _compare(members: DataFrame, texts: DataFrame, n: int, num: int, den: int, s
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.save(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        found = scratch.save(_linked(pairs, texts, n, num, den), "found")
+        found = _linked(pairs, texts, n, num, den, passes, scratch)
         edges = found if edges is None else edges.unionByName(found)
         if not found.isEmpty():
             labels = connected_components(edges, scratch)
@@ -311,8 +312,8 @@ def _compare(members: DataFrame, texts: DataFrame, n: int, num: int, den: int, s
     return edges
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The pairs whose whole sets are similar enough."""
+def _linked(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int, passes: int, scratch: Scratch) -> DataFrame:
+    """The pairs whose whole sets are similar enough; a pair's first text travels with it, for one part of the first texts after the other."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -328,5 +329,9 @@ def _linked(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> D
 
     one = texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b"))
-    return (pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
-            .mapInArrow(check, "a long, b long"))
+    found = []
+    for turn in range(passes):
+        now = F.pmod(F.xxhash64("a"), F.lit(passes)) == turn
+        met = pairs.where(now).join(one.where(now), "a").join(two, "b").select("a", "b", "text_a", "text_b")
+        found.append(scratch.save(met.mapInArrow(check, "a long, b long"), "found"))
+    return reduce(DataFrame.unionByName, found)
