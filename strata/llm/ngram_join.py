@@ -144,7 +144,7 @@ def set_classes(h: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4,
-               num: int = 85, den: int = 100, passes: int = 1) -> DataFrame:
+               num: int = 85, den: int = 100, passes: int = 1, text_passes: int = 1) -> DataFrame:
     """Components of the documents under ``den * |A & B| >= num * |A | B|`` of their ``n``-word sets.
 
     Returns one row per input row: the id (named ``id_col``), ``n_shingles``
@@ -157,9 +157,9 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links with nothing. Other columns of ``docs`` are not read, whatever their
     names. An empty table gives an empty result.
 
-    Signatures, elements and pairs with their texts are shuffled in ``passes``
-    parts by hash, one part after the other: so much less disk is needed, and
-    texts are read so much oftener.
+    Signatures and elements are shuffled in ``passes`` parts by hash, one part
+    after the other, pairs with their texts in ``text_passes`` parts: so much
+    less disk is needed, and texts are read so much oftener.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -210,7 +210,7 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               .where(den * F.col("alone") <= (den - num) * F.col("n")))
     member = scratch.save(member, "members")
     scratch.drop(*parts, alone)
-    edges = _compare(member, texts, n, num, den, passes, scratch)
+    edges = _compare(member, texts, n, num, den, text_passes, scratch)
     scratch.drop(texts)
 
     labels = connected_components(edges, scratch)

@@ -86,6 +86,14 @@ def test_large_group_of_edited_copies(spark, n, num):
 
 
 def test_passes_find_the_same(spark):
-    docs = awkward_docs(spark)
-    found = [sorted(tuple(r) for r in join_links(docs, passes=p).collect()) for p in (1, 3)]
-    assert found[0] == found[1]
+    rng = random.Random(5)
+    rows = []
+    for group in range(6):
+        text = sentence(rng, 80, 400).split()
+        for copy in range(5):
+            text[rng.randrange(80)] = f"edit{copy}"
+            rows.append((1000 + 10 * group + copy, " ".join(text)))
+    docs = awkward_docs(spark).select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = [sorted((tuple(r) for r in join_links(docs, passes=p, text_passes=q).collect()), key=str) for p, q in ((1, 1), (3, 1), (1, 2), (2, 4))]
+    assert found[0] == found[1] == found[2] == found[3]
+    assert len({c for i, _, c in found[0] if i is not None and i >= 1000}) < len(rows)
