@@ -44,7 +44,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     a group the row of the smallest hash stays.
     """
     keyed = _with_key(docs)
-    linked = join_links(keyed, "_row", n=5, num=80, den=100, passes=4).select("_row", "component_id").distinct()
+    linked = join_links(keyed, "_row", n=5, num=80, den=100, passes=2, text_passes=4).select("_row", "component_id").distinct()
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
     first = (keyed.select("_row", "doc_id").distinct().join(linked, "_row")
              .groupBy("component_id").agg(F.min(order).alias("first")).select("first._row"))
