@@ -18,8 +18,10 @@ Sets that share a signature are candidates, not yet links. Exact conditions
 thin them out before any text is compared: sizes, the number of elements that
 no other candidate set has (these all count as differences), and parity sketches
 (bit ``i`` is the parity of the number of elements hashed to ``i``; each bit in
-which two sketches differ takes a difference of its own). The rest are compared
-on their whole sets.
+which two sketches differ takes a difference of its own). Members carry a sketch
+of fixed size, which says nothing of large sets; pairs that it leaves meet fine
+sketches, of about as many bits as a set has elements (a longer one folds to the
+length of a shorter one by XOR). The rest are compared on their whole sets.
 
 Skew: equal sets collapse into one class by aggregation before anything else;
 each Arrow batch signs for a class once; buckets of the same members, as the many
@@ -52,6 +54,8 @@ LEAST_ELEMENTS = 2
 #: Longs of a parity sketch.
 SKETCH = 8
 _SKETCH_COLUMNS = [f"x{i}" for i in range(SKETCH)]
+#: Bits of the shortest fine sketch.
+LEAST_FINE = 256
 #: Hubs of a bucket compared in the first and in each later block.
 HUB_BLOCKS = (64, 1024)
 
@@ -143,6 +147,32 @@ def set_classes(h: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return arrays.signed(arrays.mix(arrays.sums_by_row(arrays.mix(h), offsets) ^ arrays.mix(n)))
 
 
+def fine_sketches(h: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Parity sketch of each set, of the least power of two of bits that is not under its size (``LEAST_FINE`` at least)."""
+    n = np.diff(offsets)
+    bits = LEAST_FINE << np.ceil(np.log2(np.maximum(n, LEAST_FINE) / LEAST_FINE)).astype(np.int64)
+    ends = np.cumsum(bits)
+    at = np.repeat(ends - bits, n) + (arrays.mix(h + np.uint64(7)) & np.repeat(bits - 1, n).astype(np.uint64)).astype(np.int64)
+    packed = np.packbits((np.bincount(at, minlength=bits.sum()) & 1).astype(np.uint8), bitorder="little")
+    starts = np.concatenate([[0], ends // 8])
+    return pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(starts), pa.py_buffer(packed)]).cast(pa.binary())
+
+
+def least_differences(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """By how many elements the sets of two columns of fine sketches differ at least, row by row."""
+    (x, xo), (y, yo) = arrays.text_bytes(left), arrays.text_bytes(right)
+    out = np.zeros(len(left), np.int64)
+    for a, b in arrays.row_slices(xo + yo):
+        sizes = np.stack([np.diff(xo[a:b + 1]), np.diff(yo[a:b + 1])], axis=1)
+        for size in np.unique(sizes, axis=0):
+            rows = a + np.flatnonzero((sizes == size).all(axis=1))
+            short = size.min()
+            folded = [np.bitwise_xor.reduce(d[o[rows][:, None] + np.arange(k)].reshape(len(rows), -1, short), axis=1)
+                      for d, o, k in ((x, xo, size[0]), (y, yo, size[1]))]
+            out[rows] = np.bitwise_count(folded[0] ^ folded[1]).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4,
                num: int = 85, den: int = 100, passes: int = 1, text_passes: int = 1) -> DataFrame:
     """Components of the documents under ``den * |A & B| >= num * |A | B|`` of their ``n``-word sets.
@@ -205,7 +235,7 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            .withColumn("_place", F.row_number().over(again)).where("_place = 1"))
     texts = scratch.save(_sketched(met.select("cls", "n", "text"), n), "texts")
     alone = scratch.save(_own_elements(texts, n, passes, scratch), "alone")
-    member = (buckets.join(texts.drop("text"), "cls").join(alone, "cls", "left")
+    member = (buckets.join(texts.drop("text", "fine"), "cls").join(alone, "cls", "left")
               .select("sig", "cls", "n", F.coalesce("alone", F.lit(0)).alias("alone"), *_SKETCH_COLUMNS)
               .where(den * F.col("alone") <= (den - num) * F.col("n")))
     member = scratch.save(member, "members")
@@ -224,7 +254,7 @@ def join_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _sketched(texts: DataFrame, n: int) -> DataFrame:
-    """``texts`` (cls, n, text) with the parity sketch of each set, without texts of another class (rows of one id may differ)."""
+    """``texts`` (cls, n, text) with both parity sketches of each set, without texts of another class (rows of one id may differ)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = 64 * SKETCH
@@ -234,11 +264,12 @@ def _sketched(texts: DataFrame, n: int) -> DataFrame:
                 at = (arrays.mix(h + np.uint64(7)) % np.uint64(bits)).astype(np.int64)
                 odd = np.bincount(np.repeat(np.arange(b - a), np.diff(o)) * bits + at, minlength=(b - a) * bits) & 1
                 longs = np.packbits(odd.astype(np.uint8).reshape(-1, 64), axis=1).view(np.int64).reshape(-1, SKETCH)
-                made = pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, *(pa.array(np.ascontiguousarray(x)) for x in longs.T)],
-                                                  ["cls", "n", "text", *_SKETCH_COLUMNS])
+                made = pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, fine_sketches(h, o),
+                                                   *(pa.array(np.ascontiguousarray(x)) for x in longs.T)],
+                                                  ["cls", "n", "text", "fine", *_SKETCH_COLUMNS])
                 yield made.filter(pa.array(batch.column(0).to_numpy()[a:b] == set_classes(h, o)))
 
-    return texts.mapInArrow(sketch, "cls long, n long, text string, " + ", ".join(f"{x} long" for x in _SKETCH_COLUMNS))
+    return texts.mapInArrow(sketch, "cls long, n long, text string, fine binary, " + ", ".join(f"{x} long" for x in _SKETCH_COLUMNS))
 
 
 def _own_elements(texts: DataFrame, n: int, passes: int, scratch: Scratch) -> DataFrame:
@@ -298,7 +329,9 @@ def _compare(members: DataFrame, texts: DataFrame, n: int, num: int, den: int, p
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.save(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        found = _linked(pairs, texts, n, num, den, passes, scratch)
+        near = scratch.save(_near(pairs, texts, num, den), "near")
+        found = _linked(near, texts, n, num, den, passes, scratch)
+        scratch.drop(near)
         edges = found if edges is None else edges.unionByName(found)
         if not found.isEmpty():
             labels = connected_components(edges, scratch)
@@ -312,6 +345,20 @@ def _compare(members: DataFrame, texts: DataFrame, n: int, num: int, den: int, p
     return edges
 
 
+def _near(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose fine sketches leave room for a link."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            ok = pa.array((den + num) * least_differences(batch.column(4), batch.column(5)) <= (den - num) * both)
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(ok) for i in (0, 1)], ["a", "b"])
+
+    one, two = (texts.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("fine").alias(f"fine_{x}")) for x in "ab")
+    met = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "fine_a", "fine_b")
+    return met.mapInArrow(check, "a long, b long")
+
+
 def _linked(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int, passes: int, scratch: Scratch) -> DataFrame:
     """The pairs whose whole sets are similar enough; a pair's first text travels with it, for one part of the first texts after the other."""
 
@@ -332,6 +379,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int, pass
     found = []
     for turn in range(passes):
         now = F.pmod(F.xxhash64("a"), F.lit(passes)) == turn
-        met = pairs.where(now).join(one.where(now), "a").join(two, "b").select("a", "b", "text_a", "text_b")
+        wanted = two.join(pairs.where(now).select("b"), "b", "left_semi")  # else all texts are shuffled in each part
+        met = pairs.where(now).join(one.where(now), "a").join(wanted, "b").select("a", "b", "text_a", "text_b")
         found.append(scratch.save(met.mapInArrow(check, "a long, b long"), "found"))
     return reduce(DataFrame.unionByName, found)

@@ -3,7 +3,8 @@ import random
 import numpy as np
 import pytest
 
-from strata.llm.ngram_join import bands, join_links, signatures
+from strata.llm import ngram_join
+from strata.llm.ngram_join import bands, fine_sketches, join_links, least_differences, signatures
 from tests.llm.fixtures import as_dicts, awkward_docs, no_docs, sentence, shingles
 
 
@@ -97,3 +98,30 @@ def test_passes_find_the_same(spark):
     found = [sorted((tuple(r) for r in join_links(docs, passes=p, text_passes=q).collect()), key=str) for p, q in ((1, 1), (3, 1), (1, 2), (2, 4))]
     assert found[0] == found[1] == found[2] == found[3]
     assert len({c for i, _, c in found[0] if i is not None and i >= 1000}) < len(rows)
+
+
+def test_fine_sketches_never_say_more_than_the_difference():
+    rng = np.random.default_rng(6)
+    for size in [0, 1, 255, 256, 257, 700, 5000]:
+        for kept in [0, size // 2, size - size // 10, size]:
+            for added in [0, 1, size // 8, 2 * size]:
+                a = np.unique(rng.integers(1, 1 << 63, size, dtype=np.uint64))
+                b = np.unique(np.concatenate([rng.permutation(a)[:kept], rng.integers(1, 1 << 63, added, dtype=np.uint64)]))
+                fine = fine_sketches(np.concatenate([a, b, a]), np.cumsum([0, len(a), len(b), len(a)]))
+                differ = len(np.setxor1d(a, b))
+                got = least_differences(fine.slice(0, 2), fine.slice(1, 2)).tolist()
+                assert got[0] == got[1] <= differ and (differ - got[0]) % 2 == 0
+
+
+def test_texts_of_dissimilar_long_sets_are_not_compared(spark, monkeypatch):
+    rng = random.Random(9)
+    blocks = [" ".join(rng.choice("abcdefgh") * 2 + str(rng.randrange(10 ** 6)) for _ in range(40)) for _ in range(60)]
+    texts = [" ".join(rng.sample(blocks, 30)) for _ in range(16)]
+    texts += [t + " more words at the end" for t in texts[:4]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    compared = []
+    linked = ngram_join._linked
+    monkeypatch.setattr(ngram_join, "_linked", lambda pairs, *rest: compared.append(pairs.count()) or linked(pairs, *rest))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in as_dicts(join_links(docs, n=5, num=80, den=100))}
+    assert got == plain_components(list(enumerate(texts)), 5, 80, 100)
+    assert sum(compared) == 4
